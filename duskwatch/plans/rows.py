@@ -117,7 +117,7 @@ FROM wire LEFT JOIN geo ON geo.asn = event_id % 50""",
 )
 def strip_transport(t: Telemetry) -> DataFrame:
     given = t.geo_ranges.select("country", F.col("asn").cast("string").alias("asn"), "asn_org")
-    keyed = t.wire.withColumn("__asn", (F.col("event_id") % 50).cast("string"))
+    keyed = t.wire.drop("k").withColumn("__asn", (F.col("event_id") % 50).cast("string"))
     return V.strip_transport(keyed.join(given, keyed["__asn"] == given["asn"], "left").drop("__asn"))
 
 

@@ -69,7 +69,7 @@ SELECT event_id, user_id, k, event_type, ts_us, ts, eventid,
 FROM hp1"""
 
 VIEWS["wire"] = """
-SELECT event_id,
+SELECT event_id, k,
   CASE WHEN k = 90 THEN 'ssh.login' ELSE eventid END AS eventid,
   CASE WHEN k = 91 THEN substr(ts, 1, 26) || '+00:00' ELSE ts END AS timestamp,
   CASE WHEN k = 92 THEN '300.1.2.3' ELSE src_ip END AS src_ip,

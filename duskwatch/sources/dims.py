@@ -18,9 +18,9 @@ def geo_ranges_from_pools(pools: DataFrame) -> DataFrame:
     ).filter(F.col("lo").isNotNull() & F.col("hi").isNotNull())
 
 
-def load_geo_ranges(spark: SparkSession, path: str) -> DataFrame:
-    """Pool documents (``{"pools": [...]}``, one per file) as ranges."""
-    docs = spark.read.schema(_POOLS).option("multiLine", "true").json(path)
+def load_geo_ranges(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """Pool documents (``{"pools": [...]}``, one per file, or one per line) as ranges."""
+    docs = spark.read.schema(_POOLS).option("multiLine", multi_line).json(path)
     return geo_ranges_from_pools(docs.select(F.inline("pools")))
 
 

@@ -136,6 +136,7 @@ class Telemetry:
         lost = k == 98
         return e.select(
             "event_id",
+            "k",
             F.when(k == 90, F.lit("ssh.login")).otherwise(c("eventid")).alias("eventid"),
             F.when(k == 91, F.concat(F.left("ts", F.lit(26)), F.lit("+00:00"))).otherwise(c("ts")).alias("timestamp"),
             F.when(k == 92, F.lit("300.1.2.3")).otherwise(c("src_ip")).alias("src_ip"),
