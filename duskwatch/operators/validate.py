@@ -84,7 +84,13 @@ def with_missing_fields(df: DataFrame) -> DataFrame:
 
 def check_events(df: DataFrame) -> DataFrame:
     """Add ``failed_rules``; field rules come before rules per event type."""
-    return with_missing_fields(df).withColumn("failed_rules", broken(field_rules() | cross_rules()))
+    return compute_once(with_missing_fields(df), failed_rules=broken(field_rules() | cross_rules()))
+
+
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns behind a generator, so that later filters on them do not repeat the expression."""
+    one_row = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select("*", F.inline(one_row))
 
 
 def split_events(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duskwatch.functions.net import LOOPBACK
 from duskwatch.operators import correlate as C
 from duskwatch.plans.counts import NOW, SPAN
 from duskwatch.plans.landed import event_line, land
@@ -36,10 +37,8 @@ def landed_stream(t: Telemetry, df: DataFrame, *, marker: bool = True) -> DataFr
     if marker:
         blank = {c: F.lit(None).cast(k) for c, k in timed.dtypes}
         blank |= {"ts_us": F.lit(MARKER_US), "event_time": F.timestamp_micros(F.lit(MARKER_US))}
-        texts = {c: F.lit("marker") for c in ("session", "eventid", "src_ip", "source_event") if c in timed.columns}
-        if "client_ip" not in timed.columns and "candidates" not in timed.columns and "event_id" in timed.columns:
-            blank["event_id"] = F.lit(-1).cast("bigint")
-        t.spark.range(1).select(*[(blank | texts)[c].alias(c) for c in timed.columns]).write.mode("append").parquet(path)
+        blank |= {c: F.lit(LOOPBACK) for c in ("src_ip",) if c in timed.columns}
+        t.spark.range(1).select(*[blank[c].alias(c) for c in timed.columns]).write.mode("append").parquet(path)
     return stream_parquet(t.spark, path)
 
 

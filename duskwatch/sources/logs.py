@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwatch.functions.timefns import iso_to_us, us_to_iso
+from duskwatch.operators.validate import check_events, compute_once
 from duskwatch.schemas import EVENT_FIELDS, GIVEN_FIELDS, PROXY_FIELDS, TRANSPORT_FIELDS, all_strings
 
 PROXY_LINE = (
@@ -30,7 +31,7 @@ def parse_events(lines: DataFrame, *, strict: bool = False) -> DataFrame:
     bad = F.col("e").isNull() | F.col("e._bad").isNotNull()
     if strict:
         bad = F.when(bad, F.raise_error(F.concat(F.lit("not JSON: "), F.col("line"))).cast("boolean")).otherwise(False)
-    return lines.withColumn("e", parsed).select(
+    return compute_once(lines, e=parsed).select(
         "line", "object_path", bad.alias("malformed"), *[F.col(f"e.{f.name}") for f in schema.fields if f.name != "_bad"]
     )
 
@@ -42,7 +43,7 @@ def scan_events(spark: SparkSession, path: str | list[str], *, strict: bool = Fa
 def parse_proxy(lines: DataFrame) -> DataFrame:
     """Proxy JSON lines, one row each; ``parsed`` is false when a required field is missing or wrong."""
     schema = all_strings(PROXY_FIELDS)
-    return _typed_proxy(lines.withColumn("p", F.from_json("line", schema)))
+    return _typed_proxy(compute_once(lines, p=F.from_json("line", schema)))
 
 
 def parse_proxy_text(lines: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def parse_proxy_text(lines: DataFrame) -> DataFrame:
             for i, name in enumerate(PROXY_FIELDS)
         ]
     )
-    return _typed_proxy(lines.withColumn("p", fields))
+    return _typed_proxy(compute_once(lines, p=fields))
 
 
 def _typed_proxy(df: DataFrame) -> DataFrame:
@@ -117,8 +118,6 @@ def ingest_audit(lines: DataFrame) -> DataFrame:
 
     Rows of an event object are written once per (session, timestamp, eventid).
     """
-    from duskwatch.operators.validate import check_events
-
     events = check_events(parse_events(lines.filter(source_kind(F.col("object_path")) == "event"))).select(
         "object_path",
         (~F.col("malformed") & (F.size("failed_rules") == 0)).alias("ok"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from duskwatch.operators.rank import top_ranks
 from duskwatch.operators.rollup import all_counters, daily_summary, dimension_columns, technique_hourly, trailing_totals
+from duskwatch.operators.validate import compute_once
 from duskwatch.schemas import CHANGE_RECORD
 from duskwatch.sources.sinks import upsert
 from duskwatch.streaming.run import drain_batches
@@ -39,7 +40,7 @@ def decode_changes(lines: DataFrame, fields: dict[str, str]) -> DataFrame:
     Only inserts and updates with an image of an event are ``processed``; removals and
     records without an image are ``skipped``, other item types ``skipped_non_event``.
     """
-    record = lines.withColumn("r", F.from_json("line", CHANGE_RECORD))
+    record = compute_once(lines, r=F.from_json("line", CHANGE_RECORD))
     image = F.col("r.dynamodb.NewImage")
     usable = F.coalesce(F.col("r.eventName").isin("INSERT", "MODIFY"), F.lit(False)) & (
         F.coalesce(F.size(image), F.lit(0)) > 0
