@@ -15,6 +15,7 @@ from duskwatch.functions.net import LOOPBACK
 from duskwatch.operators.enrich import geo_enrich
 from duskwatch.operators.joins import interval_join, lookup_left
 from duskwatch.operators.sweep import single_owner, trailing_counts
+from duskwatch.session import stage
 
 WINDOW_US = 500_000
 FLOOR_US = 1_000
@@ -194,10 +195,11 @@ def resolve(
     floor_us: int = FLOOR_US,
     list_candidates: bool = True,
 ) -> DataFrame:
-    """Forward, inherit, backward, geo."""
+    """Forward, inherit, backward, geo. Each later pass reads its input several times, so it is staged."""
     span = {"window_us": window_us, "floor_us": floor_us}
-    forward = correlate_forward(events, early_proxies, list_candidates=list_candidates, **span)
-    return geo_enrich(correlate_backward(inherit_matches(forward), late_proxies, **span), geo_ranges)
+    forward = stage(correlate_forward(events, early_proxies, list_candidates=list_candidates, **span), "forward")
+    inherited = stage(inherit_matches(forward), "inherited")
+    return geo_enrich(correlate_backward(inherited, late_proxies, **span), geo_ranges)
 
 
 def correlation_outcomes(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.functions.text import redaction_marker
-from duskwatch.operators.joins import ip_range_join, lookup_left
+from duskwatch.operators.joins import BROADCAST_ROWS, ip_range_join, lookup_left
 
 
 def geo_enrich(events: DataFrame, geo_ranges: DataFrame) -> DataFrame:
@@ -39,7 +39,9 @@ def classify_passwords(events: DataFrame, dictionary: DataFrame) -> DataFrame:
     kept only in ``password_raw``.
     """
     words = dictionary.select(F.col("word").alias("password"), F.lit(True).alias("__known"))
-    joined = lookup_left(events, words, "password", spread_by=["session", "ts"])
+    joined = lookup_left(
+        events, words, "password", spread_by=["session", "ts"], broadcast_rows=BROADCAST_ROWS
+    )
     hidden = F.col("password").isNotNull() & F.col("__known").isNull()
     return (
         joined.withColumn("password_raw", F.when(hidden, F.col("password")))

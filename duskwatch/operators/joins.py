@@ -1,9 +1,9 @@
 """Join helpers whose plans never fall back to nested loops.
 
-No helper hints a broadcast of a side that can grow: whether a side is small enough is
-left to ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution, which check its
-size. The one explicit broadcast is of the keys with at least ``HOT_ROWS`` rows, of which
-there can be only (total rows / HOT_ROWS).
+A side is hinted for broadcast only after its rows were counted (``broadcast_if_small``)
+or when its size is bounded by construction: of keys with at least ``HOT_ROWS`` rows there
+can be only (total rows / HOT_ROWS). Everything else is left to adaptive execution, which
+checks sizes itself.
 """
 
 from __future__ import annotations
@@ -18,6 +18,16 @@ from duskwatch.functions.timefns import floor_div
 
 HOT_ROWS = 5_000_000
 SPREAD = 256
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, counted: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``counted`` (default: the frame itself) has at most ``max_rows`` rows.
+
+    The count stops at the limit. Beyond it the join is planned as a shuffle join.
+    """
+    rows = (df if counted is None else counted).limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def lookup_left(
@@ -28,6 +38,7 @@ def lookup_left(
     spread_by: Sequence[str],
     rows_per_key: str | None = None,
     hot_rows: int = HOT_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Left join to a side with at most one row per ``key``.
 
@@ -35,7 +46,8 @@ def lookup_left(
     ``spread_by`` instead of meeting in one. When ``lookup`` carries ``rows_per_key`` (the
     number of ``big`` rows of that key, a by-product of the aggregate that built it), keys
     with ``hot_rows`` or more are joined by broadcast and spread the same way, so no task
-    gets a whole hot key.
+    gets a whole hot key. With ``broadcast_rows`` the lookup side is counted and broadcast
+    when it has no more rows than that.
     """
     values = [c for c in lookup.columns if c not in (key, rows_per_key)]
     if rows_per_key is None:
@@ -60,6 +72,8 @@ def lookup_left(
             F.col(c).alias(f"__cold_{c}") for c in values
         ]
     )
+    if broadcast_rows is not None:
+        right = broadcast_if_small(right, lookup, broadcast_rows)
     joined = left.join(
         right,
         (F.col("__key") == F.col("__right_key")) & (F.col("__salt") == F.col("__right_salt")),
@@ -142,7 +156,13 @@ def ip_range_join(df: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
     The range side is made disjoint first, so the join yields at most one row per input
     row and needs no ranking of the big side. It is an equi join on the top 16 bits.
     """
-    flat = disjoint_ranges(ranges).withColumnsRenamed({"bucket": "__rbucket", "lo": "__lo", "hi": "__hi"})
-    left = df.withColumn("__ip", ip_to_long(F.col(ip))).withColumn("__bucket", F.shiftright("__ip", 16))
+    # Cutting n ranges gives at most 2 n segments and two per /16 network.
+    flat = broadcast_if_small(
+        disjoint_ranges(ranges).withColumnsRenamed({"bucket": "__rbucket", "lo": "__lo", "hi": "__hi"}), ranges
+    )
+    left = df.withColumn("__ip", ip_to_long(F.col(ip)))
+    # Addresses without a number get negative buckets: they match nothing and are spread out.
+    nowhere = -1 - F.pmod(F.xxhash64(*df.columns[:4]), F.lit(SPREAD))
+    left = left.withColumn("__bucket", F.coalesce(F.shiftright("__ip", 16), nowhere))
     cond = (F.col("__bucket") == F.col("__rbucket")) & F.col("__ip").between(F.col("__lo"), F.col("__hi"))
     return left.join(flat, cond, "left").drop("__ip", "__bucket", "__rbucket", "__lo", "__hi")

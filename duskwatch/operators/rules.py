@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from duskwatch.functions.net import is_home
 from duskwatch.functions.text import fill_template
-from duskwatch.operators.sweep import trailing_counts, trailing_distinct
+from duskwatch.operators.sweep import self_counts, trailing_counts
 
 MINUTE = 60_000_000
 
@@ -171,9 +171,7 @@ def brute_force(
     failed: DataFrame, *, threshold: int = 5, within_us: int = 5 * MINUTE, first_only: bool = False
 ) -> DataFrame:
     """Failed logins at which the source has at least ``threshold`` failures in the trailing interval."""
-    hits = trailing_counts(failed, failed, keys=["src_ip"], hi=within_us, count_as="n_events").filter(
-        F.col("n_events") >= threshold
-    )
+    hits = self_counts(failed, key="src_ip", hi=within_us).filter(F.col("n_events") >= threshold)
     return _first_only(hits) if first_only else hits
 
 
@@ -186,7 +184,7 @@ def credential_stuffing(
     first_only: bool = False,
 ) -> DataFrame:
     """Failed logins at which the source has tried at least ``usernames`` names in the trailing interval."""
-    hits = trailing_distinct(failed, key="src_ip", value="username", hi=within_us).filter(
+    hits = self_counts(failed, key="src_ip", value="username", hi=within_us).filter(
         (F.col("n_distinct") >= usernames) & (F.col("n_events") >= failures)
     )
     return _first_only(hits) if first_only else hits

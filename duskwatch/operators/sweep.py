@@ -79,67 +79,60 @@ def trailing_counts(
     return swept.filter("__probe").select(*probes.columns, count_as, *extra)
 
 
-def trailing_distinct(
-    points: DataFrame,
-    *,
-    key: str,
-    value: str,
-    time: str = "ts_us",
-    hi: int,
-    chunk: int | None = None,
+def self_counts(
+    rows: DataFrame, *, key: str, value: str | None = None, time: str = "ts_us", hi: int, chunk: int | None = None
 ) -> DataFrame:
-    """Add ``n_events`` and ``n_distinct`` of ``value`` over ``[t - hi, t]`` to each row.
+    """Add ``n_events``, and with ``value`` also ``n_distinct``, over ``[t - hi, t]`` of the row's own key.
 
-    A value is counted from one occurrence until its next one or until it leaves the
-    interval, whichever is first, so distinct counts are running sums as well.
+    One scan and one shuffle: a row is sent to its own chunk and, where its interval
+    reaches further, to the next one. A distinct value is counted from one occurrence
+    until its next one or until it leaves the interval, whichever is first, so distinct
+    counts are running sums as well.
     """
     size = chunk or 2 * (hi + 1)
-    merged = points.groupBy(key, value, time).agg(F.count(F.lit(1)).alias("__n"))
-    placed = merged.withColumn(
-        "__chunk",
-        F.explode(F.sequence(floor_div(F.col(time), size), floor_div(F.col(time) + F.lit(hi), size))),
+    t, closing = F.col(time), F.col(time) + F.lit(hi + 1)
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    own = floor_div(t, size)
+    placed = rows.withColumn(
+        "__chunk", F.explode(F.sequence(own, floor_div(t + F.lit(hi), size)))
     ).repartition(key, "__chunk")
-    following = F.lead(time).over(Window.partitionBy(key, "__chunk", value).orderBy(time))
-    closing = F.col(time) + F.lit(hi + 1)
-    one = F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    deltas = (
-        placed.withColumn("__end", F.least(F.coalesce(following, closing), closing))
-        .withColumn(
-            "__ends",
-            F.explode(
-                F.array(
-                    F.struct(F.col(time).alias("t"), F.col("__n").alias("d"), one.alias("u")),
-                    F.struct(closing.alias("t"), (-F.col("__n")).alias("d"), zero.alias("u")),
-                    F.struct(F.col("__end").alias("t"), zero.alias("d"), (-one).alias("u")),
-                )
-            ),
-        )
-        .select(
-            key,
-            "__chunk",
-            F.col("__ends.t").alias("__t"),
-            F.col("__ends.d").alias("__d"),
-            F.col("__ends.u").alias("__u"),
-        )
-    )
-    asked = (
-        points.withColumn("__t", F.col(time))
-        .withColumn("__chunk", floor_div(F.col(time), size))
-        .withColumn("__d", zero)
-        .withColumn("__u", zero)
-        .withColumn("__probe", F.lit(True))
+    placed = placed.withColumn("__own", F.col("__chunk") == own)
+    if value is None:
+        unit, end = zero, closing
+    else:
+        unit = F.when(F.col(value).isNotNull(), one).otherwise(zero)
+        following = F.lead(time).over(Window.partitionBy(key, "__chunk", value).orderBy(time))
+        end = F.least(F.coalesce(following, closing), closing)
+    placed = placed.withColumn("__unit", unit).withColumn("__end", end)
+
+    def delta(at, d, u, probe):
+        return F.struct(at.alias("t"), d.alias("d"), u.alias("u"), probe.alias("probe"))
+
+    steps = [
+        delta(t, one, F.col("__unit"), F.col("__own")),
+        delta(closing, -one, zero, F.lit(False)),
+    ]
+    if value is not None:
+        steps.append(delta(F.col("__end"), zero, -F.col("__unit"), F.lit(False)))
+    payload = [c for c in rows.columns if c != key]
+    stepped = placed.withColumn("__s", F.explode(F.array(*steps))).select(
+        key,
+        "__chunk",
+        F.col("__s.t").alias("__t"),
+        F.col("__s.d").alias("__d"),
+        F.col("__s.u").alias("__u"),
+        F.col("__s.probe").alias("__probe"),
+        *[F.when(F.col("__s.probe"), F.col(c)).alias(c) for c in payload],
     )
     window = (
         Window.partitionBy(key, "__chunk").orderBy("__t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        asked.unionByName(deltas, allowMissingColumns=True)
-        .withColumn("n_events", F.sum("__d").over(window))
-        .withColumn("n_distinct", F.sum("__u").over(window))
-        .filter("__probe")
-        .select(*points.columns, "n_events", "n_distinct")
-    )
+    out = stepped.withColumn("n_events", F.sum("__d").over(window))
+    names = ["n_events"]
+    if value is not None:
+        out = out.withColumn("n_distinct", F.sum("__u").over(window))
+        names.append("n_distinct")
+    return out.filter("__probe").select(*rows.columns, *names)
 
 
 def single_owner(
@@ -208,7 +201,7 @@ def single_owner(
 
 
 def nearest_preceding(
-    probes: DataFrame, points: DataFrame, *, time: str = "ts_us", floor_us: int = 0, chunk: int = 3_600_000_000
+    probes: DataFrame, points: DataFrame, *, time: str = "ts_us", floor_us: int = 0, chunk: int = 60_000_000
 ) -> DataFrame:
     """Add ``point_us``, the newest point at or before ``t - floor_us`` (null when there is none).
 
@@ -230,7 +223,7 @@ def nearest_preceding(
         .withColumn("__here", F.max("__mark").over(window))
         .filter("__probe")
     )
-    # One row per chunk of time: the number of hours the data spans bounds this window.
+    # One row per chunk of time: the number of minutes the data spans bounds this window.
     per_chunk = asked.select("__chunk").distinct().join(
         marks.groupBy("__chunk").agg(F.max("__mark").alias("__max")), "__chunk", "full"
     )

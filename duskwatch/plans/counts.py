@@ -20,6 +20,7 @@ from duskwatch.plans.country_codes import COUNTRY_CODES
 from duskwatch.plans.registry import query
 from duskwatch.plans.rows import NOW_US, PUBLIC_SQL
 from duskwatch.plans.views import sql_list
+from duskwatch.session import stage
 from duskwatch.sources.telemetry import Telemetry
 
 NOW = datetime(2024, 1, 31)
@@ -192,7 +193,8 @@ def corr_forward(t: Telemetry) -> DataFrame:
 
 @query("corr_inherit", _CORR_SQL.format("coalesce(ips, '') AS ips", "inh"))
 def corr_inherit(t: Telemetry) -> DataFrame:
-    return _corr_columns(C.inherit_matches(C.correlate_forward(t.tunnelled, t.proxies, **SPAN)), _ips())
+    forward = stage(C.correlate_forward(t.tunnelled, t.proxies, **SPAN), "forward")
+    return _corr_columns(C.inherit_matches(forward), _ips())
 
 
 def _early(t: Telemetry) -> DataFrame:
@@ -204,7 +206,8 @@ def _late(t: Telemetry) -> DataFrame:
 
 
 def _before_late_rows(t: Telemetry) -> DataFrame:
-    return C.inherit_matches(C.correlate_forward(t.tunnelled, _early(t), list_candidates=False, **SPAN))
+    forward = stage(C.correlate_forward(t.tunnelled, _early(t), list_candidates=False, **SPAN), "forward")
+    return stage(C.inherit_matches(forward), "inherited")
 
 
 @query("corr_backward", _CORR_SQL.format("eventid", "bwd"))
@@ -234,8 +237,8 @@ UNION ALL SELECT 'backward_outcome', CASE WHEN owners = 0 THEN 'no_candidates' W
   FROM targets p GROUP BY ALL""",
 )
 def corr_metrics(t: Telemetry) -> DataFrame:
-    forward = C.correlate_forward(t.tunnelled, _early(t), list_candidates=False, **SPAN)
-    return C.correlation_outcomes(forward, C.inherit_matches(forward), _late(t), **SPAN)
+    forward = stage(C.correlate_forward(t.tunnelled, _early(t), list_candidates=False, **SPAN), "forward")
+    return C.correlation_outcomes(forward, stage(C.inherit_matches(forward), "inherited"), _late(t), **SPAN)
 
 
 @query(
