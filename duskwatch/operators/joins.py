@@ -63,20 +63,16 @@ def lookup_left(
             "__key", F.when(F.col("__hot_key").isNull(), F.col(key))
         )
         hot_values = {c: F.col(f"__hot_{c}") for c in values}
-    left = left.withColumn(
-        "__salt",
-        F.when(F.col("__key").isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD))).otherwise(F.lit(0)),
-    )
-    right = cold.select(
-        F.col(key).alias("__right_key"), F.lit(0).cast("bigint").alias("__right_salt"), *[
-            F.col(c).alias(f"__cold_{c}") for c in values
-        ]
-    )
+    # A stand-in key spreads the rows; ``__real`` keeps it from ever matching.
+    kind = big.schema[key].dataType
+    stand_in = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast(kind)
+    left = left.withColumn("__real", F.col("__key").isNotNull()).withColumn("__key", F.coalesce("__key", stand_in))
+    right = cold.select(F.col(key).alias("__right_key"), *[F.col(c).alias(f"__cold_{c}") for c in values])
     if broadcast_rows is not None:
         right = broadcast_if_small(right, lookup, broadcast_rows)
     joined = left.join(
         right,
-        (F.col("__key") == F.col("__right_key")) & (F.col("__salt") == F.col("__right_salt")),
+        (F.col("__key") == F.col("__right_key")) & F.col("__real"),
         "left",
     )
     out = [F.col(c) for c in big.columns if c not in values]
@@ -110,7 +106,7 @@ def interval_join(
     return lb.join(rb, pair, how).drop("__bucket", "__rbucket")
 
 
-def either_endpoint_join(flows: DataFrame, indicators: DataFrame, *, flow_id: str = "flow_id") -> DataFrame:
+def either_endpoint_join(flows: DataFrame, indicators: DataFrame) -> DataFrame:
     """Flows whose source or destination is an indicator value, once per flow and indicator.
 
     A union of two equi joins; an OR condition would be a nested loop. A flow between two

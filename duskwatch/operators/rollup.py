@@ -111,9 +111,10 @@ def session_techniques(events: DataFrame) -> DataFrame:
     return session_summaries(events).withColumn("technique", _label())
 
 
-def technique_hourly(events: DataFrame) -> DataFrame:
+def technique_hourly(events: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Technique counter at the hour of the closing.
 
+    ``history`` holds the sessions' earlier events when ``events`` is only a time slice.
     Closings are counted per (session, hour, short or not) before they meet the session
     totals, so a session with many closings is a few rows in the join.
     """
@@ -127,19 +128,19 @@ def technique_hourly(events: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return (
-        closed.join(session_totals(events), "session")
+        closed.join(session_totals(events if history is None else history), "session")
         .groupBy("bucket", F.lit("technique").alias("dimension"), _label().alias("value"))
         .agg(F.sum("n").alias("count"))
     )
 
 
-def all_counters(events: DataFrame) -> DataFrame:
+def all_counters(events: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Every counter the rankings use: plain fields, command, proxy port and technique."""
     plain = _unpivot(
         events,
         dimension_columns() | {"command": command_column(), "proxy_target_port": proxy_port_column()},
     )
-    return plain.unionByName(technique_hourly(events))
+    return plain.unionByName(technique_hourly(events, history))
 
 
 def hour_bounds(now: datetime, hours: int) -> tuple[str, str]:

@@ -87,7 +87,7 @@ def country_codes(t: Telemetry) -> DataFrame:
   WHERE "window" = '24H' AND dimension = 'country' AND rank <= 20)""",
 )
 def choropleth_feed(t: Telemetry) -> DataFrame:
-    ranked = R.top_list(ranks(t.between(*DAY)), "country", "24h", 20)
+    ranked = R.top_list(ranks(t, DAY), "country", "24h", 20)
     return K.relative_intensity(ranked, country_codes(t))
 
 
@@ -314,12 +314,13 @@ def technique_hourly(t: Telemetry) -> DataFrame:
     return A.technique_hourly(t.events)
 
 
-def counters(t: Telemetry) -> DataFrame:
-    return A.all_counters(t.stored)
+def counters(t: Telemetry, span: tuple[str, str] = WEEK) -> DataFrame:
+    """Counters of the trailing window; only sessions' earlier events are read beyond it."""
+    return A.all_counters(t.between(*span).stored, history=t.events)
 
 
-def ranks(t: Telemetry) -> DataFrame:
-    return K.top_ranks(A.trailing_totals(counters(t), NOW))
+def ranks(t: Telemetry, span: tuple[str, str] = WEEK) -> DataFrame:
+    return K.top_ranks(A.trailing_totals(counters(t, span), NOW))
 
 
 def _technique_counters(t: Telemetry) -> DataFrame:
@@ -358,7 +359,8 @@ def daily_summary(t: Telemetry) -> DataFrame:
 def today_summary(t: Telemetry) -> DataFrame:
     """The current day. Sessions may have begun on earlier days, so the label counters see all events."""
     today = t.between("2024-01-30 00:00:00", "2024-01-31 00:00:00")
-    return _flat_summary(A.daily_summary(today.events, _technique_counters(t), day="2024-01-30"))
+    labels = A.technique_hourly(today.events, history=t.events)
+    return _flat_summary(A.daily_summary(today.events, labels, day="2024-01-30"))
 
 
 @query(
@@ -371,7 +373,7 @@ LATERAL (SELECT CAST(coalesce(sum(CASE WHEN value = 'brute_force' THEN count END
   FROM tech WHERE bucket BETWEEN w.lo AND '2024-01-31T00')""",
 )
 def technique_breakdown(t: Telemetry) -> DataFrame:
-    tech = _technique_counters(t)
+    tech = A.technique_hourly(t.between(*WEEK).events, history=t.events)
     parts = [
         A.technique_breakdown(tech, NOW, hours).withColumn("span", F.lit(span)).withColumn("lo", F.lit(lo))
         for span, hours, lo in (("24h", 24, "2024-01-30T01"), ("7d", 168, "2024-01-24T01"))
@@ -457,7 +459,7 @@ LEFT JOIN geo ON geo.asn = CAST(value AS BIGINT)
 WHERE "window" = '7D' AND dimension = 'asn' AND rank <= 25""",
 )
 def top_asns(t: Telemetry) -> DataFrame:
-    ranked = R.top_asns(ranks(t.between(*WEEK)), "7d", 25, t.geo_ranges)
+    ranked = R.top_asns(ranks(t), "7d", 25, t.geo_ranges)
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -509,7 +511,7 @@ def summary_card(t: Telemetry) -> DataFrame:
     """SELECT count(*) AS countries FROM ranks WHERE "window" = '24H' AND dimension = 'country' AND count > 0""",
 )
 def observed_countries(t: Telemetry) -> DataFrame:
-    return R.observed_countries(ranks(t.between(*DAY)))
+    return R.observed_countries(ranks(t, DAY))
 
 
 @query(
