@@ -33,6 +33,27 @@ def candidate_counts(
     ).withColumnRenamed("last_client_ip", "ip")
 
 
+def _ambiguous_pairs(counts: DataFrame, proxies: DataFrame, window_us: int, floor_us: int) -> DataFrame:
+    return interval_join(
+        counts.filter(F.col("n") > 1).select(F.col("ts_us").alias("__at")),
+        proxies.select(F.col("ts_us").alias("__p"), "client_ip"),
+        left_time="__at",
+        right_time="__p",
+        lo=floor_us,
+        hi=window_us,
+    )
+
+
+def candidates_of(
+    events: DataFrame, proxies: DataFrame, *, window_us: int = WINDOW_US, floor_us: int = FLOOR_US
+) -> DataFrame:
+    """One row per ambiguous instant and candidate: ``ts_us, proxy_us, client_ip``."""
+    counts = candidate_counts(events, proxies, window_us=window_us, floor_us=floor_us)
+    return _ambiguous_pairs(counts, proxies, window_us, floor_us).select(
+        F.col("__at").alias("ts_us"), F.col("__p").alias("proxy_us"), "client_ip"
+    )
+
+
 def correlate_forward(
     events: DataFrame,
     proxies: DataFrame,
@@ -43,20 +64,14 @@ def correlate_forward(
 ) -> DataFrame:
     """Add ``correlation_status, correlation_candidate_count`` (and ``correlation_candidate_ips``).
 
-    Only ambiguous instants need their candidates listed, so pairs are formed for those alone.
+    Status, count and address need no pairs. Listing the candidates of ambiguous events does
+    by its nature, so pairs are formed for those alone; at high concurrency leave the list
+    out and look up single events with ``candidates_of``.
     """
     counts = candidate_counts(events, proxies, window_us=window_us, floor_us=floor_us)
     if list_candidates:
-        several = counts.filter(F.col("n") > 1).select(F.col("ts_us").alias("__at"))
         listed = (
-            interval_join(
-                several,
-                proxies.select(F.col("ts_us").alias("__p"), "client_ip"),
-                left_time="__at",
-                right_time="__p",
-                lo=floor_us,
-                hi=window_us,
-            )
+            _ambiguous_pairs(counts, proxies, window_us, floor_us)
             .groupBy("__at")
             .agg(F.array_sort(F.collect_list(F.struct("__p", "client_ip"))).alias("__pairs"))
             .select("__at", F.col("__pairs.client_ip").alias("__ips"))

@@ -182,19 +182,26 @@ def _corr_columns(df: DataFrame, *more) -> DataFrame:
     )
 
 
-def _ips():
-    return F.coalesce(F.concat_ws(",", "correlation_candidate_ips"), F.lit("")).alias("ips")
+@query("corr_forward", _CORR_SQL.format("eventid", "fwd"))
+def corr_forward(t: Telemetry) -> DataFrame:
+    return _corr_columns(C.correlate_forward(t.tunnelled, t.proxies, list_candidates=False, **SPAN), F.col("eventid"))
 
 
-@query("corr_forward", _CORR_SQL.format("coalesce(ips, '') AS ips", "fwd"))
-def corr_forward(t: Telemetry) -> DataFrame:
-    return _corr_columns(C.correlate_forward(t.tunnelled, t.proxies, **SPAN), _ips())
+# Pairs are the result here, so the window is the production one of 500 ms.
+@query(
+    "corr_candidates",
+    """SELECT e.ts_us, p.ts_us AS proxy_us, p.client_ip FROM (SELECT DISTINCT ts_us FROM tun WHERE src_ip = '127.0.0.1') e
+JOIN px p ON p.ts_us BETWEEN e.ts_us - 500000 AND e.ts_us - 1000
+QUALIFY count(*) OVER (PARTITION BY e.ts_us) > 1""",
+)
+def corr_candidates(t: Telemetry) -> DataFrame:
+    return C.candidates_of(t.tunnelled, t.proxies)
 
 
-@query("corr_inherit", _CORR_SQL.format("coalesce(ips, '') AS ips", "inh"))
+@query("corr_inherit", _CORR_SQL.format("eventid", "inh"))
 def corr_inherit(t: Telemetry) -> DataFrame:
-    forward = stage(C.correlate_forward(t.tunnelled, t.proxies, **SPAN), "forward")
-    return _corr_columns(C.inherit_matches(forward), _ips())
+    forward = stage(C.correlate_forward(t.tunnelled, t.proxies, list_candidates=False, **SPAN), "forward")
+    return _corr_columns(C.inherit_matches(forward), F.col("eventid"))
 
 
 def _early(t: Telemetry) -> DataFrame:

@@ -161,11 +161,18 @@ def stream_hourly(t: Telemetry) -> DataFrame:
     return t.spark.read.parquet(path).select("bucket", "dimension", "value", "count")
 
 
-@query("stream_corr", "SELECT event_id, ts_us, n AS candidates, status, src_ip FROM fwd WHERE status IS NOT NULL")
+@query(
+    "stream_corr",
+    """SELECT event_id, ts_us, candidates, CASE candidates WHEN 0 THEN 'missed' WHEN 1 THEN 'matched' ELSE 'ambiguous' END
+  AS status, CASE WHEN candidates = 1 THEN ip ELSE '127.0.0.1' END AS src_ip FROM (
+  SELECT e.event_id, e.ts_us, count(p.ts_us) AS candidates, min(p.client_ip) AS ip
+  FROM tun e LEFT JOIN px p ON p.ts_us BETWEEN e.ts_us - 500000 AND e.ts_us - 1000
+  WHERE e.src_ip = '127.0.0.1' GROUP BY ALL)""",
+)
 def stream_corr(t: Telemetry) -> DataFrame:
     events = landed_stream(t, t.tunnelled.select("event_id", "ts_us", "src_ip"))
     proxies = landed_stream(t, t.proxies.select("ts_us", "client_ip"))
-    return result(t, correlate_streams(events, proxies, **SPAN))
+    return result(t, correlate_streams(events, proxies))
 
 
 @query("stream_sessions", "SELECT * FROM closings")
