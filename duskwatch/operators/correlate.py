@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from duskwatch.functions.net import LOOPBACK
 from duskwatch.operators.enrich import geo_enrich
 from duskwatch.operators.joins import interval_join, lookup_left
-from duskwatch.operators.sweep import single_owner, trailing_counts
+from duskwatch.operators.sweep import nearest_preceding, single_owner, trailing_counts
 from duskwatch.session import stage
 
 WINDOW_US = 500_000
@@ -54,6 +54,26 @@ def candidates_of(
     )
 
 
+def candidate_spans(
+    events: DataFrame, proxies: DataFrame, *, window_us: int = WINDOW_US, floor_us: int = FLOOR_US
+) -> DataFrame:
+    """Candidate list of each ambiguous instant as ``ts_us, n, oldest_us, newest_us``.
+
+    The candidates are exactly the proxy rows between the two times, so this says all the
+    list says in one row, however many candidates there are.
+    """
+    counts = candidate_counts(events, proxies, window_us=window_us, floor_us=floor_us)
+    several = stage(counts.filter(F.col("n") > 1).select("ts_us", "n"), "ambiguous")
+    newest = nearest_preceding(several, proxies, floor_us=floor_us).withColumnRenamed("point_us", "newest_us")
+    # The oldest one is the nearest preceding one with time running backwards.
+    back = nearest_preceding(
+        several.select("ts_us", (F.lit(window_us) - F.col("ts_us")).alias("__back")),
+        proxies.select((-F.col("ts_us")).alias("__back")),
+        time="__back",
+    ).select(F.col("ts_us").alias("__at"), (-F.col("point_us")).alias("oldest_us"))
+    return newest.join(back, newest["ts_us"] == back["__at"]).select("ts_us", "n", "oldest_us", "newest_us")
+
+
 def correlate_forward(
     events: DataFrame,
     proxies: DataFrame,

@@ -187,15 +187,14 @@ def corr_forward(t: Telemetry) -> DataFrame:
     return _corr_columns(C.correlate_forward(t.tunnelled, t.proxies, list_candidates=False, **SPAN), F.col("eventid"))
 
 
-# Pairs are the result here, so the window is the production one of 500 ms.
 @query(
     "corr_candidates",
-    """SELECT e.ts_us, p.ts_us AS proxy_us, p.client_ip FROM (SELECT DISTINCT ts_us FROM tun WHERE src_ip = '127.0.0.1') e
-JOIN px p ON p.ts_us BETWEEN e.ts_us - 500000 AND e.ts_us - 1000
-QUALIFY count(*) OVER (PARTITION BY e.ts_us) > 1""",
+    """SELECT e.ts_us, count(*) AS n, min(p.ts_us) AS oldest_us, max(p.ts_us) AS newest_us
+FROM (SELECT DISTINCT ts_us FROM tun WHERE src_ip = '127.0.0.1') e
+JOIN px p ON p.ts_us BETWEEN e.ts_us - 600000000 AND e.ts_us - 1000000 GROUP BY e.ts_us HAVING count(*) > 1""",
 )
 def corr_candidates(t: Telemetry) -> DataFrame:
-    return C.candidates_of(t.tunnelled, t.proxies)
+    return C.candidate_spans(t.tunnelled, t.proxies, **SPAN)
 
 
 @query("corr_inherit", _CORR_SQL.format("eventid", "inh"))

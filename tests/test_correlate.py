@@ -60,6 +60,26 @@ def test_two_proxy_rows_of_one_instant_are_ambiguous(spark):
     assert result(C.correlate_forward(events(spark, [("a", T, LOOP)]), p))[0][1:] == ("ambiguous", 2, ["198.51.100.7"] * 2)
 
 
+def test_candidate_spans_and_lists_agree(spark):
+    rnd = random.Random(11)
+    times = [T + rnd.randrange(20_000_000) for _ in range(80)]
+    clients = [(T + rnd.randrange(20_000_000), f"198.51.100.{i}") for i in range(120)]
+    e, p = events(spark, [("a", t, LOOP) for t in times]), proxies(spark, clients)
+    want = {}
+    for t in times:
+        inside = sorted(c for c in clients if t - 500_000 <= c[0] <= t - 1_000)
+        if len(inside) > 1:
+            want[t] = inside
+    spans = {r["ts_us"]: (r["n"], r["oldest_us"], r["newest_us"]) for r in C.candidate_spans(e, p).collect()}
+    assert spans == {t: (len(c), c[0][0], c[-1][0]) for t, c in want.items()} and want
+    listed = {}
+    for t, us, ip in C.candidates_of(e, p).collect():
+        listed.setdefault(t, []).append((us, ip))
+    assert {t: sorted(c) for t, c in listed.items()} == want
+    column = C.correlate_forward(e, p).filter("correlation_status = 'ambiguous'").collect()
+    assert {r["ts_us"]: r["correlation_candidate_ips"] for r in column} == {t: [ip for _, ip in c] for t, c in want.items()}
+
+
 @pytest.mark.parametrize("hot_rows", [2, 10**9])
 def test_inheritance(spark, hot_rows):
     e = events(
