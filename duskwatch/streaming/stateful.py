@@ -20,31 +20,31 @@ COMMAND, CLOSED = "cowrie.command.input", "cowrie.session.closed"
 
 
 class _Expiring(StatefulProcessor):
-    """Clears its state ``keep_ms`` after the newest row of the key."""
+    """Clears its state ``keep_ms`` after the newest row of the key. The timer is kept in the state row."""
 
     keep_ms = 3_600_000
+    fields = ""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.timer = handle.getValueState("timer", "at long")
+        self.state = handle.getValueState("state", f"timer long{self.fields}")
 
-    def push_timer(self, newest_us: int) -> None:
+    def renewed(self, timer: int | None, newest_us: int) -> int:
+        """Move the timer when the key has newer rows; returns the one in force."""
         at = newest_us // 1000 + self.keep_ms
-        old = self.timer.get()[0] if self.timer.exists() else None
-        if old is not None and old >= at:
-            return
-        if old is not None:
-            self.handle.deleteTimer(old)
+        if timer is not None and timer >= at:
+            return timer
+        if timer is not None:
+            self.handle.deleteTimer(timer)
         self.handle.registerTimer(at)
-        self.timer.update((at,))
+        return at
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.clear()
-        self.timer.clear()
         return iter(())
 
     def clear(self) -> None:
-        raise NotImplementedError
+        self.state.clear()
 
     def close(self) -> None:
         pass
@@ -53,36 +53,40 @@ class _Expiring(StatefulProcessor):
 class SessionCounters(_Expiring):
     """Counters per session; a summary row for each closing, with what has arrived so far."""
 
+    fields = ", failed long, succeeded long, commands long, usernames long"
+
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.counts = handle.getValueState("counts", "failed long, succeeded long, commands long, usernames long")
         self.names = handle.getMapState("names", "name string", "seen boolean")
 
     def clear(self) -> None:
-        self.counts.clear()
+        super().clear()
         self.names.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        failed, succeeded, commands, usernames = self.counts.get() if self.counts.exists() else (0, 0, 0, 0)
-        closings, newest = [], 0
+        timer, failed, succeeded, commands, usernames = self.state.get() or (None, 0, 0, 0, 0)
+        known = usernames > 0
+        closings, newest, fresh = [], 0, set()
         for pdf in rows:
-            kinds = pdf["eventid"].value_counts()
-            failed += int(kinds.get(FAILED, 0))
-            succeeded += int(kinds.get(SUCCESS, 0))
-            commands += int(kinds.get(COMMAND, 0))
-            for name in pdf.loc[pdf["eventid"].isin((FAILED, SUCCESS)), "username"].dropna().unique():
-                if not self.names.containsKey((name,)):
+            kind = pdf["eventid"].to_numpy()
+            failed += int((kind == FAILED).sum())
+            succeeded += int((kind == SUCCESS).sum())
+            commands += int((kind == COMMAND).sum())
+            login = (kind == FAILED) | (kind == SUCCESS)
+            for name in set(pdf.loc[login, "username"].dropna()) - fresh:
+                fresh.add(name)
+                if not (known and self.names.containsKey((name,))):
                     self.names.updateValue((name,), (True,))
                     usernames += 1
-            closings.append(pdf.loc[pdf["eventid"] == CLOSED, ["ts", "duration"]])
+            closed = kind == CLOSED
+            if closed.any():
+                closings.append(pdf.loc[closed, ["ts", "duration"]])
             newest = max(newest, int(pdf["ts_us"].max()))
-        self.counts.update((failed, succeeded, commands, usernames))
-        self.push_timer(newest)
-        closed = pd.concat(closings)
-        if len(closed):
+        self.state.update((self.renewed(timer, newest), failed, succeeded, commands, usernames))
+        for closed in closings:
             yield pd.DataFrame(
                 {
                     "session": key[0],
@@ -116,20 +120,18 @@ def session_summary_stream(events: DataFrame, *, watermark: str = "1 hour", keep
 
 
 class FirstMatch(_Expiring):
-    """Remembers the first matched address of a session and gives it to later events."""
+    """Remembers the first matched address of a session and gives it to later events.
 
-    def __init__(self, keep_ms: int):
-        self.keep_ms = keep_ms
+    A session without a match has no state.
+    """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.address = handle.getValueState("address", "ip string")
+    fields = ", ip string"
 
-    def clear(self) -> None:
-        self.address.clear()
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ip = self.address.get()[0] if self.address.exists() else None
+        timer, ip = self.state.get() or (None, None)
         newest = 0
         for pdf in rows:
             pdf = pdf.sort_values(["ts_us", "eventid"], kind="stable").reset_index(drop=True)
@@ -139,7 +141,6 @@ class FirstMatch(_Expiring):
                 hits = np.flatnonzero((pdf["status"] == "matched").to_numpy())
                 if len(hits):
                     ip = pdf["src_ip"].iat[hits[0]]
-                    self.address.update((ip,))
                     start = hits[0] + 1
                 else:
                     start = len(pdf)
@@ -152,7 +153,8 @@ class FirstMatch(_Expiring):
                     "status": pdf["status"].where(~take, "matched_inherited"),
                 }
             )
-        self.push_timer(newest)
+        if ip is not None:
+            self.state.update((self.renewed(timer, newest), ip))
 
 
 def inherit_stream(events: DataFrame, *, watermark: str = "1 hour", keep_ms: int = 86_400_000) -> DataFrame:
@@ -202,6 +204,7 @@ class RollingCounts(_Expiring):
         self.log = handle.getListState("log", "ts_us long, username string")
 
     def clear(self) -> None:
+        super().clear()
         self.log.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -230,7 +233,8 @@ class RollingCounts(_Expiring):
             newest = max(newest, int(times[-1]))
             log = deque((t, n) for t, n, _ in merged if t >= newest - self.width_us)
         self.log.put(list(log))
-        self.push_timer(newest)
+        (timer,) = self.state.get() or (None,)
+        self.state.update((self.renewed(timer, newest),))
 
 
 def rolling_count_stream(failed: DataFrame, *, width_us: int, watermark: str = "10 minutes") -> DataFrame:
