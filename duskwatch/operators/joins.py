@@ -109,13 +109,22 @@ def interval_join(
 def either_endpoint_join(flows: DataFrame, indicators: DataFrame) -> DataFrame:
     """Flows whose source or destination is an indicator value, once per flow and indicator.
 
-    A union of two equi joins; an OR condition would be a nested loop. A flow between two
-    listed hosts of one indicator row is kept once, with ``src`` as the matched side.
+    Each flow is unfolded into its endpoints and joined once, so flows are read once and the
+    join is an equi join; an OR condition would be a nested loop. A flow between two equal
+    listed hosts is kept once per indicator row, with ``src`` as the matched side.
     """
+    src, dest = F.col("src_ip"), F.col("dest_ip")
+    ends = F.array_compact(
+        F.array(
+            F.struct(src.alias("ip"), F.lit("src").alias("side")),
+            F.when(~dest.eqNullSafe(src), F.struct(dest.alias("ip"), F.lit("dest").alias("side"))),
+        )
+    )
+    sides = flows.select("*", F.explode(ends).alias("__end")).select(
+        *flows.columns, F.col("__end.ip").alias("__ip"), F.col("__end.side").alias("matched_on")
+    )
     ind = indicators.withColumnRenamed("value", "ioc_value")
-    by_src = flows.join(ind, flows["src_ip"] == ind["ioc_value"]).withColumn("matched_on", F.lit("src"))
-    by_dst = flows.join(ind, (flows["dest_ip"] == ind["ioc_value"]) & ~flows["dest_ip"].eqNullSafe(flows["src_ip"]))
-    return by_src.unionByName(by_dst.withColumn("matched_on", F.lit("dest")))
+    return sides.join(ind, sides["__ip"] == ind["ioc_value"]).drop("__ip")
 
 
 def disjoint_ranges(ranges: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ class Telemetry:
             "event_type",
             "value",
             F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
-            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+            F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
         ).withColumn("ts", us_to_iso(F.col("ts_us")))
 
     @cached_property
