@@ -28,17 +28,26 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables, which driver and executors share.
 
-    The folder named in ``spark.checkpoint.dir`` is used when the session has one; a
-    machine-local folder is made only when it is unset, as in tests.
+    It is the one in ``spark.checkpoint.dir`` or given to ``setCheckpointDir``. Where
+    neither is set, a session whose executors are threads of the driver gets a temporary
+    one; any other session gets an error, since executors do not see the driver's disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = tempfile.mkdtemp(prefix="duskwatch-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if base:
+        return base.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="duskwatch-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the shared one. The caller's job owns it and may delete it once its results are written."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
