@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm import mixing, quality_rules, url_filter, warc
+from duskwatch.llm import decontaminate, mixing, quality_rules, url_filter, warc
 from duskwatch.session import use_utc, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,35 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+SHARED_SQL = r"""
+WITH w AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+spans AS (SELECT item_id, ws, least(len(ws), 10) AS n FROM b WHERE len(ws) > 0),
+item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM spans)),
+doc_windows AS (
+  SELECT r, i, n, array_to_string(ws[i:i + n - 1], ' ') AS win
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, (SELECT DISTINCT n FROM spans) WHERE len(ws) >= n)),
+hits AS (SELECT d.r, d.i, d.n, k.item_id FROM doc_windows d JOIN item_windows k ON d.win = k.win AND d.n = k.n),
+hit_words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM hits)) GROUP BY r),
+hit_items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hits) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""
+
+
+@query("op3_decontaminate", SHARED_SQL)
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
+
+
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged, _ = quality_rules.judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
