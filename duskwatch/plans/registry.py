@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from duskwatch.plans.views import VIEWS
-from duskwatch.session import use_utc
+from duskwatch.session import prepare
 from duskwatch.sources.telemetry import Telemetry
 
 QUERIES: dict[str, Callable[[Telemetry], DataFrame]] = {}
@@ -42,7 +42,7 @@ def with_views(sql: str) -> str:
 
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        use_utc(spark)
+        prepare(spark)
         return QUERIES[name](Telemetry(spark, folder))
 
     run.__name__ = name

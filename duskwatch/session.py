@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,31 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application: their Python functions import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="duskwatch-"), "duskwatch.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)  # Spark's own file server hands it to the executors
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> None:
+    use_utc(spark)
+    ship_package(spark)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables, which driver and executors share.
 

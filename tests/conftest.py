@@ -8,10 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from duskwatch.session import local_session
+    from duskwatch.session import local_session, ship_package
 
     s = local_session("tests", "8", 4)
     s.sparkContext.setLogLevel("ERROR")
+    ship_package(s)
     yield s
     s.stop()
 
