@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from duskwatch.llm import mixing
-from duskwatch.session import stage, use_utc
+from duskwatch.session import prepare, stage
 
 ORACLE_SQL = None  # learned and hashed stages are not SQL's; tests/llm compares with brute force
 
@@ -19,7 +19,7 @@ STAGES = [("mix", mix)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_utc(spark)
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, fn) in enumerate(STAGES):
         docs = fn(spark, docs, sf_dir)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm import decontaminate, mixing, quality_rules, url_filter, warc
-from duskwatch.session import use_utc, work_dir
+from duskwatch.llm import decontaminate, mixing, neardup, quality_rules, url_filter, warc
+from duskwatch.session import prepare, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -17,7 +17,7 @@ SQL: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            use_utc(spark)
+            prepare(spark)
             return fn(spark, folder)
 
         QUERIES[name] = run
@@ -126,6 +126,12 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
 
 
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged, _ = quality_rules.judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
