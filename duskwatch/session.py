@@ -84,5 +84,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     executor costs a re-read instead of a recomputation.
     """
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
