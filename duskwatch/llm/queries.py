@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm import decontaminate, mixing, neardup, quality_rules, url_filter, warc
+from duskwatch.llm import decontaminate, mixing, neardup, quality_rules, secrets, toxicity, url_filter, warc
 from duskwatch.session import prepare, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,12 +126,63 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
 
 
+SECRET_SQL = r"""
+WITH kinds(ord, kind, pat, grp, least) AS (VALUES
+  (1, 'assign', '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
+  (2, 'access', '()AKIA[A-Z0-9]+', 0, 18), (3, 'hex', '()[0-9a-f]+', 0, 16),
+  (4, 'private_key', '()-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 1), (5, 'github', '()gh[pousr]_[A-Za-z0-9]{36,}', 0, 1),
+  (6, 'slack', '()xox[abprs]-[A-Za-z0-9-]{10,}', 0, 1),
+  (7, 'jwt', '()eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}', 0, 1)),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+found AS (
+  SELECT r, ord, kind, least, regexp_extract_all(text, pat, 0) AS ms, CASE WHEN grp = 2 THEN regexp_extract_all(text, pat, 2) ELSE regexp_extract_all(text, pat, 0) END AS gs,
+    string_split_regex(text, pat) AS gaps FROM d, kinds),
+each AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM found),
+spans AS (
+  SELECT r, ord, kind, length(gs[i]) AS n, least,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s, length(ms[i]) AS m
+  FROM each),
+good AS (SELECT r, ord, kind, s, kind || ':' || s::BIGINT || ':' || (s + m)::BIGINT AS t FROM spans WHERE n >= least),
+per_doc AS (
+  SELECT r, count(*) FILTER (WHERE ord = 1) AS n_assign, count(*) FILTER (WHERE ord = 2) AS n_access, count(*) FILTER (WHERE ord = 3) AS n_hex,
+    string_agg(t, ',' ORDER BY s, ord) FILTER (WHERE ord <= 3) AS base, string_agg(t, ',' ORDER BY s, ord) AS spans FROM good GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per_doc USING (r)
+"""
+
+
+@query("op4_secret_scan", SECRET_SQL)
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s.kind.isin("assign", "access", "hex"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 @query("op5_near_duplicates")
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+# The chain's label columns, in order, with the value that counts as positive.
+TOXIC_CHAIN = {"quality": 0, "toxic": 1}
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit_chain(docs, table(spark, folder, "labels"), TOXIC_CHAIN))
+
+
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged, _ = quality_rules.judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
