@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm import decontaminate, mixing, neardup, quality_rules, secrets, toxicity, url_filter, warc
+from duskwatch.llm import ctw, decontaminate, mixing, neardup, quality_rules, secrets, toxicity, url_filter, warc
 from duskwatch.session import prepare, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,6 +173,13 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op6_lm_score")
+def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7)) == 2
+    scored = ctw.score_texts(table(spark, folder, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 # The chain's label columns, in order, with the value that counts as positive.
 TOXIC_CHAIN = {"quality": 0, "toxic": 1}
 
