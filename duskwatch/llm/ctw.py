@@ -33,7 +33,7 @@ from duskwatch.session import stage
 
 WORD_BIT = np.uint64(1 << 63)  # set in codes of words, never in those of byte runs
 END = WORD_BIT
-LEAST_BLOCK, MOST_BLOCK, BLOCKS = 1 << 20, 64 << 20, 48
+LEAST_BLOCK, MOST_BLOCK, BLOCKS = 1 << 20, 64 << 20, 24
 
 
 class Symbols:
@@ -241,7 +241,7 @@ def score_block(depth: int, unseen: float):
     return run
 
 
-def score_texts(docs: DataFrame, train: Column, *, doc_id: str = "doc_id", text: str = "text", depth: int = 3) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, *, doc_id: str = "doc_id", text: str = "text", depth: int = 4) -> DataFrame:
     """Per document: doc_id, train, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte.
 
     ``train`` tells, of a row of ``docs``, whether the models learn from it; ``depth`` is 2 to 6.

@@ -5,11 +5,13 @@ equal sets are one class from the start. Classes that agree in a band of their s
 signatures are compared a batch at a time, and a pair is dropped once the posterior probability (uniform prior) that its
 similarity reaches the threshold is below ``miss``; the rest is verified on the full sets.
 
-Pairs within a bucket are never listed. First every member meets its bucket's smallest id, which joins groups of copies
-into components. Then members that are still in different components of a bucket are compared: cut by set size, since a
-similarity bounds the ratio of sizes, and in blocks of some hundreds against each other, so that a large bucket is many
-tasks and only survivors leave them. With bands of 5 out of 125 hashes a pair at 0.85 is missed as candidate with
-probability 4e-7, and one at ``miss`` by the signatures.
+Pairs within a group are never listed. First every member meets its bucket's smallest id; verified pairs make
+components, and pairs that only the signatures let through make canopies, which hold a group of copies and its more
+distant relatives. Then, inside a canopy, documents of different components are compared, signatures first and full sets
+after, within blocks of some hundreds that carry the texts: only new links leave a block. Last, members of a bucket that
+are in different canopies are compared by signatures, cut by set size (a similarity bounds the ratio of sizes) and in
+blocks too, and the few pairs left are verified. With bands of 5 out of 125 hashes a pair at 0.85 is missed as a
+candidate with probability 4e-7, and one at ``miss`` by the signatures.
 
 Cases: a null or empty text has the empty set and no links; a row without id has none either and is kept; rows with
 one id are one document, so their links add up. Only id and text are read.
@@ -31,7 +33,8 @@ from duskwatch.session import stage
 
 BANDS, ROWS = 25, 5
 HASHES = BANDS * ROWS
-BLOCK = 512
+BLOCK = 256  # documents on a side of a block
+BLOCK_SHINGLES = 1 << 19  # shingles on a side of a block
 _RNG = np.random.default_rng(20240229)
 FACTORS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 MASKS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -143,23 +146,61 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest
 
 
+def pairs_in(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a block with the rows it is to meet: a block with itself (part 0), or its left (1) with its right side (2)."""
+    both, right = np.flatnonzero(part == 0), np.flatnonzero(part == 2)
+    for i in np.flatnonzero(part <= 1):
+        yield i, both[both > i] if part[i] == 0 else right
+
+
+def near_sizes(n: np.ndarray, i: int, other: np.ndarray, threshold: float) -> np.ndarray:
+    return np.minimum(n[other], n[i]) >= threshold * np.maximum(n[other], n[i])
+
+
 def block_rows(limits: list[tuple[int, int]], threshold: float):
-    """Survivors between the two sides of each block: different components, sizes near enough, signatures alike."""
+    """Survivors of blocks: in different components and canopies, sizes near enough, signatures alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in blocks_of(batches):
+            part, canopy, comp, n = (rows.column(c).to_numpy() for c in ("part", "canopy", "component", "n"))
+            signs, ids = signs_of(rows.column("sign").combine_chunks()), rows.column("id").combine_chunks()
+            for i, other in pairs_in(part):
+                other = other[(canopy[other] != canopy[i]) & (comp[other] != comp[i]) & near_sizes(n, i, other, threshold)]
+                if len(other):
+                    close = other[prune(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], limits)]
+                    if len(close):
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.full(len(close), i))), ids.take(pa.array(close))], ["a", "b"])
+
+    return run
+
+
+def linked_rows(limits: list[tuple[int, int]], threshold: float, size: int, percent: int):
+    """New links of blocks whose rows carry texts: full sets are compared where signatures are alike, until both are in one component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in blocks_of(batches):
-            part, comp, n = (rows.column(c).to_numpy() for c in ("part", "component", "n"))
-            signs = signs_of(rows.column("sign").combine_chunks())
-            both, right = np.flatnonzero(part == 0), np.flatnonzero(part == 2)  # a block with itself, or its left (1) and right side
-            for i in np.flatnonzero(part <= 1):
-                other = both[both > i] if part[i] == 0 else right
-                other = other[(comp[other] != comp[i]) & (np.minimum(n[other], n[i]) >= threshold * np.maximum(n[other], n[i]))]
+            part, n = rows.column("part").to_numpy(), rows.column("n").to_numpy()
+            _, comp = np.unique(rows.column("component").to_numpy(), return_inverse=True)
+            signs, ids = signs_of(rows.column("sign").combine_chunks()), rows.column("id").combine_chunks()
+            sets = list(shingle_sets(rows.column("text").combine_chunks(), size))
+            left, right = [], []
+            for i, other in pairs_in(part):
+                other = other[(comp[other] != comp[i]) & near_sizes(n, i, other, threshold)]
                 if not len(other):
                     continue
                 close = other[prune(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], limits)]
-                if len(close):
-                    ids = rows.column("id").combine_chunks()
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.full(len(close), i))), ids.take(pa.array(close))], ["a", "b"])
+                if not len(close) or not len(sets[i]):
+                    continue
+                found = np.concatenate([sets[j] for j in close])
+                at = np.minimum(np.searchsorted(sets[i], found), len(sets[i]) - 1)
+                both = np.add.reduceat((sets[i][at] == found).astype(np.int64), np.concatenate(([0], np.cumsum([len(sets[j]) for j in close])[:-1])))
+                sizes = np.array([len(sets[j]) for j in close])
+                for j in close[100 * both >= percent * (len(sets[i]) + sizes - both)]:
+                    if comp[j] != comp[i]:
+                        comp[comp == comp[j]] = comp[i]
+                        left.append(i)
+                        right.append(j)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(left, pa.int64())), ids.take(pa.array(right, pa.int64()))], ["a", "b"])
 
     return run
 
@@ -215,39 +256,58 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     def of(name: str) -> DataFrame:
         return classes.select(F.col("id").alias(name), F.col("sign").alias(f"sign_{name}"))
 
-    def verified(survivors: DataFrame) -> DataFrame:
-        """Pairs of (a, b) whose full sets are similar; the texts needed are picked from the documents once."""
-        ids = survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """(id, text) of the classes with these ids, picked from the documents."""
         needed = classes.join(ids, "id", "left_semi").select(F.col("id").alias("doc_id"), "text_hash").distinct()
         picked = rows.select("doc_id", "text_hash", "text").join(stage(needed, "needed"), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
-        texts = stage(picked, "texts")
-        both = survivors.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        return stage(picked.select(F.col("doc_id").alias("id"), "text_hash", "text"), "texts")
+
+    def verified(survivors: DataFrame) -> DataFrame:
+        """Pairs of (a, b) whose full sets are similar."""
+        texts = texts_of(survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        both = survivors.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         return both.mapInArrow(exact_rows(size, percent), pair_type).distinct()
 
+    def blocks(dealt: DataFrame) -> DataFrame:
+        return dealt.repartition("block").sortWithinPartitions("block")
+
     alike = stage(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(pair_rows(limits), pair_type), "survivors")
     edges = stage(verified(alike), "links")
-    roots = components(edges)
-
-    # members of one bucket that are in different components still
-    placed = stage(members.where("members > 2").join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("component")), "placed")
-    mixed = stage(placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key"), "mixed")
+    cell = F.pmod(F.xxhash64("id"), "fan").cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("fan") - 1))
+    low, high = F.least("cell", "other"), F.greatest("cell", "other")
+    side = F.when(low == high, 0).when(F.col("cell") == low, 1).otherwise(2)
+
+    # inside canopies: documents that no verified link has joined yet
+    canopies = components(alike).select("id", F.col("root").alias("canopy"))
+    placed = stage(canopies.join(components(edges), "id", "left").select("id", "canopy", F.coalesce("root", "id").alias("component")), "placed")
+    sums = placed.join(classes.select("id", "n"), "id").groupBy("canopy").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    fan = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    split = stage(sums.where("x <> y").select("canopy", fan.alias("fan")), "canopies")
+    inside = stage(placed.join(split, "canopy"), "inside")
+    full = inside.join(classes.select("id", "text_hash", "n", "sign"), "id").join(texts_of(inside.select("id")), ["id", "text_hash"])
+    cells = full.withColumn("cell", cell).withColumn("other", others)
+    dealt = cells.select(F.xxhash64("canopy", low, high).alias("block"), side.alias("part"), "id", "component", "n", "sign", "text")
+    near = stage(blocks(dealt).mapInArrow(linked_rows(limits, threshold, size, percent), pair_type), "canopy-links")
+    edges = stage(edges.unionByName(near), "links")
+
+    # members of one bucket in different canopies: a size class meets itself and the one below
+    placed = canopies.join(components(edges), "id", "left").select("id", "canopy", F.coalesce("root", "id").alias("component"))
+    of_bucket = members.where("members > 2").join(placed, "id", "left").select("key", "id", F.coalesce("canopy", "id").alias("canopy"), F.coalesce("component", "id").alias("component"))
+    of_bucket = stage(of_bucket, "placed")
+    mixed = stage(of_bucket.groupBy("key").agg(F.min("canopy").alias("x"), F.max("canopy").alias("y")).where("x <> y").select("key"), "mixed")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(-log(threshold))).cast("int")
-    sized = placed.join(mixed, "key").join(classes.select("id", "n", "sign"), "id").withColumn("class", size_class)
-    # similar sizes are in one size class or in neighbours: each class meets itself and the one below
+    sized = of_bucket.join(mixed, "key").join(classes.select("id", "n"), "id").withColumn("class", size_class)
     meetings = stage(sized.withColumn("meet", F.explode(F.array(F.col("class"), F.col("class") + 1))).withColumn("own", F.col("meet") == F.col("class")), "meetings")
-    fans = meetings.groupBy("key", "meet").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("fan"), F.count_if("own").alias("owns"), F.count("*").alias("all"))
-    fans = stage(fans.where("owns > 0 AND all > 1").select("key", "meet", "fan"), "fans")
-    cells = meetings.join(fans, ["key", "meet"]).withColumn("cell", F.pmod(F.xxhash64("id"), "fan").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)))
-    low, high = F.least("cell", "other"), F.greatest("cell", "other")
-    within = cells.where("own").select(
-        F.xxhash64("key", "meet", low, high).alias("block"), F.when(low == high, 0).when(F.col("cell") == low, 1).otherwise(2).alias("part"), "id", "component", "n", "sign"
-    )
+    fans = meetings.groupBy("key", "meet").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("fan"), F.count_if("own").alias("owns"), F.min("canopy").alias("x"), F.max("canopy").alias("y"))
+    fans = stage(fans.where("owns > 0 AND x <> y").select("key", "meet", "fan"), "fans")
+    cells = meetings.join(fans, ["key", "meet"]).join(classes.select("id", "sign"), "id").withColumn("cell", cell).withColumn("other", others)
+    carried = ("id", "canopy", "component", "n", "sign")
+    within = cells.where("own").select(F.xxhash64("key", "meet", low, high).alias("block"), side.alias("part"), *carried)
     left, right = F.when(F.col("own"), F.col("cell")).otherwise(F.col("other")), F.when(F.col("own"), F.col("other")).otherwise(F.col("cell"))
-    across = cells.select(F.xxhash64("key", "meet", F.lit("below"), left, right).alias("block"), F.when(F.col("own"), 1).otherwise(2).alias("part"), "id", "component", "n", "sign")
-    dealt_out = within.unionByName(across).repartition("block").sortWithinPartitions("block")
-    late = stage(dealt_out.mapInArrow(block_rows(limits, threshold), pair_type).distinct(), "late-survivors")
-    edges = edges.unionByName(verified(late))
-    roots = components(edges)
+    across = cells.select(F.xxhash64("key", "meet", F.lit("below"), left, right).alias("block"), F.when(F.col("own"), 1).otherwise(2).alias("part"), *carried)
+    late = stage(blocks(within.unionByName(across)).mapInArrow(block_rows(limits, threshold), pair_type).distinct(), "late-survivors")
+    roots = components(edges.unionByName(verified(late)))
 
     of_class = stage(classes.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("component_id")), "class-roots")
     placed_rows = signed.select("row", "doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(of_class, "digest", "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm import ctw, decontaminate, mixing, neardup, quality_rules, secrets, toxicity, url_filter, warc
+from duskwatch.llm import ctw, decontaminate, mixing, neardup, quality_rules, secret_scan, toxicity, transcripts, url_filter, warc
 from duskwatch.session import prepare, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,9 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
 
 
+# Fixed value: weights of sources by their order, repeating.
+MIX_WEIGHTS = (5, 2, 1)
+
 MIX_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
@@ -93,7 +96,7 @@ FROM ordered
 
 @query("op2_mix_sources", MIX_SQL)
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    mixed = mixing.mix_ids(table(spark, folder, "documents"), mixing.cycle_weights((5, 2, 1)))
+    mixed = mixing.mix_ids(table(spark, folder, "documents"), mixing.cycle_weights(MIX_WEIGHTS))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -154,7 +157,7 @@ FROM d LEFT JOIN per_doc USING (r)
 
 @query("op4_secret_scan", SECRET_SQL)
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, folder, "documents"))
+    found = secret_scan.find_secrets(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s.kind.isin("assign", "access", "hex"))
 
     def joined(spans):
@@ -180,6 +183,14 @@ def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
+@query("op7_chat_format")
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    raw = transcripts.as_transcripts(table(spark, folder, "conversations"))
+    model = transcripts.fit(transcripts.lines_of(raw.where(F.pmod(F.xxhash64("conv_id"), F.lit(5)) != 0), "conv_id", "turn", "text", "role"))
+    turns = transcripts.turns_of(transcripts.decode(transcripts.lines_of(raw), model))
+    return turns.select(F.col("conv").alias("conv_id"), F.col("begins.turn").alias("turn"), F.col("begins.line").alias("line"), "role", "n_lines", "rendered")
+
+
 # The chain's label columns, in order, with the value that counts as positive.
 TOXIC_CHAIN = {"quality": 0, "toxic": 1}
 
