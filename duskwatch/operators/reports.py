@@ -98,8 +98,17 @@ def ip_history(events: DataFrame, ip: str) -> DataFrame:
     return public_events(events.filter(F.col("src_ip") == ip)).orderBy(F.desc("ts"), F.desc("session"), F.desc("eventid"))
 
 
+LISTED = ("username", "password", "country")
+
+
+def top_lists(ranks: DataFrame, limit: int = 20) -> DataFrame:
+    """All lists of both windows in one pass over the ranking."""
+    _check_limit(limit, 50)
+    return ranks.filter(F.col("dimension").isin(*LISTED) & (F.col("rank") <= limit))
+
+
 def top_list(ranks: DataFrame, dimension: str, window: str = "24h", limit: int = 20) -> DataFrame:
-    _check("dimension", dimension, ("username", "password", "country"))
+    _check("dimension", dimension, LISTED)
     _check("window", window, ("24h", "7d"))
     _check_limit(limit, 50)
     return ranks.filter(

@@ -202,14 +202,20 @@ def daily_summary(events: DataFrame, techniques: DataFrame, *, day: str | None =
     )
 
 
+def technique_breakdowns(techniques: DataFrame, now: datetime, spans: dict[str, int]) -> DataFrame:
+    """Totals of the four labels over trailing windows, given in hours by name; one aggregate for all, absent labels are 0."""
+    sums = []
+    for span, hours in spans.items():
+        lo, hi = hour_bounds(now, hours)
+        inside = F.col("bucket").between(lo, hi)
+        labels = [F.coalesce(F.sum(F.when(inside & (F.col("value") == t), F.col("count"))), F.lit(0)).alias(t) for t in TECHNIQUES]
+        sums.append(F.struct(F.lit(span).alias("span"), *labels))
+    return techniques.agg(F.array(*sums).alias("s")).select(F.inline("s"))
+
+
 def technique_breakdown(techniques: DataFrame, now: datetime, hours: int = 24) -> DataFrame:
-    """Totals of the four labels over the trailing window; absent labels are 0."""
-    lo, hi = hour_bounds(now, hours)
-    return (
-        techniques.filter(F.col("bucket").between(lo, hi))
-        .agg(*[F.sum(F.when(F.col("value") == t, F.col("count"))).alias(t) for t in TECHNIQUES])
-        .na.fill(0)
-    )
+    """Totals of the four labels over one trailing window."""
+    return technique_breakdowns(techniques, now, {"": hours}).drop("span")
 
 
 def cohort_mix(events: DataFrame) -> DataFrame:

@@ -68,6 +68,11 @@ def _inbound() -> Column:
     return ~is_home(_c("src_ip")) & is_home(_c("dest_ip"))
 
 
+def ssh_to_home() -> Column:
+    """Connections to home hosts on the SSH port, from anywhere: what the repeated-connections rule counts."""
+    return is_home(_c("dest_ip")) & (_c("dest_port") == 22)
+
+
 # Source names: honeypot, ids, ioc (rows that matched an indicator), flows, dns.
 RULES = (
     Rule("d1", "100100", 3, None, "honeypot", 0, lambda: _c("eventid").startswith("cowrie."), "Honeypot event"),
@@ -113,7 +118,8 @@ RULES = (
 )
 BY_KEY = {r.key: r for r in RULES}
 
-# Rules over several events: id, level, technique, source, depth.
+# Rules over several events or joined tables: id, level, technique, source, depth. Levels of rules that name a
+# severity only are a decision of this package: low 4, medium 6, high 10.
 MULTI_EVENT_RULES = (
     ("100105", 10, "T1110", "honeypot", 2),
     ("100106", 12, "T1110.004", "honeypot", 2),
@@ -213,8 +219,10 @@ def cross_source(ids_alerts: DataFrame, failed: DataFrame, *, lookback_us: int |
     return counted.filter(F.col("__n") > 0).drop("__n")
 
 
-def multi_event_alerts(brute: DataFrame, stuffing: DataFrame, cross: DataFrame, threshold: DataFrame) -> DataFrame:
-    """The rows of the multi-event detections as alerts."""
+def multi_event_alerts(
+    brute: DataFrame, stuffing: DataFrame, cross: DataFrame, threshold: DataFrame, bad_ip: DataFrame
+) -> DataFrame:
+    """The rows of the multi-event detections, and flows with a listed end (``ioc_value``), as alerts."""
     ip = F.coalesce(F.col("src_ip"), F.lit(""))
     suppressed = threshold.select(
         F.concat_ws(":", F.lit("window"), "src_ip", F.col("window_us").cast("string")).alias("source_event"),
@@ -226,6 +234,7 @@ def multi_event_alerts(brute: DataFrame, stuffing: DataFrame, cross: DataFrame,
         .unionByName(_multi(stuffing, "100106", F.concat(F.lit("Credential stuffing from "), ip)))
         .unionByName(_multi(cross, "100210", F.concat(F.lit("Honeypot attacker "), ip, F.lit(" seen by the IDS"))))
         .unionByName(_multi(suppressed, "1000001", F.concat(F.lit("Repeated connections from "), ip)))
+        .unionByName(_multi(bad_ip, "known_bad_ip", F.concat(F.lit("Known bad address "), F.col("ioc_value"))))
     )
 
 

@@ -192,22 +192,18 @@ def flow_sightings(flows: DataFrame) -> DataFrame:
     return flows.select("ts", F.explode(seen).alias("s")).select("s.kind", "s.asset", "ts")
 
 
+def technique_coverage(catalogue: DataFrame, rules: DataFrame) -> DataFrame:
+    """Each technique, whether a rule covers it, and the coverage tier of its tactic."""
+    ruled = rules.filter(F.col("technique").isNotNull()).select("technique", F.lit(True).alias("__hit")).distinct()
+    marked = catalogue.join(ruled, "technique", "left").withColumn("covered", F.col("__hit").isNotNull())
+    tiers = marked.groupBy("tactic").agg(F.bool_and("covered").alias("__all"), F.bool_or("covered").alias("__any"))
+    tier = F.when(F.col("__all"), "covered").when(~F.col("__any"), "none").otherwise("partial")
+    return marked.join(tiers.select("tactic", tier.alias("coverage")), "tactic").select("tactic", "technique", "covered", "coverage")
+
+
 def coverage_gaps(catalogue: DataFrame, rules: DataFrame) -> DataFrame:
-    """Techniques no rule covers, with the coverage of their tactic."""
-    covered = rules.filter(F.col("technique").isNotNull()).select("technique").distinct()
-    gaps = catalogue.join(covered, "technique", "left_anti")
-    per_tactic = (
-        catalogue.join(covered.withColumn("__hit", F.lit(1)), "technique", "left")
-        .groupBy("tactic")
-        .agg(F.count(F.lit(1)).alias("techniques"), F.count("__hit").alias("covered"))
-        .withColumn(
-            "coverage",
-            F.when(F.col("covered") == F.col("techniques"), "covered")
-            .when(F.col("covered") == 0, "none")
-            .otherwise("partial"),
-        )
-    )
-    return gaps.join(per_tactic, "tactic").select("tactic", "technique", "techniques", "covered", "coverage")
+    """Techniques no rule covers, with the coverage tier of their tactic."""
+    return technique_coverage(catalogue, rules).filter(~F.col("covered")).select("tactic", "technique", "coverage")
 
 
 def latency_distribution(latencies: DataFrame, *, quantiles: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:

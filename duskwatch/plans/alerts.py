@@ -13,6 +13,7 @@ from duskwatch.plans.views import rule_sql
 from duskwatch.sources.telemetry import Telemetry
 
 DAY_US = 86_400_000_000
+WEEK_S = 604_800
 
 
 def ioc_events(t: Telemetry) -> DataFrame:
@@ -37,7 +38,7 @@ for _rule in D.RULES:
     _register_rule(_rule.key, _rule.source)
 
 
-# The sample events are sparse: three failures or names within a day.
+# The sample events are sparse: three failures or names within a day, two SSH connections within a week.
 def brute(t: Telemetry) -> DataFrame:
     return D.brute_force(t.failed, threshold=3, within_us=DAY_US)
 
@@ -51,7 +52,7 @@ def crossed(t: Telemetry) -> DataFrame:
 
 
 def threshold(t: Telemetry) -> DataFrame:
-    return D.threshold_both(t.flows, count=3, seconds=86_400)
+    return D.threshold_both(t.flows.filter(D.ssh_to_home()), count=2, seconds=WEEK_S)
 
 
 @query("alert_bruteforce", "SELECT * FROM brute")
@@ -105,7 +106,7 @@ def cross_source_ever(t: Telemetry) -> DataFrame:
 
 def all_alerts(t: Telemetry) -> DataFrame:
     """Alerts of every rule, each source read once for its single-event rules."""
-    out = D.multi_event_alerts(brute(t), stuffing(t), crossed(t), threshold(t))
+    out = D.multi_event_alerts(brute(t), stuffing(t), crossed(t), threshold(t), ioc_events(t))
     for name in ("honeypot", "ids", "ioc", "flows", "dns"):
         out = out.unionByName(D.apply_rules(_source(t, name), name))
     return out

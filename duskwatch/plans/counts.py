@@ -100,23 +100,21 @@ def rule_table(t: Telemetry) -> DataFrame:
 
 @query(
     "coverage_gaps",
-    """SELECT c.tactic, c.technique, count(*) AS firings_of_tactic FROM (
-  SELECT * FROM catalogue c1 WHERE NOT EXISTS (SELECT 1 FROM ruletable r WHERE r.technique = c1.technique)
-  UNION ALL SELECT c2.tactic, c2.technique FROM catalogue c2 JOIN alerts a ON a.technique = c2.technique) c
-GROUP BY ALL""",
+    """WITH hit AS (SELECT c.tactic, c.technique, bool_or(r.technique IS NOT NULL) AS covered
+  FROM catalogue c LEFT JOIN ruletable r ON r.technique = c.technique GROUP BY ALL),
+tiers AS (SELECT tactic, CASE WHEN bool_and(covered) THEN 'covered' WHEN NOT bool_or(covered) THEN 'none' ELSE 'partial' END AS coverage
+  FROM hit GROUP BY tactic)
+SELECT tactic, technique, coverage, covered, (SELECT count(*) FROM alerts a WHERE a.technique = hit.technique) AS firings
+FROM hit JOIN tiers USING (tactic)""",
 )
 def coverage_gaps(t: Telemetry) -> DataFrame:
-    """Uncovered techniques next to the alert volume of the covered ones."""
+    """Every technique with its tactic's tier and how often its rules fired; gaps have no rule and no firings."""
     from duskwatch.plans.alerts import all_alerts
 
     catalogue = t.spark.createDataFrame(list(G.TECHNIQUE_CATALOGUE), "tactic string, technique string")
-    gaps = G.coverage_gaps(catalogue, rule_table(t)).select("tactic", "technique")
-    fired = (
-        all_alerts(t).groupBy("technique").agg(F.count(F.lit(1)).alias("firings_of_tactic")).join(catalogue, "technique")
-    )
-    return gaps.withColumn("firings_of_tactic", F.lit(1).cast("bigint")).unionByName(
-        fired.select("tactic", "technique", "firings_of_tactic")
-    )
+    fired = all_alerts(t).groupBy("technique").agg(F.count(F.lit(1)).alias("firings"))
+    tiers = G.technique_coverage(catalogue, rule_table(t)).join(fired, "technique", "left")
+    return tiers.select("tactic", "technique", "coverage", "covered", F.coalesce("firings", F.lit(0)).alias("firings"))
 
 
 def _leet_sql() -> str:
@@ -380,11 +378,8 @@ LATERAL (SELECT CAST(coalesce(sum(CASE WHEN value = 'brute_force' THEN count END
 )
 def technique_breakdown(t: Telemetry) -> DataFrame:
     tech = A.technique_hourly(t.between(*WEEK).events, history=t.events)
-    parts = [
-        A.technique_breakdown(tech, NOW, hours).withColumn("span", F.lit(span)).withColumn("lo", F.lit(lo))
-        for span, hours, lo in (("24h", 24, "2024-01-30T01"), ("7d", 168, "2024-01-24T01"))
-    ]
-    return parts[0].unionByName(parts[1])
+    both = A.technique_breakdowns(tech, NOW, {"24h": 24, "7d": 168})
+    return both.withColumn("lo", F.when(F.col("span") == "24h", "2024-01-30T01").otherwise("2024-01-24T01"))
 
 
 @query(
@@ -446,16 +441,8 @@ def ip_history(t: Telemetry) -> DataFrame:
 WHERE dimension IN ('username', 'password', 'country') AND rank <= 20""",
 )
 def top_list(t: Telemetry) -> DataFrame:
-    ranked = ranks(t)
-    out = None
-    for dim in ("username", "password", "country"):
-        for window in ("24h", "7d"):
-            one = R.top_list(ranked, dim, window, 20).select(
-                F.lit(dim).alias("dimension"), F.lit(window.upper()).alias("window"),
-                F.col("rank").cast("bigint").alias("rank"), "value", "count",
-            )
-            out = one if out is None else out.unionByName(one)
-    return out
+    ranked = R.top_lists(ranks(t), 20).withColumn("rank", F.col("rank").cast("bigint"))
+    return ranked.select("dimension", "window", "rank", "value", "count")
 
 
 @query(

@@ -14,6 +14,7 @@ from duskwatch.functions.net import LOOPBACK
 from duskwatch.operators import correlate as C
 from duskwatch.plans.counts import NOW, SPAN
 from duskwatch.plans.landed import event_line, land
+from duskwatch.operators.rules import ssh_to_home
 from duskwatch.plans.registry import query
 from duskwatch.plans.rows import _VALID
 from duskwatch.session import work_dir
@@ -188,21 +189,21 @@ def stream_inherit(t: Telemetry) -> DataFrame:
     forward = C.correlate_forward(t.tunnelled, t.proxies, list_candidates=False, **SPAN).select(
         "event_id", "session", "ts_us", "eventid", "src_ip", F.col("correlation_status").alias("status")
     )
-    out = result(t, K.inherit_stream(landed_stream(t, forward, marker=False), keep_ms=YEAR_MS))
+    out = result(t, K.inherit_stream(landed_stream(t, forward), keep_ms=YEAR_MS))
     return out.withColumn("status", F.coalesce("status", F.lit("direct")))
 
 
 @query("stream_alerts", "SELECT source_event, src_ip, ts_us, username, n_events, n_distinct FROM rolling WHERE n_events >= 3 OR n_distinct >= 3")
 def stream_alerts(t: Telemetry) -> DataFrame:
-    failed = landed_stream(t, t.failed, marker=False)
+    failed = landed_stream(t, t.failed)
     counted = K.rolling_count_stream(failed, width_us=86_400_000_000)
     return result(t, counted.filter((F.col("n_events") >= 3) | (F.col("n_distinct") >= 3)))
 
 
 @query("stream_threshold", "SELECT * FROM threshold")
 def stream_threshold(t: Telemetry) -> DataFrame:
-    flows = landed_stream(t, t.flows.select("src_ip", "ts_us"))
-    return result(t, K.threshold_stream(flows, count=3, seconds=86_400))
+    flows = landed_stream(t, t.flows.filter(ssh_to_home()).select("src_ip", "ts_us"))
+    return result(t, K.threshold_stream(flows, count=2, seconds=604_800))
 
 
 @query(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from duskwatch.functions.net import IPV4_PATTERN
 from duskwatch.operators.triage import TECHNIQUE_CATALOGUE
-from duskwatch.operators.rules import MULTI_EVENT_RULES, RULES
 from duskwatch.sources.telemetry import COUNTRIES, FLOW_PORTS, INPUTS, RELAY_PORTS, SHARES, SIGNATURES
 
 
@@ -331,18 +330,48 @@ def _text(value: str | None) -> str:
     return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
 
 
+# Fixed values, written out again so that a wrong constant of an operator shows: id, level, technique, depth, source.
+RULE_FACTS = {
+    "d1": ("100100", 3, None, 0, "honeypot"),
+    "d2": ("100101", 5, "T1110.001", 1, "honeypot"),
+    "d3": ("100102", 10, "T1078", 1, "honeypot"),
+    "d4": ("100103", 8, "T1059", 1, "honeypot"),
+    "d5": ("100104", 10, "T1105", 1, "honeypot"),
+    "d6": ("100200", 3, None, 0, "ids"),
+    "d7": ("100201", 8, "T1071", 1, "ids"),
+    "d8": ("100202", 6, "T1071", 1, "ids"),
+    "d9": ("100203", 8, "T1595", 1, "ids"),
+    "d10": ("100300", 12, "T1071", 0, "ioc"),
+    "d11": ("100301", 13, None, 1, "ioc"),
+    "d12": ("smb_admin_share", 6, "T1021.002", 0, "flows"),
+    "d13": ("unusual_outbound_port", 6, "T1571", 0, "flows"),
+    "d14": ("1000002", 3, None, 0, "flows"),
+    "d15": ("1000003", 5, "T1110", 0, "flows"),
+    "d16": ("1000010", 8, "T1571", 0, "flows"),
+    "d17": ("1000020", 6, "T1568.002", 0, "dns"),
+    "d18": ("1000030", 7, "T1041", 0, "flows"),
+}
+MULTI_FACTS = {
+    "100105": (10, "T1110", 2),
+    "100106": (12, "T1110.004", 2),
+    "100210": (13, "T1071", 1),
+    "1000001": (4, "T1110", 0),
+    "known_bad_ip": (10, "T1071", 0),
+}
+
+
 def rule_sql(key: str) -> str:
-    rule = next(r for r in RULES if r.key == key)
+    rule_id, level, technique, depth, source = RULE_FACTS[key]
     cond, detail = RULE_SQL[key]
     return (
-        f"SELECT source_event, src_ip, CAST(ts_us AS BIGINT) AS ts_us, '{rule.rule_id}' AS rule_id, "
-        f"CAST({rule.level} AS BIGINT) AS level, {_text(rule.technique)} AS technique, "
-        f"CAST({rule.depth} AS BIGINT) AS depth, {detail} AS detail FROM {_SOURCE[rule.source]} WHERE {cond}"
+        f"SELECT source_event, src_ip, CAST(ts_us AS BIGINT) AS ts_us, '{rule_id}' AS rule_id, "
+        f"CAST({level} AS BIGINT) AS level, {_text(technique)} AS technique, "
+        f"CAST({depth} AS BIGINT) AS depth, {detail} AS detail FROM {_SOURCE[source]} WHERE {cond}"
     )
 
 
 def _multi_sql(view: str, rule_id: str, detail: str, source_event: str = "source_event", ts: str = "ts_us") -> str:
-    _, level, technique, _, depth = next(r for r in MULTI_EVENT_RULES if r[0] == rule_id)
+    level, technique, depth = MULTI_FACTS[rule_id]
     return (
         f"SELECT {source_event} AS source_event, src_ip, {ts} AS ts_us, '{rule_id}' AS rule_id, "
         f"CAST({level} AS BIGINT) AS level, '{technique}' AS technique, CAST({depth} AS BIGINT) AS depth, "
@@ -358,25 +387,27 @@ VIEWS["brute"] = "SELECT source_event, src_ip, ts_us, username, n_events FROM ro
 VIEWS["stuffing"] = """
 SELECT source_event, src_ip, ts_us, username, n_events, n_distinct FROM rolling WHERE n_distinct >= 3"""
 VIEWS["threshold"] = """
-SELECT src_ip, ts_us - ts_us % 86400000000 AS window_us, count(*) AS matches, max(ts_us) AS last_us
-FROM flows GROUP BY ALL HAVING count(*) >= 3"""
+SELECT src_ip, ts_us - ts_us % 604800000000 AS window_us, count(*) AS matches, max(ts_us) AS last_us
+FROM flows WHERE dest_port = 22 AND (starts_with(dest_ip, '10.') OR starts_with(dest_ip, '192.168.')
+  OR regexp_matches(dest_ip, '^172\\.(1[6-9]|2[0-9]|3[01])\\.')) GROUP BY ALL HAVING count(*) >= 2"""
 VIEWS["crossed"] = """
 SELECT * FROM ids i WHERE event_type = 'alert' AND EXISTS (SELECT 1 FROM failed f WHERE f.src_ip = i.src_ip
   AND f.ts_us BETWEEN i.ts_us - 86400000000 AND i.ts_us - 1)"""
 VIEWS["alerts"] = "\nUNION ALL ".join(
-    [rule_sql(r.key) for r in RULES]
+    [rule_sql(key) for key in RULE_FACTS]
     + [
         _multi_sql("brute", "100105", "'Brute force from ' || src_ip"),
         _multi_sql("stuffing", "100106", "'Credential stuffing from ' || src_ip"),
         _multi_sql("crossed", "100210", "'Honeypot attacker ' || src_ip || ' seen by the IDS'"),
         _multi_sql("threshold", "1000001", "'Repeated connections from ' || src_ip",
                    "'window:' || src_ip || ':' || window_us", "last_us"),
+        _multi_sql("iocev", "known_bad_ip", "'Known bad address ' || CASE matched_on WHEN 'src' THEN src_ip ELSE dest_ip END"),
     ]
 )
 VIEWS["catalogue"] = (
     "SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in TECHNIQUE_CATALOGUE) + ") AS c(tactic, technique)"
 )
-_RULE_ROWS = [(r.rule_id, r.technique) for r in RULES] + [(r[0], r[2]) for r in MULTI_EVENT_RULES]
+_RULE_ROWS = [(f[0], f[2]) for f in RULE_FACTS.values()] + [(i, f[1]) for i, f in MULTI_FACTS.items()]
 VIEWS["ruletable"] = (
     "SELECT * FROM (VALUES " + ", ".join(f"('{i}', {_text(t)})" for i, t in _RULE_ROWS) + ") AS r(rule_id, technique)"
 )

@@ -1,12 +1,12 @@
 """Keyed state: session labels, address inheritance, rolling alerts.
 
-Rows of a key come in Arrow batches and are folded into small state; no operator keeps
-all rows of a key. State is dropped by event-time timers.
+Rows of a key come in Arrow batches of no fixed order. Session counters are sums, so order is no matter; the
+others keep rows until the watermark has passed them. State is dropped by event-time timers.
 """
 
 from __future__ import annotations
 
-from collections import Counter, deque
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,46 +119,72 @@ def session_summary_stream(events: DataFrame, *, watermark: str = "1 hour", keep
     )
 
 
-class FirstMatch(_Expiring):
+class FirstMatch(StatefulProcessor):
     """Remembers the first matched address of a session and gives it to later events.
 
-    A session without a match has no state.
+    Rows wait until the watermark passes them and are then taken in the order of (ts_us, eventid), so how they were cut
+    into batches has no effect. The state goes ``keep_ms`` after the newest row of the session.
     """
 
-    fields = ", ip string"
-
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", "timer long, newest long, ip string")
+        self.waiting = handle.getListState("waiting", "ts_us long, eventid string, event_id long, src_ip string, status string")
+
+    def moved(self, timer: int | None, at: int) -> int:
+        if timer is not None and timer != at:
+            self.handle.deleteTimer(timer)
+        if timer != at:
+            self.handle.registerTimer(at)
+        return at
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        timer, ip = self.state.get() or (None, None)
-        newest = 0
+        timer, newest, ip = self.state.get() or (None, 0, None)
+        first = None
         for pdf in rows:
-            pdf = pdf.sort_values(["ts_us", "eventid"], kind="stable").reset_index(drop=True)
-            newest = max(newest, int(pdf["ts_us"].max()))
-            start = 0
-            if ip is None:
-                hits = np.flatnonzero((pdf["status"] == "matched").to_numpy())
-                if len(hits):
-                    ip = pdf["src_ip"].iat[hits[0]]
-                    start = hits[0] + 1
-                else:
-                    start = len(pdf)
-            take = pdf["status"].notna().to_numpy() & (np.arange(len(pdf)) >= start)
-            yield pd.DataFrame(
-                {
-                    "event_id": pdf["event_id"],
-                    "session": key[0],
-                    "src_ip": pdf["src_ip"].where(~take, ip),
-                    "status": pdf["status"].where(~take, "matched_inherited"),
-                }
-            )
-        if ip is not None:
-            self.state.update((self.renewed(timer, newest), ip))
+            times = pdf["ts_us"].astype("int64")
+            newest, first = max(newest, int(times.max())), min(first or int(times.min()), int(times.min()))
+            columns = [pdf[c].astype(object).where(pdf[c].notna(), None) for c in ("eventid", "event_id", "src_ip", "status")]
+            self.waiting.appendList(list(zip(times.tolist(), *columns)))
+        if first is not None:
+            due = first // 1000 + 1
+            if timer is None or due < timer or timer >= newest // 1000 + self.keep_ms - 1:
+                timer = self.moved(timer, due)
+            self.state.update((timer, newest, ip))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        _, newest, ip = self.state.get() or (None, 0, None)
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] or "", -1 if r[2] is None else r[2]))
+        due, later = [r for r in rows if r[0] <= passed], [r for r in rows if r[0] > passed]
+        if not rows:
+            self.state.clear()
+            return
+        self.waiting.put(later) if later else self.waiting.clear()
+        out = []
+        for _, _, event_id, src_ip, status in due:
+            if ip is not None and status is not None:
+                out.append((event_id, key[0], ip, "matched_inherited"))
+            else:
+                out.append((event_id, key[0], src_ip, status))
+                if status == "matched":
+                    ip = src_ip
+        at = later[0][0] // 1000 + 1 if later else newest // 1000 + self.keep_ms
+        self.handle.registerTimer(at)
+        self.state.update((at, newest, ip))
+        if out:
+            yield pd.DataFrame(out, columns=["event_id", "session", "src_ip", "status"])
+
+    def close(self) -> None:
+        pass
 
 
 def inherit_stream(events: DataFrame, *, watermark: str = "1 hour", keep_ms: int = 86_400_000) -> DataFrame:
-    """Inheritance in arrival order. Needs ``event_id, session, ts_us, event_time, eventid, src_ip, status``."""
+    """Inheritance in event order. Needs ``event_id, session, ts_us, event_time, eventid, src_ip, status``."""
     return (
         events.select("event_id", "session", "ts_us", "event_time", "eventid", "src_ip", "status")
         .withWatermark("event_time", watermark)
@@ -192,60 +218,68 @@ def trailing_window_counts(times: np.ndarray, names: list, width_us: int) -> tup
     return last - first, distinct
 
 
-class RollingCounts(_Expiring):
-    """Failures and distinct names of a source over a trailing interval."""
+class RollingCounts(StatefulProcessor):
+    """Failures and distinct names of a source over a trailing interval, a chunk of one interval's length at a time.
+
+    A key is a source and a chunk; rows of the chunk before come along as context. All wait for the watermark to pass
+    the chunk and are then counted in order, so cuts into batches have no effect, and a hot source is as many tasks as
+    it has chunks.
+    """
 
     def __init__(self, width_us: int):
         self.width_us = width_us
-        self.keep_ms = width_us // 1000 + 1
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.log = handle.getListState("log", "ts_us long, username string")
-
-    def clear(self) -> None:
-        super().clear()
-        self.log.clear()
+        self.handle = handle
+        self.timed = handle.getValueState("timed", "at long")
+        self.log = handle.getListState("log", "ts_us long, source_event string, username string, own boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        log = deque(self.log.get())
-        newest = 0
         for pdf in rows:
-            pdf = pdf.sort_values(["ts_us", "source_event"], kind="stable").reset_index(drop=True)
-            names = [None if pd.isna(n) else n for n in pdf["username"]]
-            fresh = list(zip(pdf["ts_us"].tolist(), names, range(len(pdf))))
-            merged = sorted([(t, n, -1) for t, n in log] + fresh, key=lambda r: (r[0], r[2]))
-            times = np.array([r[0] for r in merged], dtype=np.int64)
-            counts, distinct = trailing_window_counts(times, [r[1] for r in merged], self.width_us)
-            at = np.array([r[2] for r in merged])
-            order = np.flatnonzero(at >= 0)
-            picked = pdf.iloc[at[order]].reset_index(drop=True)
+            columns = [pdf[c].astype(object).where(pdf[c].notna(), None) for c in ("source_event", "username")]
+            self.log.appendList(list(zip(pdf["ts_us"].astype("int64").tolist(), *columns, pdf["own"].astype(bool).tolist())))
+        if not self.timed.exists():
+            at = (int(key[1]) + 1) * self.width_us // 1000
+            self.handle.registerTimer(at)
+            self.timed.update((at,))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rows = sorted(self.log.get(), key=lambda r: (r[0], r[1] or ""))
+        self.log.clear()
+        self.timed.clear()
+        times = np.array([r[0] for r in rows], dtype=np.int64)
+        counts, distinct = trailing_window_counts(times, [r[2] for r in rows], self.width_us)
+        own = [i for i, r in enumerate(rows) if r[3]]
+        if own:
             yield pd.DataFrame(
                 {
-                    "source_event": picked["source_event"],
+                    "source_event": [rows[i][1] for i in own],
                     "src_ip": key[0],
-                    "ts_us": picked["ts_us"],
-                    "username": picked["username"],
-                    "n_events": counts[order],
-                    "n_distinct": distinct[order],
+                    "ts_us": times[own],
+                    "username": [rows[i][2] for i in own],
+                    "n_events": counts[own],
+                    "n_distinct": distinct[own],
                 }
             )
-            newest = max(newest, int(times[-1]))
-            log = deque((t, n) for t, n, _ in merged if t >= newest - self.width_us)
-        self.log.put(list(log))
-        (timer,) = self.state.get() or (None,)
-        self.state.update((self.renewed(timer, newest),))
+
+    def close(self) -> None:
+        pass
 
 
 def rolling_count_stream(failed: DataFrame, *, width_us: int, watermark: str = "10 minutes") -> DataFrame:
-    """Trailing counts per failed login; the alert rules are filters on them.
+    """Trailing counts per failed login, once the watermark has passed its chunk; the alert rules are filters on them.
 
-    Needs ``source_event, src_ip, ts_us, event_time, username``.
+    Needs ``source_event, src_ip, ts_us, event_time, username``. Rows later than the watermark are not counted; Spark
+    reports how many (``numRowsDroppedByWatermark``).
     """
+    chunk = F.floor(F.col("ts_us") / F.lit(width_us)).cast("bigint")
     return (
         failed.select("source_event", "src_ip", "ts_us", "event_time", "username")
         .withWatermark("event_time", watermark)
-        .groupBy("src_ip")
+        .withColumn("own", F.explode(F.array(F.lit(True), F.lit(False))))
+        .withColumn("chunk", chunk + F.when(F.col("own"), 0).otherwise(1))
+        .groupBy("src_ip", "chunk")
         .transformWithStateInPandas(
             statefulProcessor=RollingCounts(width_us),
             outputStructType=(

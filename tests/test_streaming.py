@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 import os
 import time
 
@@ -161,6 +162,8 @@ def test_inheritance_across_batches(spark, tmp_path, rows):
     feed.add([(1, "a", T, "e", loop, "missed"), (2, "a", T + 1, "e", "198.51.100.7", "matched"), (3, "a", T + 2, "e", loop, "missed"), (4, "b", T, "e", loop, "missed")])
     feed.drain()
     feed.add([(5, "a", T + 30 * SEC, "e", "198.51.100.9", "matched"), (6, "a", T + 31 * SEC, "e", "192.0.2.1", None), (7, "b", T + 30 * SEC, "e", loop, "ambiguous")])
+    feed.drain()
+    feed.add([(8, "z", FAR, "e", loop, "missed")])  # moves the watermark past all others
     assert rows(feed.drain(), "event_id", "src_ip", "status") == [
         (1, loop, "missed"), (2, "198.51.100.7", "matched"), (3, "198.51.100.7", "matched_inherited"), (4, loop, "missed"),
         (5, "198.51.100.7", "matched_inherited"), (6, "192.0.2.1", None), (7, loop, "ambiguous"),
@@ -173,10 +176,42 @@ def test_rolling_counts_across_batches(spark, tmp_path):
     feed.add([(f"e{i}", "a", T + i * SEC, f"u{i % 2}") for i in range(4)])
     feed.drain()
     feed.add([("e4", "a", T + 300 * SEC, "u7"), ("e5", "a", T + 301 * SEC, None), ("f0", "b", T, "x")])
+    feed.drain()
+    feed.add([("far", "z", FAR, "x")])
     got = {r["source_event"]: (r["n_events"], r["n_distinct"]) for r in feed.drain().collect()}
     assert got == {"e0": (1, 1), "e1": (2, 2), "e2": (3, 2), "e3": (4, 2), "e4": (5, 3), "e5": (5, 3), "f0": (1, 1)}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_cuts_into_batches_have_no_effect(spark, tmp_path, seed):
+    """One key's rows shuffled over Arrow batches of 7 and three micro-batches give what sorted rows give at once."""
+    rng = random.Random(seed)
+    events = [(i, "s", T + rng.randrange(900) * SEC, "e", f"198.51.100.{i}", rng.choice(["matched", "missed", None])) for i in range(60)]
+    failed = [(f"e{i}", "a", T + rng.randrange(900) * SEC, f"u{rng.randrange(5)}") for i in range(60)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        one = Feed(spark, tmp_path / "i", "event_id bigint, session string, ts_us bigint, eventid string, src_ip string, status string", lambda s: K.inherit_stream(s))
+        two = Feed(spark, tmp_path / "r", "source_event string, src_ip string, ts_us bigint, username string", lambda s: K.rolling_count_stream(s, width_us=100 * SEC, watermark="1 hour"))
+        for part in range(3):
+            one.add(events[part::3])
+            one.drain()
+            two.add(failed[part::3])
+            two.drain()
+        one.add([(99, "z", FAR, "e", "x", None)])
+        two.add([("far", "z", FAR, "x")])
+        got = {r["event_id"]: (r["src_ip"], r["status"]) for r in one.drain().collect()}
+        counts = {r["source_event"]: (r["n_events"], r["n_distinct"]) for r in two.drain().collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    ip, want = None, {}
+    for i, _, _, _, src, status in sorted(events, key=lambda e: (e[2], e[3], e[0])):
+        want[i] = (ip, "matched_inherited") if ip and status else (src, status)
+        ip = ip or (src if status == "matched" else None)
+    assert got == want
+    trailing = {e: [(x, u) for x, _, y, u in failed if t - 100 * SEC <= y <= t] for e, _, t, _ in failed}
+    assert counts == {e: (len(v), len({u for _, u in v})) for e, v in trailing.items()}
+
+
 def test_threshold_stream(spark, tmp_path, rows):
     feed = Feed(spark, tmp_path, "src_ip string, ts_us bigint", lambda s: K.threshold_stream(s))
     base = T // (60 * SEC) * 60 * SEC
