@@ -100,12 +100,10 @@ def rule_table(t: Telemetry) -> DataFrame:
 
 @query(
     "coverage_gaps",
-    """WITH hit AS (SELECT c.tactic, c.technique, bool_or(r.technique IS NOT NULL) AS covered
-  FROM catalogue c LEFT JOIN ruletable r ON r.technique = c.technique GROUP BY ALL),
-tiers AS (SELECT tactic, CASE WHEN bool_and(covered) THEN 'covered' WHEN NOT bool_or(covered) THEN 'none' ELSE 'partial' END AS coverage
-  FROM hit GROUP BY tactic)
-SELECT tactic, technique, coverage, covered, (SELECT count(*) FROM alerts a WHERE a.technique = hit.technique) AS firings
-FROM hit JOIN tiers USING (tactic)""",
+    """SELECT tactic, technique, CASE WHEN bool_and(covered) OVER w THEN 'covered' WHEN NOT bool_or(covered) OVER w THEN 'none'
+  ELSE 'partial' END AS coverage, covered, (SELECT count(*) FROM alerts a WHERE a.technique = hit.technique) AS firings
+FROM (SELECT c.tactic, c.technique, bool_or(r.technique IS NOT NULL) AS covered
+  FROM catalogue c LEFT JOIN ruletable r ON r.technique = c.technique GROUP BY ALL) hit WINDOW w AS (PARTITION BY tactic)""",
 )
 def coverage_gaps(t: Telemetry) -> DataFrame:
     """Every technique with its tactic's tier and how often its rules fired; gaps have no rule and no firings."""

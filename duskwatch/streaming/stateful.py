@@ -19,6 +19,10 @@ FAILED, SUCCESS = "cowrie.login.failed", "cowrie.login.success"
 COMMAND, CLOSED = "cowrie.command.input", "cowrie.session.closed"
 
 
+def texts_of(column: pd.Series) -> list[str | None]:
+    return [None if pd.isna(v) else v for v in column]
+
+
 class _Expiring(StatefulProcessor):
     """Clears its state ``keep_ms`` after the newest row of the key. The timer is kept in the state row."""
 
@@ -147,8 +151,9 @@ class FirstMatch(StatefulProcessor):
         for pdf in rows:
             times = pdf["ts_us"].astype("int64")
             newest, first = max(newest, int(times.max())), min(first or int(times.min()), int(times.min()))
-            columns = [pdf[c].astype(object).where(pdf[c].notna(), None) for c in ("eventid", "event_id", "src_ip", "status")]
-            self.waiting.appendList(list(zip(times.tolist(), *columns)))
+            texts = [texts_of(pdf[c]) for c in ("eventid", "src_ip", "status")]
+            ids = [None if pd.isna(i) else int(i) for i in pdf["event_id"]]
+            self.waiting.appendList(list(zip(times.tolist(), texts[0], ids, *texts[1:])))
         if first is not None:
             due = first // 1000 + 1
             if timer is None or due < timer or timer >= newest // 1000 + self.keep_ms - 1:
@@ -159,7 +164,8 @@ class FirstMatch(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         _, newest, ip = self.state.get() or (None, 0, None)
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] or "", -1 if r[2] is None else r[2]))
+        plain = ((int(r[0]), r[1], None if pd.isna(r[2]) else int(r[2]), *r[3:]) for r in self.waiting.get())
+        rows = sorted(plain, key=lambda r: (r[0], r[1] or "", -1 if r[2] is None else r[2]))
         due, later = [r for r in rows if r[0] <= passed], [r for r in rows if r[0] > passed]
         if not rows:
             self.state.clear()
@@ -177,7 +183,8 @@ class FirstMatch(StatefulProcessor):
         self.handle.registerTimer(at)
         self.state.update((at, newest, ip))
         if out:
-            yield pd.DataFrame(out, columns=["event_id", "session", "src_ip", "status"])
+            ids, sessions, ips, statuses = zip(*out)
+            yield pd.DataFrame({"event_id": pd.array(ids, "Int64"), "session": sessions, "src_ip": ips, "status": statuses})
 
     def close(self) -> None:
         pass
@@ -236,7 +243,7 @@ class RollingCounts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
-            columns = [pdf[c].astype(object).where(pdf[c].notna(), None) for c in ("source_event", "username")]
+            columns = [texts_of(pdf[c]) for c in ("source_event", "username")]
             self.log.appendList(list(zip(pdf["ts_us"].astype("int64").tolist(), *columns, pdf["own"].astype(bool).tolist())))
         if not self.timed.exists():
             at = (int(key[1]) + 1) * self.width_us // 1000
