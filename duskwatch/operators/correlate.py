@@ -80,13 +80,13 @@ def correlate_forward(
     *,
     window_us: int = WINDOW_US,
     floor_us: int = FLOOR_US,
-    list_candidates: bool = True,
+    list_candidates: bool = False,
 ) -> DataFrame:
     """Add ``correlation_status, correlation_candidate_count`` (and ``correlation_candidate_ips``).
 
     Status, count and address need no pairs. Listing the candidates of ambiguous events does
-    by its nature, so pairs are formed for those alone; at high concurrency leave the list
-    out and look up single events with ``candidates_of``.
+    by its nature, so it is off unless asked for; ``candidate_spans`` says as much in one row
+    an event.
     """
     counts = candidate_counts(events, proxies, window_us=window_us, floor_us=floor_us)
     if list_candidates:
@@ -228,7 +228,7 @@ def resolve(
     *,
     window_us: int = WINDOW_US,
     floor_us: int = FLOOR_US,
-    list_candidates: bool = True,
+    list_candidates: bool = False,
 ) -> DataFrame:
     """Forward, inherit, backward, geo. Each later pass reads its input several times, so it is staged."""
     span = {"window_us": window_us, "floor_us": floor_us}

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from duskwatch.functions.net import LOOPBACK
 from duskwatch.operators import correlate as C
+from duskwatch.operators.rules import ssh_to_home
 from duskwatch.plans.counts import NOW, SPAN
 from duskwatch.plans.landed import event_line, land
-from duskwatch.operators.rules import ssh_to_home
 from duskwatch.plans.registry import query
 from duskwatch.plans.rows import _VALID
 from duskwatch.session import work_dir
@@ -153,13 +153,19 @@ def stream_change_feed(t: Telemetry) -> DataFrame:
     return result(t, S.decode_changes(lines, _CHANGE_FIELDS))
 
 
-@query("stream_hourly", "SELECT * FROM hourly")
-def stream_hourly(t: Telemetry) -> DataFrame:
+def _counter_table(t: Telemetry) -> str:
+    """All eight dimensions: seven from the stream, techniques from the stored events."""
     use_rocksdb(t.spark)
     path = work_dir(t.spark, "hourly")
-    stored = t.stored.select("ts_us", "username", "password", "country", "asn", "eventid")
+    stored = t.stored.select("ts_us", "username", "password", "country", "asn", "eventid", "input", "dst_port")
     S.maintain_hourly_counts(landed_stream(t, stored, marker=False), path, work_dir(t.spark, "checkpoint"))
-    return t.spark.read.parquet(path).select("bucket", "dimension", "value", "count")
+    S.refresh_technique_counts(t.events, path)
+    return path
+
+
+@query("stream_hourly", "SELECT * FROM counters")
+def stream_hourly(t: Telemetry) -> DataFrame:
+    return t.spark.read.parquet(_counter_table(t)).select("bucket", "dimension", "value", "count")
 
 
 @query(
@@ -167,13 +173,14 @@ def stream_hourly(t: Telemetry) -> DataFrame:
     """SELECT event_id, ts_us, candidates, CASE candidates WHEN 0 THEN 'missed' WHEN 1 THEN 'matched' ELSE 'ambiguous' END
   AS status, CASE WHEN candidates = 1 THEN ip ELSE '127.0.0.1' END AS src_ip FROM (
   SELECT e.event_id, e.ts_us, count(p.ts_us) AS candidates, min(p.client_ip) AS ip
-  FROM tun e LEFT JOIN px p ON p.ts_us BETWEEN e.ts_us - 500000 AND e.ts_us - 1000
+  FROM tun e LEFT JOIN px p ON p.ts_us BETWEEN e.ts_us - 600000000 AND e.ts_us - 1000000
   WHERE e.src_ip = '127.0.0.1' GROUP BY ALL)""",
 )
 def stream_corr(t: Telemetry) -> DataFrame:
+    """Over the span of the batch queries, where all three outcomes occur."""
     events = landed_stream(t, t.tunnelled.select("event_id", "ts_us", "src_ip"))
     proxies = landed_stream(t, t.proxies.select("ts_us", "client_ip"))
-    return result(t, correlate_streams(events, proxies))
+    return result(t, correlate_streams(events, proxies, delay="15 minutes", **SPAN))
 
 
 @query("stream_sessions", "SELECT * FROM closings")
@@ -213,8 +220,7 @@ UNION ALL SELECT 'summary', day, total_events FROM days WHERE day IN ('2024-01-2
 )
 def scheduled_rebuild(t: Telemetry) -> DataFrame:
     """Ranks from the stored counters, then yesterday's and today's summary."""
-    counters, ranks, days = (work_dir(t.spark, name) for name in ("counters", "ranks", "days"))
-    S.write_counters(t.stored, counters)
+    counters, ranks, days = _counter_table(t), work_dir(t.spark, "ranks"), work_dir(t.spark, "days")
     S.rebuild_ranks(t.spark, counters, ranks, NOW)
     for day in ("2024-01-29", "2024-01-30"):
         S.rebuild_summary(t.events, days, day)

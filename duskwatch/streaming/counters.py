@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwatch.operators.rank import top_ranks
-from duskwatch.operators.rollup import all_counters, daily_summary, dimension_columns, technique_hourly, trailing_totals
+from duskwatch.operators.rollup import (
+    all_counters,
+    command_column,
+    daily_summary,
+    dimension_columns,
+    proxy_port_column,
+    technique_hourly,
+    trailing_totals,
+)
 from duskwatch.operators.validate import compute_once
 from duskwatch.schemas import CHANGE_RECORD
 from duskwatch.sources.sinks import upsert
@@ -53,13 +61,23 @@ def decode_changes(lines: DataFrame, fields: dict[str, str]) -> DataFrame:
     )
 
 
+def counted_columns(columns: list[str]) -> dict[str, Column]:
+    """The dimensions that can be counted event by event: the plain fields, command and proxy port where the columns are there."""
+    found = dict(dimension_columns())
+    if "input" in columns:
+        found["command"] = command_column()
+    if "dst_port" in columns:
+        found["proxy_target_port"] = proxy_port_column()
+    return found
+
+
 def hourly_counter_stream(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """Running counts per hour, dimension and value; hours close ``lateness`` after their end."""
     pairs = F.array_compact(
         F.array(
             *[
                 F.when(v.isNotNull(), F.struct(F.lit(n).alias("dimension"), v.cast("string").alias("value")))
-                for n, v in dimension_columns().items()
+                for n, v in counted_columns(stream.columns).items()
             ]
         )
     )
@@ -91,6 +109,16 @@ def maintain_hourly_counts(stream: DataFrame, path: str, checkpoint: str, latene
     drain_batches(hourly_counter_stream(stream, lateness), on_batch, checkpoint, mode="update")
 
 
+def refresh_technique_counts(events: DataFrame, path: str, history: DataFrame | None = None) -> None:
+    """Count the closings of stored ``events`` by technique into the counter table.
+
+    A label needs the whole session, so it is taken from the store and not from state that may have expired; hours are
+    replaced, so repeats are harmless.
+    """
+    counts = technique_hourly(events, history).withColumn("day", F.substring("bucket", 1, 10))
+    upsert(counts, path, ("bucket", "dimension", "value"))
+
+
 def rebuild_ranks(spark: SparkSession, counters: str, out: str, now: datetime) -> None:
     """Replace the rankings from the counter table alone; days before the window are pruned."""
     table = spark.read.parquet(counters)

@@ -26,6 +26,10 @@ def geo(spark):
     return spark.createDataFrame(GEO, "lo bigint, hi bigint, country string, asn bigint, asn_org string")
 
 
+def forward(e, p, **span):
+    return C.correlate_forward(e, p, list_candidates=True, **span)
+
+
 def result(df):
     cols = ("eventid", "src_ip", "correlation_status", "correlation_candidate_count", "correlation_candidate_ips")
     return [tuple(r)[1:] for r in df.orderBy("eventid").select(*cols).collect()]
@@ -36,7 +40,7 @@ def test_forward_outcomes(spark):
     p = proxies(
         spark, [(T - 50_000, "198.51.100.7"), (T + 19_950_000, "198.51.100.8"), (T + 19_960_000, "198.51.100.9")]
     )
-    assert result(C.correlate_forward(e, p)) == [
+    assert result(forward(e, p)) == [
         ("198.51.100.7", "matched", 1, ["198.51.100.7"]),
         (LOOP, "missed", 0, []),
         (LOOP, "ambiguous", 2, ["198.51.100.8", "198.51.100.9"]),
@@ -46,18 +50,18 @@ def test_forward_outcomes(spark):
 
 @pytest.mark.parametrize("delta, status", [(1_000, "matched"), (999, "missed"), (500_000, "matched"), (500_001, "missed")])
 def test_forward_window_edges(spark, delta, status):
-    got = result(C.correlate_forward(events(spark, [("a", T, LOOP)]), proxies(spark, [(T - delta, "198.51.100.7")])))
+    got = result(forward(events(spark, [("a", T, LOOP)]), proxies(spark, [(T - delta, "198.51.100.7")])))
     assert got[0][1] == status
 
 
 def test_empty_window_has_no_candidates(spark):
     e, p = events(spark, [("a", T, LOOP)]), proxies(spark, [(T - 1_000, "198.51.100.7")])
-    assert result(C.correlate_forward(e, p, window_us=1_000, floor_us=1_000))[0][1] == "missed"
+    assert result(forward(e, p, window_us=1_000, floor_us=1_000))[0][1] == "missed"
 
 
 def test_two_proxy_rows_of_one_instant_are_ambiguous(spark):
     p = proxies(spark, [(T - 5_000, "198.51.100.7"), (T - 5_000, "198.51.100.7")])
-    assert result(C.correlate_forward(events(spark, [("a", T, LOOP)]), p))[0][1:] == ("ambiguous", 2, ["198.51.100.7"] * 2)
+    assert result(forward(events(spark, [("a", T, LOOP)]), p))[0][1:] == ("ambiguous", 2, ["198.51.100.7"] * 2)
 
 
 def test_candidate_spans_and_lists_agree(spark):
@@ -76,7 +80,7 @@ def test_candidate_spans_and_lists_agree(spark):
     for t, us, ip in C.candidates_of(e, p).collect():
         listed.setdefault(t, []).append((us, ip))
     assert {t: sorted(c) for t, c in listed.items()} == want
-    column = C.correlate_forward(e, p).filter("correlation_status = 'ambiguous'").collect()
+    column = forward(e, p).filter("correlation_status = 'ambiguous'").collect()
     assert {r["ts_us"]: r["correlation_candidate_ips"] for r in column} == {t: [ip for _, ip in c] for t, c in want.items()}
 
 
@@ -94,7 +98,7 @@ def test_inheritance(spark, hot_rows):
         ],
     )
     p = proxies(spark, [(T - 50_000, "198.51.100.7"), (T + 59_900_000, "198.51.100.8")])
-    got = result(C.inherit_matches(C.correlate_forward(e, p), hot_rows=hot_rows))
+    got = result(C.inherit_matches(forward(e, p), hot_rows=hot_rows))
     assert [(r[0], r[1], r[2]) for r in got] == [
         (LOOP, "missed", 0),
         ("198.51.100.7", "matched", 1),
@@ -154,7 +158,7 @@ def test_backward_earliest_proxy_row_wins(spark):
 def test_resolve_runs_all_passes(spark):
     e = events(spark, [("a", T, LOOP), ("b", T + 60_000_000, LOOP), ("c", T + 90_000_000, "203.0.113.9")])
     early, late = proxies(spark, [(T - 5_000, "198.51.100.7")]), proxies(spark, [(T + 59_990_000, "203.0.113.4")])
-    out = C.resolve(e, early, late, geo(spark)).orderBy("eventid").collect()
+    out = C.resolve(e, early, late, geo(spark), list_candidates=True).orderBy("eventid").collect()
     assert [(r["src_ip"], r["correlation_status"], r["country"]) for r in out] == [
         ("198.51.100.7", "matched", "DE"), ("203.0.113.4", "matched", "FR"), ("203.0.113.9", None, "FR"),
     ]
