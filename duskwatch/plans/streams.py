@@ -24,6 +24,7 @@ from duskwatch.streaming import counters as S
 from duskwatch.streaming import stateful as K
 from duskwatch.streaming.correlate import correlate_streams
 from duskwatch.streaming.ingest import ingest_events
+from duskwatch.streaming.resolve import ingest_resolved
 from duskwatch.streaming.run import drain_to_files, stream_parquet, use_rocksdb
 
 MARKER_US = 4_000_000_000_000_000  # in the year 2096
@@ -183,6 +184,43 @@ def stream_corr(t: Telemetry) -> DataFrame:
     return result(t, correlate_streams(events, proxies, delay="15 minutes", **SPAN))
 
 
+@query(
+    "stream_resolve",
+    """SELECT session, ts, eventid, b.src_ip, coalesce(status, 'direct') AS status, n AS candidates, country, asn, asn_org
+FROM bwd b LEFT JOIN geo ON b.src_ip LIKE '45.%' AND CAST(split_part(b.src_ip, '.', 2) AS BIGINT) = geo.asn""",
+)
+def stream_resolve(t: Telemetry) -> DataFrame:
+    """Events and early proxy rows land, then late proxy rows: what the store then holds."""
+    c = F.col
+    event = F.to_json(
+        F.struct(
+            "eventid", c("ts").alias("timestamp"), "src_ip", "session", "sensor", "protocol", c("src_port").cast("string").alias("src_port"),
+            c("dst_port").cast("string").alias("dst_port"), "username", "password", "input", "url", "shasum", c("duration").cast("string").alias("duration"),
+        )
+    )
+    row = F.to_json(
+        F.struct(
+            F.replace("ts", F.lit("+00:00"), F.lit("Z")).alias("time"), "client_ip", "client_port", "frontend_port",
+            c("duration").cast("string").alias("duration"), "bytes_uploaded", "bytes_downloaded", "status",
+        )
+    )
+    base = work_dir(t.spark, "resolve")
+    paths = {name: f"{base}/{name}" for name in ("store", "proxies", "quarantine", "checkpoint")}
+
+    def landed(df: DataFrame, line, below: str) -> None:
+        df.select(line.alias("value")).write.option("compression", "gzip").text(f"{base}/raw/{below}")
+        if below != "cowrie":
+            ingest_resolved(t.spark, f"{base}/raw", geo_ranges=t.geo_ranges, dictionary=t.dictionary, **paths, **SPAN)
+
+    landed(t.tunnelled, event, "cowrie")
+    landed(t.proxies.filter(~c("late")), row, "haproxy/early")
+    landed(t.proxies.filter("late"), row, "haproxy/late")
+    return t.spark.read.parquet(paths["store"]).select(
+        "session", "ts", "eventid", "src_ip", F.coalesce("correlation_status", F.lit("direct")).alias("status"),
+        F.coalesce("correlation_candidate_count", F.lit(0)).alias("candidates"), "country", "asn", "asn_org",
+    )
+
+
 @query("stream_sessions", "SELECT * FROM closings")
 def stream_sessions(t: Telemetry) -> DataFrame:
     events = landed_stream(

@@ -20,7 +20,7 @@ RETENTION_US = {
 }
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
@@ -40,7 +40,7 @@ def upsert(
     """
     spark = batch.sparkSession
     fresh = batch.withColumn("__new", F.lit(1)).withColumn("__order", F.lit(0) if order is None else order)
-    if _exists(spark, path):
+    if table_exists(spark, path):
         stored = spark.read.parquet(path)
         touched = batch.select(partition).distinct()
         old = stored.join(touched, partition, "left_semi")
