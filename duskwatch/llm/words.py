@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20  # bytes of text handled at once; a longer text is handled alone
+PIECE = 1 << 19  # bytes of text handled at once, a bound on the arrays made of it; a longer text is handled alone
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 MULTIPLIERS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # of the splitmix64 finalizer
 
