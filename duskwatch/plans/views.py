@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from duskwatch.functions.net import IPV4_PATTERN
 from duskwatch.operators.triage import TECHNIQUE_CATALOGUE
 from duskwatch.sources.telemetry import COUNTRIES, FLOW_PORTS, INPUTS, RELAY_PORTS, SHARES, SIGNATURES
 
+# Written out, so that a wrong pattern of the operators shows.
+IPV4_SQL = r"^((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
+
 
 def sql_list(values) -> str:
     return "[" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + "]"
@@ -13,7 +15,7 @@ def sql_list(values) -> str:
 
 def ip_long(c: str) -> str:
     parts = " + ".join(f"CAST(split_part({c}, '.', {i + 1}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4))
-    return f"CASE WHEN regexp_matches({c}, '{IPV4_PATTERN}') THEN {parts} END"
+    return f"CASE WHEN regexp_matches({c}, '{IPV4_SQL}') THEN {parts} END"
 
 
 def is_home(c: str) -> str:
