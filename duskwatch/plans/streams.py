@@ -223,10 +223,10 @@ def stream_resolve(t: Telemetry) -> DataFrame:
 
 @query("stream_sessions", "SELECT * FROM closings")
 def stream_sessions(t: Telemetry) -> DataFrame:
-    events = landed_stream(
-        t, t.events.select("session", "ts", "ts_us", "eventid", "username", "duration"), marker=False
-    )
-    return result(t, K.session_summary_stream(events, keep_ms=YEAR_MS))
+    store, out = work_dir(t.spark, "session-store"), work_dir(t.spark, "sessions")
+    t.events.select("session", "ts", "eventid", "username", "duration").write.parquet(store)
+    S.maintain_session_summaries(stream_parquet(t.spark, store), store, out, work_dir(t.spark, "checkpoint"))
+    return t.spark.read.schema(S.SESSIONS).parquet(out).drop("day")
 
 
 @query("stream_inherit", "SELECT event_id, session, src_ip, coalesce(status, 'direct') AS status FROM inh")

@@ -1,4 +1,4 @@
-"""Streaming dedup, change-feed decoding, hourly counters and scheduled rebuilds."""
+"""Streaming dedup, change-feed decoding, hourly counters, session summaries and scheduled rebuilds."""
 
 from __future__ import annotations
 
@@ -14,12 +14,13 @@ from duskwatch.operators.rollup import (
     daily_summary,
     dimension_columns,
     proxy_port_column,
+    session_summaries,
     technique_hourly,
     trailing_totals,
 )
 from duskwatch.operators.validate import compute_once
 from duskwatch.schemas import CHANGE_RECORD
-from duskwatch.sources.sinks import upsert
+from duskwatch.sources.sinks import table_exists, upsert
 from duskwatch.streaming.run import drain_batches
 
 
@@ -71,42 +72,134 @@ def counted_columns(columns: list[str]) -> dict[str, Column]:
     return found
 
 
-def hourly_counter_stream(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Running counts per hour, dimension and value; hours close ``lateness`` after their end."""
+LEDGER = "bucket string, dimension string, value string, count bigint, before bigint, batch bigint, day string"
+
+
+def counts_of(batch: DataFrame) -> DataFrame:
+    """Counts per hour of ``event_time``, dimension and value."""
     pairs = F.array_compact(
         F.array(
             *[
                 F.when(v.isNotNull(), F.struct(F.lit(n).alias("dimension"), v.cast("string").alias("value")))
-                for n, v in counted_columns(stream.columns).items()
+                for n, v in counted_columns(batch.columns).items()
             ]
         )
     )
     return (
-        stream.withWatermark("event_time", lateness)
-        .select("event_time", F.explode(pairs).alias("p"))
-        .groupBy(
-            F.window("event_time", "1 hour").alias("w"),
-            F.col("p.dimension").alias("dimension"),
-            F.col("p.value").alias("value"),
-        )
+        batch.filter(F.col("event_time").isNotNull())
+        .select(F.date_format("event_time", "yyyy-MM-dd'T'HH").alias("bucket"), F.explode(pairs).alias("p"))
+        .groupBy("bucket", F.col("p.dimension").alias("dimension"), F.col("p.value").alias("value"))
         .agg(F.count(F.lit(1)).alias("count"))
-        .select(
-            F.date_format("w.start", "yyyy-MM-dd'T'HH").alias("bucket"),
+        .withColumn("day", F.substring("bucket", 1, 10))
+    )
+
+
+def _read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.schema(LEDGER).parquet(path) if table_exists(spark, path) else None
+
+
+def add_counts(fresh: DataFrame, ledger: str, batch_id: int) -> DataFrame:
+    """Add a batch's counts to the ledger; returns the batch's rows with ``before`` and the new ``count``.
+
+    A row keeps its count before the batch that changed it last, so a repeat of that batch adds nothing, also where
+    only some of the days were written. Only days the batch touches are rewritten.
+    """
+    spark = fresh.sparkSession
+    keys = ("bucket", "dimension", "value", "day")
+    none = F.lit(None).cast("bigint")
+    both = fresh.select(*keys, F.col("count").alias("n"), none.alias("count"), none.alias("before"), none.alias("batch"))
+    stored = _read_ledger(spark, ledger)
+    if stored is not None:
+        old = stored.join(fresh.select("day").distinct(), "day", "left_semi")
+        both = both.unionByName(old.withColumn("n", none))
+    had = F.when(F.col("batch") == batch_id, F.col("before")).otherwise(F.coalesce("count", F.lit(0)))
+    added = F.col("n").isNotNull()
+    summed = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("n", "count", "before", "batch")])
+    (
+        summed.select(
+            "bucket",
             "dimension",
             "value",
-            "count",
-            F.date_format("w.start", "yyyy-MM-dd").alias("day"),
+            F.when(added, had + F.col("n")).otherwise(F.col("count")).alias("count"),
+            F.when(added, had).otherwise(F.col("before")).alias("before"),
+            F.when(added, F.lit(batch_id)).otherwise(F.col("batch")).alias("batch"),
+            "day",
         )
+        .hint("rebalance", F.col("day"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day")
+        .parquet(ledger)
     )
+    return _read_ledger(spark, ledger).filter(F.col("batch") == batch_id)
 
 
 def maintain_hourly_counts(stream: DataFrame, path: str, checkpoint: str, lateness: str = "1 hour") -> None:
-    """Keep the counter table up to date. Each update carries the full count, so repeats are harmless."""
+    """Keep the counter table up to date, rows of any lateness included.
+
+    Each batch's counts are added to a ledger in the checkpoint folder, and the table gets the full counts, so repeats
+    are harmless. What came for an hour closed ``lateness`` after its end is counted as the rest, and listed besides in
+    ``late_counts``.
+    """
+    ledger = f"{checkpoint}/ledger"
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = _read_ledger(spark, ledger)
+        if earlier is not None:
+            earlier = earlier.filter((F.col("batch") < batch_id) | (F.col("before") > 0)).agg(F.max("bucket")).first()[0]
+        changed = add_counts(counts_of(batch), ledger, batch_id)
+        upsert(changed.select("bucket", "dimension", "value", "count", "day"), path, ("bucket", "dimension", "value"))
+        if earlier is not None:
+            hour = "yyyy-MM-dd'T'HH"
+            closed = F.to_timestamp("bucket", hour) + F.expr(f"INTERVAL 1 hour + INTERVAL {lateness}")
+            late = changed.filter(closed <= F.to_timestamp(F.lit(earlier), hour))
+            late = late.select("bucket", "dimension", "value", (F.col("count") - F.col("before")).alias("count"))
+            if not late.isEmpty():
+                late.write.mode("overwrite").parquet(f"{checkpoint}/late/batch={batch_id}")
+
+    drain_batches(stream, on_batch, checkpoint)
+
+
+def late_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(bucket, dimension, value, count, batch) of what ``maintain_hourly_counts`` added to closed hours."""
+    schema, path = "bucket string, dimension string, value string, count bigint, batch bigint", f"{checkpoint}/late"
+    return spark.read.schema(schema).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+SESSIONS = (
+    "session string, ts string, duration_seconds double, login_failed_count bigint, login_success_count bigint, "
+    "unique_usernames bigint, command_count bigint, day string"
+)
+
+
+def maintain_session_summaries(stream: DataFrame, store: str, path: str, checkpoint: str) -> None:
+    """Keep one row per closing, with the counters of the whole session as stored.
+
+    Sessions a batch touches are recounted from the event store at ``store``, which must hold the batch's events, and
+    their rows are replaced: there is no state to expire, late rows correct what was written, and repeats are harmless.
+    """
 
     def on_batch(batch: DataFrame, _: int) -> None:
-        upsert(batch, path, ("bucket", "dimension", "value"))
+        spark = batch.sparkSession
+        touched = batch.filter(F.col("session") != "").select("session").distinct()
+        found = session_summaries(spark.read.parquet(store).join(touched, "session", "left_semi"))
+        fresh = found.withColumn("day", F.coalesce(F.substring("ts", 1, 10), F.lit("none"))).select(*columns).persist()
+        rows = fresh
+        if table_exists(spark, path):
+            old = spark.read.schema(SESSIONS).parquet(path).join(fresh.select("day").distinct(), "day", "left_semi")
+            rows = fresh.unionByName(old.join(touched, "session", "left_anti"))
+        (
+            rows.hint("rebalance", F.col("day"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day")
+            .parquet(path)
+        )
+        fresh.unpersist()
 
-    drain_batches(hourly_counter_stream(stream, lateness), on_batch, checkpoint, mode="update")
+    columns = [field.split()[0] for field in SESSIONS.split(", ")]
+    drain_batches(stream, on_batch, checkpoint)
 
 
 def refresh_technique_counts(events: DataFrame, path: str, history: DataFrame | None = None) -> None:

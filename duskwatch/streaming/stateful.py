@@ -105,7 +105,11 @@ class SessionCounters(_Expiring):
 
 
 def session_summary_stream(events: DataFrame, *, watermark: str = "1 hour", keep_ms: int = 86_400_000) -> DataFrame:
-    """Session summaries as sessions close. Needs ``session, ts, ts_us, event_time, eventid, username, duration``."""
+    """Session summaries as sessions close. Needs ``session, ts, ts_us, event_time, eventid, username, duration``.
+
+    A closing gets what has arrived so far and is not older than ``keep_ms``; ``counters.maintain_session_summaries``
+    gives whole sessions.
+    """
     return (
         events.select("session", "ts", "ts_us", "event_time", "eventid", "username", "duration")
         .filter((F.col("session").isNotNull()) & (F.col("session") != ""))

@@ -219,3 +219,49 @@ def test_threshold_stream(spark, tmp_path, rows):
     feed.drain()
     feed.add([("z", base + 600 * SEC)])
     assert rows(feed.drain()) == [("a", base, 6, base + 5)]
+
+
+def test_hourly_counts_take_rows_of_any_lateness(spark, tmp_path, rows):
+    """Batches out of time order give the counts of all rows at once, and closed hours are listed."""
+    schema = "username string, password string, country string, asn bigint, eventid string, ts_us bigint"
+    hour = 3600 * SEC
+
+    def run(*data):
+        df = spark.createDataFrame([(u, None, None, None, None, t) for u, t in data], schema)
+        df.withColumn("event_time", F.timestamp_micros("ts_us")).write.mode("append").parquet(f"{tmp_path}/in")
+        S.maintain_hourly_counts(stream_parquet(spark, f"{tmp_path}/in"), f"{tmp_path}/t", f"{tmp_path}/cp")
+        return rows(spark.read.parquet(f"{tmp_path}/t"), "bucket", "value", "count")
+
+    run(("a", T), ("a", T + 30 * hour))
+    run(("a", T + 1), ("b", T + 40 * hour))
+    assert run(("a", T + 2), ("b", T - 48 * hour)) == [
+        ("2026-05-05T00", "b", 1), ("2026-05-07T00", "a", 3), ("2026-05-08T06", "a", 1), ("2026-05-08T16", "b", 1),
+    ]
+    assert rows(S.late_counts(spark, f"{tmp_path}/cp"), "bucket", "value", "count", "batch") == [
+        ("2026-05-05T00", "b", 1, 2), ("2026-05-07T00", "a", 1, 1), ("2026-05-07T00", "a", 1, 2),
+    ]
+
+
+def test_repeated_batch_adds_nothing(spark, tmp_path, rows):
+    def add(batch_id, n):
+        fresh = spark.createDataFrame([("2026-05-07T00", "username", "a", n, "2026-05-07")], "bucket string, dimension string, value string, count bigint, day string")
+        return rows(S.add_counts(fresh, f"{tmp_path}/ledger", batch_id), "before", "count")
+
+    assert [add(0, 2), add(0, 2), add(1, 3), add(1, 3), add(2, 1)] == [[(0, 2)], [(0, 2)], [(2, 5)], [(2, 5)], [(5, 6)]]
+
+
+def test_session_summaries_are_whole_however_late(spark, tmp_path, rows):
+    schema = "session string, ts string, eventid string, username string, duration double"
+
+    def run(*data):
+        spark.createDataFrame(data, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        S.maintain_session_summaries(stream_parquet(spark, f"{tmp_path}/in"), f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/cp")
+
+    run(("b", "2026-05-01T00", "cowrie.login.failed", "u", None), ("d", "2026-05-07T01", "cowrie.session.closed", None, 1.0))
+    run(("c", "2026-05-07T00", "cowrie.session.closed", None, None))
+    run(("b", "2026-05-07T02", "cowrie.session.closed", None, 1.5))
+    run(("c", "2026-05-01T00", "cowrie.command.input", None, None), ("b", "2026-04-01T00", "cowrie.login.success", "v", None))
+    out = spark.read.schema(S.SESSIONS).parquet(f"{tmp_path}/t").drop("day")
+    assert rows(out) == [
+        ("b", "2026-05-07T02", 1.5, 1, 1, 2, 0), ("c", "2026-05-07T00", 0.0, 0, 0, 0, 1), ("d", "2026-05-07T01", 1.0, 0, 0, 0, 0),
+    ]
