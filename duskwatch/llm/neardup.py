@@ -13,8 +13,9 @@ are in different canopies are compared by signatures, cut by set size (a similar
 blocks too, and the few pairs left are verified. With bands of 5 out of 125 hashes a pair at 0.85 is missed as a
 candidate with probability 4e-7, and one at ``miss`` by the signatures.
 
-Cases: a null or empty text has the empty set and no links; a row without id has none either and is kept; rows with
-one id are one document, so their links add up. Only id and text are read.
+Cases: a null or empty text has the empty set and no links; a row without id has none either and is kept. A document is
+an id with a text: rows with both the same are one, rows with one id and different texts are as many, each in the
+component of its own text. Only id and text are read.
 """
 
 from __future__ import annotations
@@ -153,6 +154,15 @@ def pairs_in(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield i, both[both > i] if part[i] == 0 else right
 
 
+def numbered(keys: pa.ChunkedArray) -> np.ndarray:
+    """A number for each key; equal keys have equal ones."""
+    out = np.zeros(len(keys), np.int64)
+    for field in keys.combine_chunks().flatten():
+        values = field.dictionary_encode()
+        out = out * len(values.dictionary) + values.indices.to_numpy(zero_copy_only=False)
+    return out
+
+
 def near_sizes(n: np.ndarray, i: int, other: np.ndarray, threshold: float) -> np.ndarray:
     return np.minimum(n[other], n[i]) >= threshold * np.maximum(n[other], n[i])
 
@@ -162,7 +172,7 @@ def block_rows(limits: list[tuple[int, int]], threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in blocks_of(batches):
-            part, canopy, comp, n = (rows.column(c).to_numpy() for c in ("part", "canopy", "component", "n"))
+            part, n, canopy, comp = rows.column("part").to_numpy(), rows.column("n").to_numpy(), numbered(rows.column("canopy")), numbered(rows.column("component"))
             signs, ids = signs_of(rows.column("sign").combine_chunks()), rows.column("id").combine_chunks()
             for i, other in pairs_in(part):
                 other = other[(canopy[other] != canopy[i]) & (comp[other] != comp[i]) & near_sizes(n, i, other, threshold)]
@@ -179,8 +189,7 @@ def linked_rows(limits: list[tuple[int, int]], threshold: float, size: int, perc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in blocks_of(batches):
-            part, n = rows.column("part").to_numpy(), rows.column("n").to_numpy()
-            _, comp = np.unique(rows.column("component").to_numpy(), return_inverse=True)
+            part, n, comp = rows.column("part").to_numpy(), rows.column("n").to_numpy(), numbered(rows.column("component"))
             signs, ids = signs_of(rows.column("sign").combine_chunks()), rows.column("id").combine_chunks()
             sets = list(shingle_sets(rows.column("text").combine_chunks(), size))
             left, right = [], []
@@ -238,17 +247,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
-    """Per document: doc_id, text_hash (xxhash64), n_shingles, component_id and kept (its id is its component's smallest)."""
+    """Per document: doc_id, text_hash (xxhash64), n_shingles, component_id, component_hash and kept.
+
+    The smallest (doc_id, text_hash) names the component, by both where ids repeat, and is kept.
+    """
     threshold = percent / 100
     limits = least_matches(threshold, miss)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    pair_type = f"a {id_type}, b {id_type}"
+    key_type = f"struct<doc_id: {id_type}, text_hash: bigint>"
+    pair_type = f"a {key_type}, b {key_type}"
     signed = stage(rows.mapInArrow(sign_docs(size), f"row bigint, doc_id {id_type}, text_hash bigint, n_shingles bigint, digest string, sign binary"), "signed")
     by_set = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-    classes = by_set.agg(F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("n_shingles").alias("n"), F.first("sign").alias("sign"))
-    classes = stage(classes.select("digest", F.col("of.doc_id").alias("id"), "of.text_hash", "n", "sign"), "classes")
-    bands = classes.select("id", "sign").mapInArrow(band_rows, f"key bigint, id {id_type}")
+    classes = by_set.agg(F.min(F.struct("doc_id", "text_hash")).alias("id"), F.first("n_shingles").alias("n"), F.first("sign").alias("sign"))
+    classes = stage(classes.select("digest", "id", "n", "sign"), "classes")
+    bands = classes.select("id", "sign").mapInArrow(band_rows, f"key bigint, id {key_type}")
     buckets = stage(bands.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1"), "buckets")
     members = stage(bands.join(buckets, "key").select("key", "id", "hub", F.col("n").alias("members")), "members")
     pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
@@ -258,9 +271,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     def texts_of(ids: DataFrame) -> DataFrame:
         """(id, text) of the classes with these ids, picked from the documents."""
-        needed = classes.join(ids, "id", "left_semi").select(F.col("id").alias("doc_id"), "text_hash").distinct()
+        needed = ids.select("id.doc_id", "id.text_hash").distinct()
         picked = rows.select("doc_id", "text_hash", "text").join(stage(needed, "needed"), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
-        return stage(picked.select(F.col("doc_id").alias("id"), "text_hash", "text"), "texts")
+        return stage(picked.select(F.struct("doc_id", "text_hash").alias("id"), "text"), "texts")
 
     def verified(survivors: DataFrame) -> DataFrame:
         """Pairs of (a, b) whose full sets are similar."""
@@ -285,7 +298,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     fan = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     split = stage(sums.where("x <> y").select("canopy", fan.alias("fan")), "canopies")
     inside = stage(placed.join(split, "canopy"), "inside")
-    full = inside.join(classes.select("id", "text_hash", "n", "sign"), "id").join(texts_of(inside.select("id")), ["id", "text_hash"])
+    full = inside.join(classes.select("id", "n", "sign"), "id").join(texts_of(inside.select("id")), "id")
     cells = full.withColumn("cell", cell).withColumn("other", others)
     dealt = cells.select(F.xxhash64("canopy", low, high).alias("block"), side.alias("part"), "id", "component", "n", "sign", "text")
     near = stage(blocks(dealt).mapInArrow(linked_rows(limits, threshold, size, percent), pair_type), "canopy-links")
@@ -309,19 +322,20 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     late = stage(blocks(within.unionByName(across)).mapInArrow(block_rows(limits, threshold), pair_type).distinct(), "late-survivors")
     roots = components(edges.unionByName(verified(late)))
 
-    of_class = stage(classes.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("component_id")), "class-roots")
+    of_class = stage(classes.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("component")), "class-roots")
     placed_rows = signed.select("row", "doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(of_class, "digest", "left")
+    own = (F.col("component.doc_id") == F.col("doc_id")) & (F.col("component.text_hash") == F.col("text_hash"))
     return placed_rows.select(
-        "doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        (F.col("doc_id").isNull() | (F.coalesce("component_id", "doc_id") == F.col("doc_id"))).alias("kept"),
+        "doc_id", "text_hash", "n_shingles", F.coalesce("component.doc_id", "doc_id").alias("component_id"),
+        F.coalesce("component.text_hash", "text_hash").alias("component_hash"), F.coalesce(own, F.lit(True)).alias("kept"),
     )
 
 
 def without_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each component, with all its columns; of rows with one id the one with the smallest text hash; rows without id stay."""
+    """One document of each component, with all its columns; of rows with one id and text one; rows without id stay."""
     found = near_duplicates(docs, doc_id=doc_id, text=text, **options)
-    kept = stage(found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
-    own = F.col(f"`{doc_id}`")
-    once = Window.partitionBy(own).orderBy(F.xxhash64(F.col(f"`{text}`")))
-    some = docs.join(kept, own == F.col("_kept"), "left_semi").withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
+    kept = stage(found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash")).distinct(), "kept")
+    own, of_text = F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`"))
+    once = Window.partitionBy(own, of_text).orderBy(of_text)
+    some = docs.join(kept, (own == F.col("_kept")) & (of_text == F.col("_hash")), "left_semi").withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
     return some.unionByName(docs.where(own.isNull()))

@@ -127,6 +127,18 @@ def test_near_duplicates_find_every_link(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Texts of one id are judged each by itself: none that is no copy is dropped, none is kept twice."""
+    t1, t2, t3 = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    docs = [(3, t1), (5, t1), (5, t2), (5, t2), (6, t3), (6, t3 + " x"), (6, None), (7, t2)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = neardup.near_duplicates(df, size=3, percent=85).collect()
+    assert len(got) == len(docs) and len({(r["component_id"], r["component_hash"]) for r in got}) == 4
+    kept = [tuple(r) for r in neardup.without_near_duplicates(df, size=3, percent=85).collect()]
+    third = [k for k in kept if k[0] == 6 and k[1]]
+    assert len(third) == 1 and sorted(kept, key=str) == sorted([(3, t1), (5, t2), (6, None), *third], key=str)
+
+
 def test_posterior_limits():
     for n, m in neardup.least_matches(0.85, 1e-6):
         grid = np.linspace(0, 1, 20001)[1:-1]
