@@ -2,8 +2,9 @@
 
 A rule is a conjunction of thresholds on statistics. It is grown on two thirds of the labelled rows, each step adding
 the threshold with the largest gain of information about low quality, and pruned on the other third to the length with
-the best precision there; rows it covers are set aside and the next rule is grown, until none is precise enough. The
-list becomes one ordered conditional expression. Labelled rows are counted by bin of each statistic, so every step is
+the best precision there; rows it covers are set aside and the next rule is grown. A rule that isn't precise enough is
+left out, and until the next rule is found none begins with its first statistic and side. Thresholds are quantiles of all
+labelled rows and of the low-quality ones alone, and each statistic's smallest value above 0. The list becomes one ordered conditional expression. Labelled rows are counted by bin of each statistic, so every step is
 one small aggregate; the driver sees counts per bin and nothing else.
 
 Cases: a null text has no words, all counts are 0 and it fails the base rule; rows without a label, or whose id has no
@@ -33,6 +34,7 @@ FEATURES = {
     "repeat_share": lambda _: F.try_divide(F.col("n_repeat_words"), F.col("n_words")),
 }
 CUTS = (0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.92, 0.94, 0.96, 0.98, 0.99)
+BAD_CUTS = (0.001, 0.005, *CUTS, 0.995, 0.999)  # of the low-quality rows alone
 
 
 def feature(name: str) -> Column:
@@ -128,8 +130,10 @@ def learn_rules(labelled: DataFrame, *, max_rules: int = 8, max_terms: int = 3,
     """Learn a list from rows with the statistics, ``fold_key`` (any id) and ``bad`` (boolean)."""
     features = list(FEATURES)
     values = labelled.where("bad IS NOT NULL").select("bad", (F.pmod(F.xxhash64("fold_key"), F.lit(3)) == 0).alias("prune"), *[feature(f).alias(f) for f in features])
-    found = values.agg(*[F.percentile_approx(f, F.array(*map(F.lit, CUTS)), 1000).alias(f) for f in features]).first()
-    cuts = {f: sorted({c for c in (found[f] or []) if c > 0}) for f in features}
+    of_all = [F.percentile_approx(f, F.array(*map(F.lit, CUTS)), 1000).alias(f) for f in features]
+    of_bad = [F.percentile_approx(F.when(F.col("bad"), F.col(f)), F.array(*map(F.lit, BAD_CUTS)), 10000).alias(f"{f}_bad") for f in features]
+    found = values.agg(*of_all, *of_bad, *[F.min(F.when(F.col(f) > 0, F.col(f))).alias(f"{f}_least") for f in features]).first()
+    cuts = {f: sorted({c for c in [*(found[f] or []), *(found[f"{f}_bad"] or []), found[f"{f}_least"] or 0] if c > 0}) for f in features}
     features = [f for f in features if cuts[f]]
     if not features:
         return []
@@ -154,7 +158,10 @@ def learn_rules(labelled: DataFrame, *, max_rules: int = 8, max_terms: int = 3,
                 for at in range(1, len(cuts[f]) + 1):
                     low = [x + y for x, y in zip(low, counts.get((f, at - 1), (0, 0)))]
                     options += [(gain(*total, *low), (f, at, False)), (gain(*total, total[0] - low[0], total[1] - low[1]), (f, at, True))]
-            best = max(options, key=lambda o: (o[0], o[1]))
+            options = [o for o in options if terms or (o[1][0], o[1][2]) not in aside]
+            if not options:
+                break
+            best = max(options, key=lambda o: (o[0], cuts[o[1][0]][o[1][1] - 1] == found[f"{o[1][0]}_least"], o[1]))  # of equals, one that parts 0 from the rest
             if best[0] <= 1e-9:
                 break
             terms.append(best[1])
@@ -162,6 +169,7 @@ def learn_rules(labelled: DataFrame, *, max_rules: int = 8, max_terms: int = 3,
 
     rules: list[Rule] = []
     open_rows = F.lit(True)
+    aside: set[tuple[str, bool]] = set()
     while len(rules) < max_rules:
         terms = grow(open_rows)
         if not terms:
@@ -175,9 +183,11 @@ def learn_rules(labelled: DataFrame, *, max_rules: int = 8, max_terms: int = 3,
         best = max(range(1, len(terms) + 1), key=lambda k: (share(row[f"b{k}"], row[f"g{k}"]), -k))
         bad, good = row[f"b{best}_all"] or 0, row[f"g{best}_all"] or 0
         if bad + good < min_rows or bad / (bad + good) < min_precision or (row[f"g{best}"] or 0) > (1 - min_precision) * ((row[f"b{best}"] or 0) + (row[f"g{best}"] or 0)):
-            break
+            aside.add((terms[0][0], terms[0][2]))
+            continue
         rules.append(tuple(Threshold(f, cuts[f][at - 1], up) for f, at, up in terms[:best]))
         open_rows = open_rows & ~all_of([term(t) for t in terms[:best]])
+        aside = set()
     return rules
 
 

@@ -127,6 +127,21 @@ def test_rules_learn_what_separates(spark):
     assert quality_rules.judge_quality(d.limit(0), lab.limit(0))[0].count() == 0
 
 
+def test_rules_find_rare_kinds_past_imprecise_ones(spark):
+    """15 of 2,400 rows, all low quality, after a larger kind that no threshold cuts off cleanly."""
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(2400):
+        rare, mixed = i % 160 == 0, i % 8 == 1
+        words = ["w" * rng.randint(2, 6) + str(rng.randrange(900)) for _ in range(80)]
+        docs.append((i, " ".join(words) + (" no!! why?? stop!! go??" if rare else " ##" if mixed else "")))
+        labels.append((i, 0 if rare or mixed and rng.random() < 0.7 else 1))
+    judged, rules = quality_rules.judge_quality(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    kept = {r["doc_id"]: r["kept"] for r in judged.collect()}
+    assert not any(kept[i] for i in range(0, 2400, 160))
+    assert sum(not kept[i] for i in range(2400) if i % 8 > 1) <= 20
+
+
 PAGES = [
     (1, "http://a/", "<p>one</p>"), (2, "http://b/\r\nX: y", None), (3, None, "same"), (4, "http://d/", "same"), (9, "u", "same"), (None, "n", "same"), (None, "n", "only null"),
     (5, "http://e/", "x\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\nContent-Length: 999999\r\n\r\ntail"),
