@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm import ctw, decontaminate, mixing, neardup, quality_rules, secret_scan, toxicity, transcripts, url_filter, warc
+from duskwatch.llm import collocations, ctw, decontaminate, divergence, mixing, neardup, quality_rules, secret_scan, topk_search, toxicity, transcripts, url_filter, warc
 from duskwatch.session import prepare, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,3 +228,81 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = work_dir(spark, "archives")
     warc.write_warc(table(spark, folder, "pages"), path)
     return warc.read_warc(spark, path).select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+frequent AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 6) AS t(k) WHERE len(ws) >= k) GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, k AS m, phrase, string_split(phrase, ' ') AS parts, f AS a FROM frequent WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.c, h.f AS l, t.f AS r
+  FROM (SELECT *, unnest(range(1, m)) AS c FROM candidates) c
+  JOIN frequent h ON h.lang = c.lang AND h.k = c.c AND h.phrase = array_to_string(parts[1:c.c], ' ')
+  JOIN frequent t ON t.lang = c.lang AND t.k = c.m - c.c AND t.phrase = array_to_string(parts[c.c + 1:m], ' ')),
+best AS (
+  SELECT lang, phrase, a, n, min({'score': 1000 * a * n // (l * r), 'c': c, 'l': l, 'r': r}) AS cut FROM cuts JOIN totals USING (lang) GROUP BY ALL),
+covers AS (
+  SELECT lang, array_to_string(parts[s:s + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, m - k + 2)) AS s FROM candidates, range(2, 5) AS t(k) WHERE k < m) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase) AS rank
+  FROM best LEFT JOIN covers USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, cut.l::BIGINT AS l, cut.r::BIGINT AS r, n::BIGINT AS n, cut.score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op11_collocations", PHRASE_SQL)
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Each language's first 2000 phrases with 100 occurrences or more, over all documents."""
+    return collocations.collocations(table(spark, folder, "documents"), support=100, cover=100, top=2000)
+
+
+NEAREST_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+scores AS (SELECT q.vec_id AS query_id, q.r, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scores)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op12_topk_search", NEAREST_SQL)
+def op12_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best other vectors of every vector whose id is divisible by 100, against all vectors."""
+    return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+t AS (SELECT lang, source, r, term, count(*) AS n FROM (SELECT lang, source, r, unnest(ws) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::BIGINT AS lang_n FROM t GROUP BY ALL HAVING count(*) >= 3),
+c AS (SELECT t.lang, t.source, t.term, sum(t.n)::BIGINT AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+sizes AS (SELECT lang, count(*) AS v, sum(lang_n)::BIGINT AS lang_total FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, coalesce(sum(n), 0)::BIGINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (total + v) AS p, 1 + 1000000000 * (lang_n + 1) // (lang_total + v) AS q
+  FROM g JOIN totals USING (lang, source) JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of sources of a language, and the 200 terms most above it for each source, over all documents."""
+    return divergence.divergences(table(spark, folder, "documents"), min_docs=3, top=200)
