@@ -32,7 +32,6 @@ from duskwatch.session import stage
 
 SHARDS = 16
 LONGEST = 5
-BITS = 1 << 26  # of a bit table: 8 MB however many phrases there are
 TALLY = 1 << 21  # different phrases that a task counts before it passes the counts on
 LABELS = 1 << 17  # the same, where it holds their texts
 
@@ -82,30 +81,7 @@ def read(batch: pa.RecordBatch) -> Text:
     return Text(ws, ws.hashes(), salts, doc, np.append(np.flatnonzero(new), len(doc)))
 
 
-class Table:
-    """A set of 64-bit keys in a bit table of fixed size, with two bits a key."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    @staticmethod
-    def of(keys: DataFrame) -> Table:
-        """From the column ``key``. The driver gets BITS / 64 numbers at most."""
-        low, high = F.col("key").bitwiseAND(F.lit(BITS - 1)), F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(BITS - 1))
-        bit = keys.select(F.explode(F.array(low, high)).alias("bit"))
-        words = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("word")).toArrow()
-        bits = np.zeros(BITS // 64, np.uint64)
-        bits[words.column("at").to_numpy()] = words.column("word").to_numpy().view(np.uint64)
-        return Table(bits)
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for bit in (keys & np.uint64(BITS - 1), (keys >> np.uint64(32)) & np.uint64(BITS - 1)):
-            found &= (self.bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-        return found
-
-
-def inside_of(text: Text, words: Table, candidates: Table | None, upto: int) -> np.ndarray:
+def inside_of(text: Text, words: W.BitTable, candidates: W.BitTable | None, upto: int) -> np.ndarray:
     """For each word: does a frequent word (``upto`` 1), or a candidate of ``upto`` words, begin there?"""
     inside = np.zeros(len(text.hashes) + LONGEST, bool)
     at = np.arange(len(text.hashes))
@@ -215,7 +191,7 @@ def count_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang", su
     share = lambda value: rows.sparkSession.sparkContext.broadcast(value)  # noqa: E731  a table of fixed size
     counted = "lang string, phrase string, words int, n bigint"
     words = stage(rows.mapInArrow(labelled(None, None, 1), counted).groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
-    frequent = share(Table.of(keyed(words.where(F.col("n") >= support))))
+    frequent = share(W.BitTable.of(keyed(words.where(F.col("n") >= support))))
     candidates, levels = None, []
     for lengths in ((2,), (3,), (4, 5)):
         lengths = tuple(n for n in lengths if n <= longest)
@@ -225,7 +201,7 @@ def count_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang", su
             union = levels[0]
             for level in levels[1:]:
                 union = union.unionByName(level)
-            candidates = share(Table.of(union))
+            candidates = share(W.BitTable.of(union))
     found = rows.mapInArrow(labelled(frequent, candidates, longest), counted).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     return words, stage(found.where(F.col("n") >= support), "phrases")
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.llm import words as W
-from duskwatch.llm.neardup import blocks_of
+from duskwatch.llm.words import blocks_of
 from duskwatch.session import stage
 
 WORD_BIT = np.uint64(1 << 63)  # set in codes of words, never in those of byte runs

@@ -26,7 +26,7 @@ from math import comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.llm import words as W
@@ -36,6 +36,7 @@ BANDS, ROWS = 25, 5
 HASHES = BANDS * ROWS
 BLOCK = 256  # documents on a side of a block
 BLOCK_SHINGLES = 1 << 19  # shingles on a side of a block
+PAIR = "a bigint, b bigint"
 _RNG = np.random.default_rng(20240229)
 FACTORS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 MASKS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -63,36 +64,35 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return best
 
 
+def band_keys(sign: np.ndarray) -> np.ndarray:
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for part in sign.astype(np.uint64).reshape(BANDS, ROWS).T:
+        keys = W.mix((keys + part) * W.BASE)
+    return keys.view(np.int64)
+
+
 def sign_docs(size: int):
+    """Each text's number of shingles, digest of its set, band keys, and the last byte of each of its MinHashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.pieces(batches, "text"):
-            counts, digests, signs = [], [], []
+            counts, digests, bands, signs = [], [], [], []
             for found in shingle_sets(batch.column("text"), size):
+                sign = signature(found) if len(found) else None
                 counts.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest() if len(found) else None)
-                signs.append(signature(found).tobytes() if len(found) else None)
+                bands.append(None if sign is None else band_keys(sign))
+                signs.append(None if sign is None else sign.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(signs, pa.binary())],
-                ["row", "doc_id", "text_hash", "n_shingles", "digest", "sign"],
+                [*[batch.column(c) for c in ("row", "doc_id", "text_hash")], pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
+                ["row", "doc_id", "text_hash", "n_shingles", "digest", "bands", "sign"],
             )
 
     return run
 
 
 def signs_of(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
-
-
-def band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, 4096):
-            batch = whole.slice(at, 4096)
-            signs = signs_of(batch.column("sign")).astype(np.uint64).reshape(-1, BANDS, ROWS)
-            keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), signs.shape[:2]).copy()
-            for i in range(ROWS):
-                keys = W.mix((keys + signs[:, :, i]) * W.BASE)
-            ids = batch.column("id").take(pa.array(np.repeat(np.arange(batch.num_rows), BANDS)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), ids], ["key", "id"])
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HASHES)
 
 
 def least_matches(threshold: float, miss: float) -> list[tuple[int, int]]:
@@ -130,56 +130,24 @@ def pair_rows(limits: list[tuple[int, int]]):
     return run
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows of a sorted partition, one table for each value of ``block``."""
-    rest = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = pa.Table.from_batches([batch])
-        now = now if rest is None else pa.concat_tables([rest, now])
-        names = now.column("block").to_numpy()
-        cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist()]
-        for at, end in zip(cuts, cuts[1:]):
-            yield now.slice(at, end - at)
-        rest = now.slice(cuts[-1])
-    if rest is not None:
-        yield rest
-
-
-def pairs_in(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each row of a block with the rows it is to meet: a block with itself (part 0), or its left (1) with its right side (2)."""
-    both, right = np.flatnonzero(part == 0), np.flatnonzero(part == 2)
-    for i in np.flatnonzero(part <= 1):
-        yield i, both[both > i] if part[i] == 0 else right
-
-
-def numbered(keys: pa.ChunkedArray) -> np.ndarray:
-    """A number for each key; equal keys have equal ones."""
-    out = np.zeros(len(keys), np.int64)
-    for field in keys.combine_chunks().flatten():
-        values = field.dictionary_encode()
-        out = out * len(values.dictionary) + values.indices.to_numpy(zero_copy_only=False)
-    return out
-
-
 def near_sizes(n: np.ndarray, i: int, other: np.ndarray, threshold: float) -> np.ndarray:
     return np.minimum(n[other], n[i]) >= threshold * np.maximum(n[other], n[i])
 
 
 def block_rows(limits: list[tuple[int, int]], threshold: float):
-    """Survivors of blocks: in different components and canopies, sizes near enough, signatures alike."""
+    """Survivors of blocks, left against right: in different components and canopies, sizes near enough, signatures alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in blocks_of(batches):
-            part, n, canopy, comp = rows.column("part").to_numpy(), rows.column("n").to_numpy(), numbered(rows.column("canopy")), numbered(rows.column("component"))
-            signs, ids = signs_of(rows.column("sign").combine_chunks()), rows.column("id").combine_chunks()
-            for i, other in pairs_in(part):
-                other = other[(canopy[other] != canopy[i]) & (comp[other] != comp[i]) & near_sizes(n, i, other, threshold)]
+        for rows in W.blocks_of(batches):
+            left, n, canopy, comp, own, ids = (rows.column(c).to_numpy() for c in ("left", "n", "canopy", "component", "own", "id"))
+            signs = signs_of(rows.column("sign").combine_chunks())
+            right = np.flatnonzero(~left)
+            for i in np.flatnonzero(left):
+                other = right[(canopy[right] != canopy[i]) & (comp[right] != comp[i]) & (own[right] | own[i]) & near_sizes(n, i, right, threshold)]
                 if len(other):
-                    close = other[prune(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], limits)]
+                    close = ids[other[prune(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], limits)]]
                     if len(close):
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.full(len(close), i))), ids.take(pa.array(close))], ["a", "b"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(close, ids[i])), pa.array(np.maximum(close, ids[i]))], ["a", "b"])
 
     return run
 
@@ -188,28 +156,41 @@ def linked_rows(limits: list[tuple[int, int]], threshold: float, size: int, perc
     """New links of blocks whose rows carry texts: full sets are compared where signatures are alike, until both are in one component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in blocks_of(batches):
-            part, n, comp = rows.column("part").to_numpy(), rows.column("n").to_numpy(), numbered(rows.column("component"))
-            signs, ids = signs_of(rows.column("sign").combine_chunks()), rows.column("id").combine_chunks()
+        for rows in W.blocks_of(batches):
+            left, n, ids = (rows.column(c).to_numpy() for c in ("left", "n", "id"))
+            comp = rows.column("component").to_numpy().copy()
+            signs = signs_of(rows.column("sign").combine_chunks())
             sets = list(shingle_sets(rows.column("text").combine_chunks(), size))
-            left, right = [], []
-            for i, other in pairs_in(part):
-                other = other[(comp[other] != comp[i]) & near_sizes(n, i, other, threshold)]
+            right = np.flatnonzero(~left)
+            out_a, out_b = [], []
+            for i in np.flatnonzero(left):
+                other = right[(comp[right] != comp[i]) & near_sizes(n, i, right, threshold)]
                 if not len(other):
                     continue
                 close = other[prune(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], limits)]
                 if not len(close) or not len(sets[i]):
                     continue
                 found = np.concatenate([sets[j] for j in close])
-                at = np.minimum(np.searchsorted(sets[i], found), len(sets[i]) - 1)
-                both = np.add.reduceat((sets[i][at] == found).astype(np.int64), np.concatenate(([0], np.cumsum([len(sets[j]) for j in close])[:-1])))
                 sizes = np.array([len(sets[j]) for j in close])
+                at = np.minimum(np.searchsorted(sets[i], found), len(sets[i]) - 1)
+                both = np.add.reduceat((sets[i][at] == found).astype(np.int64), np.cumsum(sizes) - sizes)
                 for j in close[100 * both >= percent * (len(sets[i]) + sizes - both)]:
                     if comp[j] != comp[i]:
                         comp[comp == comp[j]] = comp[i]
-                        left.append(i)
-                        right.append(j)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(left, pa.int64())), ids.take(pa.array(right, pa.int64()))], ["a", "b"])
+                        out_a.append(min(ids[i], ids[j]))
+                        out_b.append(max(ids[i], ids[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def listed_rows(table):
+    """The rows whose key may be in a bit table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.drop_columns(["key"]).filter(pa.array(table.value.has(keys)))
 
     return run
 
@@ -227,13 +208,12 @@ def exact_rows(size: int, percent: int):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, root) for every end of an edge; root is its component's smallest id. Each round contracts ids into their smallest neighbour."""
+    """(id, root) for every end of an edge; root is its component's smallest id. Each round contracts ids into their smallest neighbour's."""
     roots, left = None, stage(edges.select("a", "b").distinct(), "edges")
     while True:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = stage(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("root")), "parents")
-        up = parent.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        parent = stage(parent.join(up, "root").select("id", F.col("next").alias("root")), "parents")
+        near = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("root"))
+        parent = stage(near.join(near.select(F.col("id").alias("root"), F.col("root").alias("next")), "root").select("id", F.col("next").alias("root")), "parents")
         if roots is None:
             roots = parent
         else:
@@ -246,22 +226,43 @@ def components(edges: DataFrame) -> DataFrame:
             return roots
 
 
+def meetings(rows: DataFrame, group: list[str], kind: str) -> DataFrame:
+    """Deal the rows of each group that holds several kinds into blocks (block, left) so that all of different kinds meet.
+
+    Those outside the group's largest kind are the left sides and all are right sides: a group of many alike and few
+    others is sent about once.
+    """
+    of_kind = rows.groupBy(*group, kind).agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    sums = of_kind.groupBy(*group).agg(F.max(F.struct("c", "s", kind)).alias("main"), F.sum("c").alias("c"), F.sum("s").alias("s")).where("c > main.c")
+
+    def fan(c: Column, s: Column) -> Column:
+        return F.greatest(F.ceil(c / BLOCK), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+
+    fans = stage(sums.select(*group, F.col(f"main.{kind}").alias("main"), fan(F.col("c"), F.col("s")).alias("all"), fan(F.col("c") - F.col("main.c"), F.col("s") - F.col("main.s")).alias("outside")), "fans")
+    met = rows.join(fans, group)
+    every = [F.struct(F.lit(False).alias("left"), F.pmod(F.xxhash64("id"), "all").cast("int").alias("cell"), F.col("outside").alias("others"))]
+    outsider = F.struct(F.lit(True).alias("left"), F.pmod(F.xxhash64(F.lit(1), "id"), "outside").cast("int").alias("cell"), F.col("all").alias("others"))
+    sides = F.when(F.col(kind) != F.col("main"), F.array(*every, outsider)).otherwise(F.array(*every))
+    sided = met.withColumn("side", F.explode(sides)).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side.others") - 1)))
+    i, j = F.when(F.col("side.left"), F.col("side.cell")).otherwise(F.col("other")), F.when(F.col("side.left"), F.col("other")).otherwise(F.col("side.cell"))
+    return sided.select(F.xxhash64(*group, i, j).alias("block"), F.col("side.left").alias("left"), *rows.columns)
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
     """Per document: doc_id, text_hash (xxhash64), n_shingles, component_id, component_hash and kept.
 
     The smallest (doc_id, text_hash) names the component, by both where ids repeat, and is kept.
     """
-    threshold = percent / 100
+    spark, threshold = docs.sparkSession, percent / 100
     limits = least_matches(threshold, miss)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    key_type = f"struct<doc_id: {id_type}, text_hash: bigint>"
-    pair_type = f"a {key_type}, b {key_type}"
-    signed = stage(rows.mapInArrow(sign_docs(size), f"row bigint, doc_id {id_type}, text_hash bigint, n_shingles bigint, digest string, sign binary"), "signed")
+    named = f"doc_id {id_type}, text_hash bigint"
+    signed = stage(rows.mapInArrow(sign_docs(size), f"row bigint, {named}, n_shingles bigint, digest string, bands array<bigint>, sign binary"), "signed")
     by_set = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-    classes = by_set.agg(F.min(F.struct("doc_id", "text_hash")).alias("id"), F.first("n_shingles").alias("n"), F.first("sign").alias("sign"))
-    classes = stage(classes.select("digest", "id", "n", "sign"), "classes")
-    bands = classes.select("id", "sign").mapInArrow(band_rows, f"key bigint, id {key_type}")
+    classes = by_set.agg(F.min(F.struct("doc_id", "text_hash")).alias("name"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sign")])
+    classes = stage(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "name", F.col("n_shingles").alias("n"), "bands", "sign"), "classes")
+    bands = classes.select("id", F.explode("bands").alias("key"))
     buckets = stage(bands.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1"), "buckets")
     members = stage(bands.join(buckets, "key").select("key", "id", "hub", F.col("n").alias("members")), "members")
     pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
@@ -270,60 +271,49 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         return classes.select(F.col("id").alias(name), F.col("sign").alias(f"sign_{name}"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        """(id, text) of the classes with these ids, picked from the documents."""
-        needed = ids.select("id.doc_id", "id.text_hash").distinct()
-        picked = rows.select("doc_id", "text_hash", "text").join(stage(needed, "needed"), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
-        return stage(picked.select(F.struct("doc_id", "text_hash").alias("id"), "text"), "texts")
+        """(id, text) of the classes with these ids. Of the documents only those in a bit table of their keys are shuffled."""
+        needed = stage(classes.select("id", "name.*").join(ids.select("id").distinct(), "id", "left_semi"), "needed")
+        key = F.xxhash64("doc_id", "text_hash").alias("key")
+        table = spark.sparkContext.broadcast(W.BitTable.of(needed.select(key)))
+        listed = rows.select("doc_id", "text_hash", "text", key).mapInArrow(listed_rows(table), f"{named}, text string")
+        picked = listed.join(needed, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+        return stage(picked.select("id", "text"), "texts")
 
     def verified(survivors: DataFrame) -> DataFrame:
         """Pairs of (a, b) whose full sets are similar."""
-        texts = texts_of(survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        texts = texts_of(survivors.select(F.explode(F.array("a", "b")).alias("id")))
         both = survivors.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        return both.mapInArrow(exact_rows(size, percent), pair_type).distinct()
+        return both.mapInArrow(exact_rows(size, percent), PAIR).distinct()
 
-    def blocks(dealt: DataFrame) -> DataFrame:
-        return dealt.repartition("block").sortWithinPartitions("block")
+    def blocks(dealt: DataFrame, compare) -> DataFrame:
+        return dealt.repartition("block").sortWithinPartitions("block").mapInArrow(compare, PAIR)
 
-    alike = stage(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(pair_rows(limits), pair_type), "survivors")
+    alike = stage(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(pair_rows(limits), PAIR), "survivors")
     edges = stage(verified(alike), "links")
-    cell = F.pmod(F.xxhash64("id"), "fan").cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.col("fan") - 1))
-    low, high = F.least("cell", "other"), F.greatest("cell", "other")
-    side = F.when(low == high, 0).when(F.col("cell") == low, 1).otherwise(2)
 
     # inside canopies: documents that no verified link has joined yet
     canopies = components(alike).select("id", F.col("root").alias("canopy"))
-    placed = stage(canopies.join(components(edges), "id", "left").select("id", "canopy", F.coalesce("root", "id").alias("component")), "placed")
-    sums = placed.join(classes.select("id", "n"), "id").groupBy("canopy").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"), F.sum("n").alias("shingles"))
-    fan = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    split = stage(sums.where("x <> y").select("canopy", fan.alias("fan")), "canopies")
-    inside = stage(placed.join(split, "canopy"), "inside")
-    full = inside.join(classes.select("id", "n", "sign"), "id").join(texts_of(inside.select("id")), "id")
-    cells = full.withColumn("cell", cell).withColumn("other", others)
-    dealt = cells.select(F.xxhash64("canopy", low, high).alias("block"), side.alias("part"), "id", "component", "n", "sign", "text")
-    near = stage(blocks(dealt).mapInArrow(linked_rows(limits, threshold, size, percent), pair_type), "canopy-links")
-    edges = stage(edges.unionByName(near), "links")
+    placed = canopies.join(components(edges), "id", "left").select("id", "canopy", F.coalesce("root", "id").alias("component"))
+    sums = placed.groupBy("canopy").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("canopy")
+    inside = stage(placed.join(sums, "canopy").join(classes.select("id", "n", "sign"), "id"), "inside")
+    met = meetings(inside.join(texts_of(inside), "id"), ["canopy"], "component")
+    edges = stage(edges.unionByName(blocks(met, linked_rows(limits, threshold, size, percent))), "links")
 
     # members of one bucket in different canopies: a size class meets itself and the one below
-    placed = canopies.join(components(edges), "id", "left").select("id", "canopy", F.coalesce("root", "id").alias("component"))
+    placed = stage(canopies.join(components(edges), "id", "left").select("id", "canopy", F.coalesce("root", "id").alias("component")), "placed")
     of_bucket = members.where("members > 2").join(placed, "id", "left").select("key", "id", F.coalesce("canopy", "id").alias("canopy"), F.coalesce("component", "id").alias("component"))
-    of_bucket = stage(of_bucket, "placed")
-    mixed = stage(of_bucket.groupBy("key").agg(F.min("canopy").alias("x"), F.max("canopy").alias("y")).where("x <> y").select("key"), "mixed")
+    of_bucket = stage(of_bucket, "bucket-members")
+    mixed = of_bucket.groupBy("key").agg(F.min("canopy").alias("x"), F.max("canopy").alias("y")).where("x <> y").select("key")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(-log(threshold))).cast("int")
-    sized = of_bucket.join(mixed, "key").join(classes.select("id", "n"), "id").withColumn("class", size_class)
-    meetings = stage(sized.withColumn("meet", F.explode(F.array(F.col("class"), F.col("class") + 1))).withColumn("own", F.col("meet") == F.col("class")), "meetings")
-    fans = meetings.groupBy("key", "meet").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("fan"), F.count_if("own").alias("owns"), F.min("canopy").alias("x"), F.max("canopy").alias("y"))
-    fans = stage(fans.where("owns > 0 AND x <> y").select("key", "meet", "fan"), "fans")
-    cells = meetings.join(fans, ["key", "meet"]).join(classes.select("id", "sign"), "id").withColumn("cell", cell).withColumn("other", others)
-    carried = ("id", "canopy", "component", "n", "sign")
-    within = cells.where("own").select(F.xxhash64("key", "meet", low, high).alias("block"), side.alias("part"), *carried)
-    left, right = F.when(F.col("own"), F.col("cell")).otherwise(F.col("other")), F.when(F.col("own"), F.col("other")).otherwise(F.col("cell"))
-    across = cells.select(F.xxhash64("key", "meet", F.lit("below"), left, right).alias("block"), F.when(F.col("own"), 1).otherwise(2).alias("part"), *carried)
-    late = stage(blocks(within.unionByName(across)).mapInArrow(block_rows(limits, threshold), pair_type).distinct(), "late-survivors")
+    sized = of_bucket.join(mixed, "key").join(classes.select("id", "n", "sign"), "id").withColumn("class", size_class)
+    sized = sized.withColumn("meet", F.explode(F.array(F.col("class"), F.col("class") + 1))).withColumn("own", F.col("meet") == F.col("class")).drop("class")
+    late = stage(blocks(meetings(stage(sized, "sized"), ["key", "meet"], "canopy"), block_rows(limits, threshold)).distinct(), "late-survivors")
     roots = components(edges.unionByName(verified(late)))
 
-    of_class = stage(classes.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("component")), "class-roots")
-    placed_rows = signed.select("row", "doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(of_class, "digest", "left")
+    of_class = stage(classes.select("id", "digest", "name").join(roots, "id", "left").select("digest", "name", F.coalesce("root", "id").alias("root")), "class-roots")
+    names = of_class.groupBy("root").agg(F.min("name").alias("component"))
+    of_set = of_class.select("digest", "root").join(names, "root").select("digest", "component")
+    placed_rows = signed.select("row", "doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(of_set, "digest", "left")
     own = (F.col("component.doc_id") == F.col("doc_id")) & (F.col("component.text_hash") == F.col("text_hash"))
     return placed_rows.select(
         "doc_id", "text_hash", "n_shingles", F.coalesce("component.doc_id", "doc_id").alias("component_id"),
@@ -334,8 +324,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 def without_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each component, with all its columns; of rows with one id and text one; rows without id stay."""
     found = near_duplicates(docs, doc_id=doc_id, text=text, **options)
-    kept = stage(found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash")).distinct(), "kept")
+    kept = stage(found.where("kept AND doc_id IS NOT NULL").select("doc_id", "text_hash").distinct(), "kept")
     own, of_text = F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`"))
-    once = Window.partitionBy(own, of_text).orderBy(of_text)
-    some = docs.join(kept, (own == F.col("_kept")) & (of_text == F.col("_hash")), "left_semi").withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
-    return some.unionByName(docs.where(own.isNull()))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("doc_id"), of_text.alias("text_hash"))
+    once = Window.partitionBy("doc_id", "text_hash").orderBy("text_hash")
+    some = whole.join(kept, ["doc_id", "text_hash"], "left_semi").withColumn("n", F.row_number().over(once)).where("n = 1")
+    return some.select("row.*").unionByName(docs.where(own.isNull()))

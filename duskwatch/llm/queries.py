@@ -173,7 +173,8 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_near_duplicates")
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
-    return found.select("doc_id", "n_shingles", "component_id", "kept")
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 @query("op6_lm_score")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duskwatch.llm.neardup import blocks_of
+from duskwatch.llm.words import blocks_of
 from duskwatch.session import stage
 
 ROLES = ("system", "user", "assistant")

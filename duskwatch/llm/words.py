@@ -8,6 +8,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PIECE = 1 << 19  # bytes of text handled at once, a bound on the arrays made of it; a longer text is handled alone
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -110,3 +112,46 @@ def grams(hashes: np.ndarray, ptr: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     for i in range(k):
         total = (total + hashes[at + i]) * BASE
     return mix(total), at, out
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of a sorted partition, one table for each value of ``block``."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        names = now.column("block").to_numpy()
+        cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+        for at, end in zip(cuts, cuts[1:]):
+            if held and held[0].column("block")[0] != now.column("block")[at]:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(now.slice(at, end - at))
+    if held:
+        yield pa.concat_tables(held)
+
+
+class BitTable:
+    """A set of 64-bit keys in a bit table of fixed size, with two bits a key: all keys of the set and a few others."""
+
+    BITS = 1 << 26  # 8 MB however many keys there are
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @classmethod
+    def of(cls, keys: DataFrame) -> BitTable:
+        """From the column ``key``. The driver gets BITS / 64 numbers at most."""
+        low, high = F.col("key").bitwiseAND(F.lit(cls.BITS - 1)), F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(cls.BITS - 1))
+        bit = keys.select(F.explode(F.array(low, high)).alias("bit"))
+        words = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("word")).toArrow()
+        bits = np.zeros(cls.BITS // 64, np.uint64)
+        bits[words.column("at").to_numpy()] = words.column("word").to_numpy().view(np.uint64)
+        return cls(bits)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        found = np.ones(len(keys), bool)
+        for bit in (keys & np.uint64(self.BITS - 1), (keys >> np.uint64(32)) & np.uint64(self.BITS - 1)):
+            found &= (self.bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        return found
