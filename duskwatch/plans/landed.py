@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duskwatch.plans.registry import query
+from duskwatch.operators import reports
+from duskwatch.plans import counts  # noqa: F401  the twins of the reports are registered there
+from duskwatch.plans.registry import SQL, query
 from duskwatch.plans.rows import _VALID, UNIFIED_SQL, unified
 from duskwatch.session import work_dir
 from duskwatch.sources import dims, logs, sinks
+from duskwatch.sources.store import AppendTable, event_store
 from duskwatch.sources.telemetry import Telemetry
 
 WIRE = (
@@ -208,13 +211,36 @@ def load_dictionary(t: Telemetry) -> DataFrame:
   AS sensor, substr(ts, 1, 10) AS day FROM hp""",
 )
 def sink_events(t: Telemetry) -> DataFrame:
-    """All events, then failed logins again with another sensor name, then the same replay once more."""
+    """All events, then failed logins again with another sensor name, then the same replay once more, by number and anew."""
     path = work_dir(t.spark, "events")
     rows = t.events.select("session", "ts", "eventid", "event_id", "sensor")
     replay = rows.filter(F.col("eventid") == "cowrie.login.failed").withColumn("sensor", F.lit("replay"))
-    for batch in (rows, replay, replay):
+    for number, batch in ((0, rows), (1, replay), (1, replay), (2, replay)):
+        sinks.sink_events(batch, path, batch=number)
+    return event_store(t.spark, path).read()
+
+
+def _stored_in_batches(t: Telemetry) -> AppendTable:
+    """All events in three batches by hash, the second once more with other addresses for failed logins and then with their own."""
+    path = work_dir(t.spark, "events")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    other = F.when(F.col("eventid") == "cowrie.login.failed", F.lit("203.0.113.99")).otherwise(F.col("src_ip"))
+    second = t.stored.filter(part == 1)
+    for batch in (t.stored.filter(part == 0), second.withColumn("src_ip", other), t.stored.filter(part == 2), second):
         sinks.sink_events(batch, path)
-    return t.spark.read.parquet(path).withColumn("day", F.col("day").cast("string"))
+    return event_store(t.spark, path)
+
+
+@query("store_session_log", SQL["session_log"])
+def store_session_log(t: Telemetry) -> DataFrame:
+    """The session log from the event store: the index names the files."""
+    return reports.session_log(_stored_in_batches(t).rows_of("session", ["u6-1"]), "u6-1")
+
+
+@query("store_ip_history", SQL["ip_history"])
+def store_ip_history(t: Telemetry) -> DataFrame:
+    """The history of an address from the event store, as of its last batches."""
+    return reports.ip_history(_stored_in_batches(t).rows_of("src_ip", ["45.6.6.7"], through="session"), "45.6.6.7")
 
 
 @query(

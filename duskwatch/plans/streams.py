@@ -19,6 +19,7 @@ from duskwatch.plans.registry import query
 from duskwatch.plans.rows import _VALID
 from duskwatch.session import work_dir
 from duskwatch.sources.logs import read_lines
+from duskwatch.sources.store import event_store
 from duskwatch.sources.telemetry import Telemetry
 from duskwatch.streaming import counters as S
 from duskwatch.streaming import stateful as K
@@ -74,7 +75,7 @@ FROM (SELECT * FROM wire WHERE k <> 13 AND {_VALID}) w JOIN stored s ON w.event_
 )
 def stream_ingest(t: Telemetry) -> DataFrame:
     store, _ = _ingested(t)
-    return t.spark.read.parquet(store).select(
+    return event_store(t.spark, store).read().select(
         "session", "ts", "eventid", "src_ip", "country", "password", "password_raw"
     )
 
@@ -166,7 +167,7 @@ def _counter_table(t: Telemetry) -> str:
 
 @query("stream_hourly", "SELECT * FROM counters")
 def stream_hourly(t: Telemetry) -> DataFrame:
-    return t.spark.read.parquet(_counter_table(t)).select("bucket", "dimension", "value", "count")
+    return S.stored_counters(t.spark, _counter_table(t)).select("bucket", "dimension", "value", "count")
 
 
 @query(
@@ -215,7 +216,7 @@ def stream_resolve(t: Telemetry) -> DataFrame:
     landed(t.tunnelled, event, "cowrie")
     landed(t.proxies.filter(~c("late")), row, "haproxy/early")
     landed(t.proxies.filter("late"), row, "haproxy/late")
-    return t.spark.read.parquet(paths["store"]).select(
+    return event_store(t.spark, paths["store"]).read().select(
         "session", "ts", "eventid", "src_ip", F.coalesce("correlation_status", F.lit("direct")).alias("status"),
         F.coalesce("correlation_candidate_count", F.lit(0)).alias("candidates"), "country", "asn", "asn_org",
     )
@@ -223,10 +224,12 @@ def stream_resolve(t: Telemetry) -> DataFrame:
 
 @query("stream_sessions", "SELECT * FROM closings")
 def stream_sessions(t: Telemetry) -> DataFrame:
-    store, out = work_dir(t.spark, "session-store"), work_dir(t.spark, "sessions")
-    t.events.select("session", "ts", "eventid", "username", "duration").write.parquet(store)
-    S.maintain_session_summaries(stream_parquet(t.spark, store), store, out, work_dir(t.spark, "checkpoint"))
-    return t.spark.read.schema(S.SESSIONS).parquet(out).drop("day")
+    """Several micro-batches that cut sessions by a hash of the event, so they come out of order."""
+    landed, out = work_dir(t.spark, "session-events"), work_dir(t.spark, "sessions")
+    rows = t.events.select("session", "ts", "eventid", "username", "duration")
+    rows.repartition(4, F.xxhash64("ts", "eventid")).write.parquet(landed)
+    S.maintain_session_summaries(stream_parquet(t.spark, landed, files_per_batch=1), out, work_dir(t.spark, "checkpoint"))
+    return S.session_summary(t.spark, out)
 
 
 @query("stream_inherit", "SELECT event_id, session, src_ip, coalesce(status, 'direct') AS status FROM inh")

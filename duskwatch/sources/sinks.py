@@ -1,13 +1,15 @@
-"""Event sink with upsert, partitioned exports, retention."""
+"""Event sink, partitioned exports, retention."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.functions.timefns import DAY_US, HOUR_US, day_key
+from duskwatch.sources.store import EVENT_KEY, AppendTable, event_store
 
 # Days or hours a record kind is kept (fixed values), counted from its own time.
 RETENTION_US = {
@@ -20,46 +22,16 @@ RETENTION_US = {
 }
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+def sink_events(events: DataFrame, path: str, *, batch: int | None = None, arrival: str | None = None) -> bool:
+    """Append a batch of events to the store; (session, ts, eventid) is the key and the last arrival wins.
 
-
-def upsert(
-    batch: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    *,
-    partition: str = "day",
-    order: Column | None = None,
-) -> None:
-    """Replace rows with equal keys, add the others; writing the same batch again changes nothing.
-
-    Only the partitions the batch touches are read (partition pruning by the batch's own
-    partition values) and rewritten. Within a batch the greatest ``order`` wins.
+    A batch number that is in already adds nothing; without one, the batch is the next. Only new files are written.
     """
-    spark = batch.sparkSession
-    fresh = batch.withColumn("__new", F.lit(1)).withColumn("__order", F.lit(0) if order is None else order)
-    if table_exists(spark, path):
-        stored = spark.read.parquet(path)
-        touched = batch.select(partition).distinct()
-        old = stored.join(touched, partition, "left_semi")
-        fresh = fresh.unionByName(old.withColumn("__new", F.lit(0)), allowMissingColumns=True)
-    newest = Window.partitionBy(*keys).orderBy(F.desc("__new"), F.desc("__order"))
-    merged = fresh.withColumn("__n", F.row_number().over(newest)).filter("__n = 1").drop("__n", "__new", "__order")
-    (
-        merged.hint("rebalance", F.col(partition))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def sink_events(events: DataFrame, path: str, *, arrival: str | None = None) -> None:
-    """Store events by day; (session, ts, eventid) is the key and the last arrival wins."""
+    store = event_store(events.sparkSession, path)
     dated = events.withColumn("day", day_key(F.col("ts")))
-    upsert(dated, path, ("session", "ts", "eventid"), order=None if arrival is None else F.col(arrival))
+    last = Window.partitionBy(*EVENT_KEY).orderBy(F.lit(0) if arrival is None else F.desc(arrival))
+    once = dated.withColumn("__n", F.row_number().over(last)).filter("__n = 1").drop("__n")
+    return store.append(once, store.manifest().applied + 1 if batch is None else batch)
 
 
 def export_partitioned(events: DataFrame, path: str, columns: Sequence[str], *, by: str = "day") -> DataFrame:
@@ -111,3 +83,14 @@ def retained(df: DataFrame, kind: str, ts_us: str, now_us: int) -> DataFrame:
     return df.filter(F.col(ts_us) > F.lit(now_us - RETENTION_US[kind])).withColumn(
         "expires_us", expires_at_us(kind, F.col(ts_us))
     )
+
+
+def drop_expired(table: AppendTable, kind: str, now_us: int) -> int:
+    """Let the whole days go whose last instant has expired, as one change of the manifest; returns how many.
+
+    ``retained`` still cuts the border day. A repeat of an old batch brings nothing back.
+    """
+    border = datetime.fromtimestamp((now_us - RETENTION_US[kind]) // 1_000_000, timezone.utc).strftime("%Y-%m-%d")
+    gone = table.expire(border)
+    table.vacuum(1)
+    return gone

@@ -3,24 +3,30 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwatch.operators.rank import top_ranks
+from duskwatch.operators.joins import lookup_left
 from duskwatch.operators.rollup import (
+    CLOSED,
+    COMMAND,
+    FAILED,
+    SUCCESS,
     all_counters,
     command_column,
     daily_summary,
     dimension_columns,
     proxy_port_column,
-    session_summaries,
     technique_hourly,
     trailing_totals,
 )
 from duskwatch.operators.validate import compute_once
 from duskwatch.schemas import CHANGE_RECORD
-from duskwatch.sources.sinks import table_exists, upsert
+from duskwatch.session import stage
+from duskwatch.sources.store import AppendTable, newest, path_exists, summed
 from duskwatch.streaming.run import drain_batches
 
 
@@ -72,7 +78,25 @@ def counted_columns(columns: list[str]) -> dict[str, Column]:
     return found
 
 
-LEDGER = "bucket string, dimension string, value string, count bigint, before bigint, batch bigint, day string"
+COUNTER = ("bucket", "dimension", "value", "day")
+
+
+def counter_table(spark: SparkSession, path: str) -> AppendTable:
+    """Counts per hour, dimension and value by day: each batch appends its own, readers add them up."""
+    return AppendTable(spark, path, "day", summed(COUNTER, ("count",)))
+
+
+def technique_table(spark: SparkSession, path: str) -> AppendTable:
+    """The counts of the technique dimension, which are replaced and not added to."""
+    return AppendTable(spark, f"{path}/technique", "day", newest(COUNTER))
+
+
+def stored_counters(spark: SparkSession, path: str, *, between: tuple[str, str] | None = None) -> DataFrame:
+    """(bucket, dimension, value, day, count) of all dimensions, of a range of days only where one is given."""
+    tables = [t for t in (counter_table(spark, path), technique_table(spark, path)) if t.exists()]
+    if not tables:
+        raise FileNotFoundError(f"no counters at {path}")
+    return reduce(DataFrame.unionByName, [t.read(between=between).select(*COUNTER, "count") for t in tables])
 
 
 def counts_of(batch: DataFrame) -> DataFrame:
@@ -94,69 +118,29 @@ def counts_of(batch: DataFrame) -> DataFrame:
     )
 
 
-def _read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.schema(LEDGER).parquet(path) if table_exists(spark, path) else None
-
-
-def add_counts(fresh: DataFrame, ledger: str, batch_id: int) -> DataFrame:
-    """Add a batch's counts to the ledger; returns the batch's rows with ``before`` and the new ``count``.
-
-    A row keeps its count before the batch that changed it last, so a repeat of that batch adds nothing, also where
-    only some of the days were written. Only days the batch touches are rewritten.
-    """
-    spark = fresh.sparkSession
-    keys = ("bucket", "dimension", "value", "day")
-    none = F.lit(None).cast("bigint")
-    both = fresh.select(*keys, F.col("count").alias("n"), none.alias("count"), none.alias("before"), none.alias("batch"))
-    stored = _read_ledger(spark, ledger)
-    if stored is not None:
-        old = stored.join(fresh.select("day").distinct(), "day", "left_semi")
-        both = both.unionByName(old.withColumn("n", none))
-    had = F.when(F.col("batch") == batch_id, F.col("before")).otherwise(F.coalesce("count", F.lit(0)))
-    added = F.col("n").isNotNull()
-    summed = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("n", "count", "before", "batch")])
-    (
-        summed.select(
-            "bucket",
-            "dimension",
-            "value",
-            F.when(added, had + F.col("n")).otherwise(F.col("count")).alias("count"),
-            F.when(added, had).otherwise(F.col("before")).alias("before"),
-            F.when(added, F.lit(batch_id)).otherwise(F.col("batch")).alias("batch"),
-            "day",
-        )
-        .hint("rebalance", F.col("day"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
-        .parquet(ledger)
-    )
-    return _read_ledger(spark, ledger).filter(F.col("batch") == batch_id)
-
-
-def maintain_hourly_counts(stream: DataFrame, path: str, checkpoint: str, lateness: str = "1 hour") -> None:
+def maintain_hourly_counts(stream: DataFrame, path: str, checkpoint: str, lateness: str = "1 hour", fold: int = 8) -> None:
     """Keep the counter table up to date, rows of any lateness included.
 
-    Each batch's counts are added to a ledger in the checkpoint folder, and the table gets the full counts, so repeats
-    are harmless. What came for an hour closed ``lateness`` after its end is counted as the rest, and listed besides in
-    ``late_counts``.
+    A batch appends its counts as new files, once however often it is repeated, and days with more than ``fold`` batches
+    are folded into one. What came for an hour closed ``lateness`` after its end is counted as the rest, and listed
+    besides in ``late_counts``.
     """
-    ledger = f"{checkpoint}/ledger"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        earlier = _read_ledger(spark, ledger)
-        if earlier is not None:
-            earlier = earlier.filter((F.col("batch") < batch_id) | (F.col("before") > 0)).agg(F.max("bucket")).first()[0]
-        changed = add_counts(counts_of(batch), ledger, batch_id)
-        upsert(changed.select("bucket", "dimension", "value", "count", "day"), path, ("bucket", "dimension", "value"))
-        if earlier is not None:
+        table = counter_table(batch.sparkSession, path)
+        before = table.manifest()
+        if batch_id <= before.applied:
+            return
+        counts = stage(counts_of(batch), "batch-counts")
+        latest = counts.agg(F.max("bucket")).first()[0]
+        if before.note is not None:
             hour = "yyyy-MM-dd'T'HH"
             closed = F.to_timestamp("bucket", hour) + F.expr(f"INTERVAL 1 hour + INTERVAL {lateness}")
-            late = changed.filter(closed <= F.to_timestamp(F.lit(earlier), hour))
-            late = late.select("bucket", "dimension", "value", (F.col("count") - F.col("before")).alias("count"))
+            late = counts.filter(closed <= F.to_timestamp(F.lit(before.note), hour)).select("bucket", "dimension", "value", "count")
             if not late.isEmpty():
                 late.write.mode("overwrite").parquet(f"{checkpoint}/late/batch={batch_id}")
+        table.append(counts, batch_id, note=max(filter(None, (before.note, latest)), default=None))
+        table.compact(fold)
 
     drain_batches(stream, on_batch, checkpoint)
 
@@ -164,41 +148,78 @@ def maintain_hourly_counts(stream: DataFrame, path: str, checkpoint: str, latene
 def late_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(bucket, dimension, value, count, batch) of what ``maintain_hourly_counts`` added to closed hours."""
     schema, path = "bucket string, dimension string, value string, count bigint, batch bigint", f"{checkpoint}/late"
-    return spark.read.schema(schema).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 SESSIONS = (
     "session string, ts string, duration_seconds double, login_failed_count bigint, login_success_count bigint, "
-    "unique_usernames bigint, command_count bigint, day string"
+    "unique_usernames bigint, command_count bigint"
 )
+SESSION_KEY = ("session", "username", "ts", "duration_seconds", "slot")
+SESSION_SUMS = ("failed", "succeeded", "commands", "closings", "events")
+SESSION_SLOTS = 32
 
 
-def maintain_session_summaries(stream: DataFrame, store: str, path: str, checkpoint: str) -> None:
-    """Keep one row per closing, with the counters of the whole session as stored.
+def session_table(spark: SparkSession, path: str) -> AppendTable:
+    """The mergeable state of sessions, by hash of the session: sums per login name, and closings with their number."""
+    return AppendTable(spark, path, "slot", summed(SESSION_KEY, SESSION_SUMS), ("session",), ("session",))
 
-    Sessions a batch touches are recounted from the event store at ``store``, which must hold the batch's events, and
-    their rows are replaced: there is no state to expire, late rows correct what was written, and repeats are harmless.
-    """
 
-    def on_batch(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        touched = batch.filter(F.col("session") != "").select("session").distinct()
-        found = session_summaries(spark.read.parquet(store).join(touched, "session", "left_semi"))
-        fresh = found.withColumn("day", F.coalesce(F.substring("ts", 1, 10), F.lit("none"))).select(*columns).persist()
-        rows = fresh
-        if table_exists(spark, path):
-            old = spark.read.schema(SESSIONS).parquet(path).join(fresh.select("day").distinct(), "day", "left_semi")
-            rows = fresh.unionByName(old.join(touched, "session", "left_anti"))
-        (
-            rows.hint("rebalance", F.col("day"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day")
-            .parquet(path)
+def session_parts(events: DataFrame) -> DataFrame:
+    """What some events add to the state of their sessions; adding up parts in any order gives the whole."""
+    eid = F.col("eventid")
+    closed, login = eid == CLOSED, eid.isin(FAILED, SUCCESS)
+    return (
+        events.filter(F.col("session") != "")
+        .groupBy(
+            "session",
+            F.when(login, F.col("username")).alias("username"),
+            F.when(closed, F.col("ts")).alias("ts"),
+            F.when(closed, F.coalesce(F.col("duration"), F.lit(0.0))).alias("duration_seconds"),
+        )
+        .agg(
+            F.count_if(eid == FAILED).alias("failed"),
+            F.count_if(eid == SUCCESS).alias("succeeded"),
+            F.count_if(eid == COMMAND).alias("commands"),
+            F.count_if(closed).alias("closings"),
+            F.count(F.lit(1)).alias("events"),
         )
-        fresh.unpersist()
+        .withColumn("slot", F.pmod(F.xxhash64("session"), F.lit(SESSION_SLOTS)).cast("string"))
+    )
+
+
+def summaries_of(parts: DataFrame) -> DataFrame:
+    """One row per closing with the counters of the whole session, from the merged state."""
+    totals = parts.groupBy("session").agg(
+        F.sum("failed").alias("login_failed_count"),
+        F.sum("succeeded").alias("login_success_count"),
+        F.count_distinct("username").alias("unique_usernames"),
+        F.sum("commands").alias("command_count"),
+        F.sum("events").alias("event_count"),
+    )
+    closed = parts.filter("closings > 0").select("session", "ts", "duration_seconds", F.explode(F.sequence(F.lit(1).cast("bigint"), "closings")).alias("__i"))
+    found = lookup_left(closed, totals, "session", spread_by=["ts", "__i"], rows_per_key="event_count")
+    return found.select(*[c.split()[0] for c in SESSIONS.split(", ")])
+
+
+def session_summary(spark: SparkSession, path: str, sessions: list[str] | None = None) -> DataFrame:
+    """The summaries as of now; of some sessions only, from the files that hold their state."""
+    table = session_table(spark, path)
+    return summaries_of(table.read() if sessions is None else table.rows_of("session", sessions))
+
+
+def maintain_session_summaries(stream: DataFrame, path: str, checkpoint: str, fold: int = 8) -> None:
+    """Fold each batch into the state of its sessions, which ``session_summary`` reads.
+
+    Only the batch is read: its sums and login names are appended once, however often it is repeated, and hash slots with
+    more than ``fold`` batches are folded into one. Nothing expires, so events of any order and lateness count.
+    """
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        table = session_table(batch.sparkSession, path)
+        table.append(session_parts(batch), batch_id)
+        table.compact(fold)
 
-    columns = [field.split()[0] for field in SESSIONS.split(", ")]
     drain_batches(stream, on_batch, checkpoint)
 
 
@@ -209,14 +230,14 @@ def refresh_technique_counts(events: DataFrame, path: str, history: DataFrame |
     replaced, so repeats are harmless.
     """
     counts = technique_hourly(events, history).withColumn("day", F.substring("bucket", 1, 10))
-    upsert(counts, path, ("bucket", "dimension", "value"))
+    table = technique_table(events.sparkSession, path)
+    table.append(counts, table.manifest().applied + 1)
 
 
 def rebuild_ranks(spark: SparkSession, counters: str, out: str, now: datetime) -> None:
-    """Replace the rankings from the counter table alone; days before the window are pruned."""
-    table = spark.read.parquet(counters)
+    """Replace the rankings from the counter table alone; only the days of the window are read."""
     first = datetime.fromordinal(now.toordinal() - 7).strftime("%Y-%m-%d")
-    recent = table.filter(F.col("day") >= F.lit(first).cast(table.schema["day"].dataType))
+    recent = stored_counters(spark, counters, between=(first, now.strftime("%Y-%m-%d")))
     top_ranks(trailing_totals(recent, now)).write.mode("overwrite").parquet(out)
 
 

@@ -17,12 +17,12 @@ def store_and_quarantine(
 ) -> None:
     """Good events into the event store, bad lines with their reasons into the quarantine.
 
-    Both writes give the same files when a batch is repeated: the store is keyed, the
-    quarantine is partitioned by batch.
+    A repeated batch changes nothing: the store knows its batches, the quarantine is
+    partitioned by batch.
     """
     good, bad = split_events(parse_events(batch))
     typed = conform(strip_transport(good))
-    sink_events(classify_passwords(geo_enrich(typed, geo_ranges), dictionary), store)
+    sink_events(classify_passwords(geo_enrich(typed, geo_ranges), dictionary), store, batch=batch_id)
     (
         bad.select("line", "object_path", "eventid", "failed_rules", F.lit(batch_id).alias("batch_id"))
         .write.mode("overwrite")

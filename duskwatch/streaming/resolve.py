@@ -2,8 +2,9 @@
 
 Objects are routed by path. A batch's proxy rows are stored; its events are matched forward against all stored proxy rows
 and take over matches of their sessions from the store and the batch; geo data follows the new address. Then the batch's
-proxy rows are matched backward to events that were stored before. So the logs may arrive in either order. Each step
-writes keyed rows, so a repeated batch changes nothing.
+proxy rows are matched backward to events that were stored before. So the logs may arrive in either order. Of the store
+only the days around the batch's proxy rows and the files of the sessions in question are read, and each step appends
+under the batch's number, so a repeated batch changes nothing.
 """
 
 from __future__ import annotations
@@ -11,17 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duskwatch.functions.net import LOOPBACK
 from duskwatch.functions.timefns import day_key
 from duskwatch.operators.correlate import FLOOR_US, WINDOW_US, correlate_backward, correlate_forward, inherit_matches
 from duskwatch.operators.enrich import classify_passwords, geo_enrich
 from duskwatch.operators.validate import conform, split_events, strip_transport
 from duskwatch.session import stage
 from duskwatch.sources.logs import PROXY_COLUMNS, parse_events, parse_proxy, read_lines, source_kind
-from duskwatch.sources.sinks import sink_events, table_exists, upsert
+from duskwatch.sources.sinks import sink_events
+from duskwatch.sources.store import AppendTable, event_store, newest
 from duskwatch.streaming.run import drain_batches
 
-EVENT_KEY = ("session", "ts", "eventid")
-
 
 def _days(frame: DataFrame, before_us: int, after_us: int) -> tuple[str, str]:
     """The days that rows within these distances of the frame's rows can be on."""
@@ -29,12 +30,14 @@ def _days(frame: DataFrame, before_us: int, after_us: int) -> tuple[str, str]:
     return tuple(frame.agg(text(F.min("ts_us") - before_us), text(F.max("ts_us") + after_us)).first())
 
 
-def _stored(spark: SparkSession, path: str, days: tuple[str, str] | None = None) -> DataFrame:
-    rows = spark.read.parquet(path)
-    if days is not None:
-        kind = rows.schema["day"].dataType
-        rows = rows.filter(F.col("day").between(F.lit(days[0]).cast(kind), F.lit(days[1]).cast(kind)))
-    return rows
+def proxy_store(spark: SparkSession, path: str) -> AppendTable:
+    return AppendTable(spark, path, "day", newest(("ts", "client_ip", "client_port")), sort=("ts",))
+
+
+def open_sessions(store: AppendTable, days: tuple[str, str]) -> DataFrame:
+    """All stored rows of the sessions with an event on these days that has no address of its own yet."""
+    near = store.read(between=days).filter(F.col("src_ip") == LOOPBACK).select("session").distinct()
+    return store.rows_of("session", stage(near, "open-sessions"))
 
 
 def resolve_batch(
@@ -55,29 +58,29 @@ def resolve_batch(
     arrived = stage(parse_proxy(lines.filter(kind == "proxy")).filter("parsed").select(*PROXY_COLUMNS), "proxies")
     good, bad = split_events(parse_events(lines.filter(kind == "event")))
     typed = stage(conform(strip_transport(good)), "typed-events")
+    events_, proxies_ = event_store(spark, store), proxy_store(spark, proxies)
     if not arrived.isEmpty():
-        upsert(arrived.withColumn("day", day_key(F.col("ts"))), proxies, ("ts", "client_ip", "client_port"))
-        if table_exists(spark, store):
+        once = arrived.dropDuplicates(["ts", "client_ip", "client_port"])
+        proxies_.append(once.withColumn("day", day_key(F.col("ts"))), batch_id)
+        if events_.exists():
             # a matched session's open events take the address wherever they are in the store
-            before = _stored(spark, store).withColumn("__was", F.col("correlation_status"))
+            before = open_sessions(events_, _days(arrived, 0, window_us)).withColumn("__was", F.col("correlation_status"))
             after = correlate_backward(before, arrived, geo_ranges=geo_ranges, **span)
             open_before = F.col("__was").isNull() | F.col("__was").isin("missed", "ambiguous")
             changed = stage(after.filter(open_before & (F.col("correlation_status") == "matched")).drop("__was"), "back-matched")
-            if not changed.isEmpty():
-                upsert(changed, store, EVENT_KEY)
+            events_.append(changed, 2 * batch_id)
     if not typed.isEmpty():
-        if table_exists(spark, proxies):
-            known = _stored(spark, proxies, _days(typed, window_us, 0)).select("ts_us", "client_ip")
+        if proxies_.exists():
+            known = proxies_.read(between=_days(typed, window_us, 0)).select("ts_us", "client_ip")
         else:
             known = spark.createDataFrame([], "ts_us bigint, client_ip string")
         forward = stage(correlate_forward(typed, known, **span).withColumn("__fresh", F.lit(True)), "forward")
         together = forward
-        if table_exists(spark, store):
-            sessions = forward.select("session").distinct()
-            earlier = _stored(spark, store).join(sessions, "session", "left_semi").withColumn("__fresh", F.lit(False))
+        if events_.exists():
+            earlier = events_.rows_of("session", forward).withColumn("__fresh", F.lit(False))
             together = forward.unionByName(earlier.drop("day", "country", "asn", "asn_org", "password_raw"), allowMissingColumns=True)
         resolved = inherit_matches(stage(together, "together")).filter("__fresh").drop("__fresh")
-        sink_events(classify_passwords(geo_enrich(resolved, geo_ranges), dictionary), store)
+        sink_events(classify_passwords(geo_enrich(resolved, geo_ranges), dictionary), store, batch=2 * batch_id + 1)
     (
         bad.select("line", "object_path", "eventid", "failed_rules", F.lit(batch_id).alias("batch_id"))
         .write.mode("overwrite")

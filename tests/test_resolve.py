@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from duskwatch.streaming.resolve import ingest_resolved
+from duskwatch.sources.store import event_store
+from duskwatch.streaming.resolve import ingest_resolved, proxy_store
 
 LOOP, CLIENT = "127.0.0.1", "198.51.100.7"
 
@@ -33,7 +34,7 @@ def test_one_state_whatever_comes_first(spark, tmp_path, order):
 
     def run():
         ingest_resolved(spark, f"{tmp_path}/raw", geo_ranges=geo, dictionary=words, **paths)
-        rows = spark.read.parquet(paths["store"]) if (tmp_path / "store").exists() else None
+        rows = event_store(spark, paths["store"]).read() if (tmp_path / "store").exists() else None
         return None if rows is None else {(r["session"], r["ts"][17:19]): (r["src_ip"], r["country"], r["correlation_status"]) for r in rows.collect()}
 
     first = lambda: land("cowrie", "a.json", event(10), event(10, "other", "192.0.2.9"), "{bad")
@@ -47,5 +48,5 @@ def test_one_state_whatever_comes_first(spark, tmp_path, order):
     assert state[("s", "10")][2] == "matched" and state[("s", "20")][2] == ("matched" if order == "after" else "matched_inherited")
     assert state[("lone", "40")][2] == "missed" and state[("other", "10")][2] is None
     assert run() == state
-    assert spark.read.parquet(paths["proxies"]).count() == 1
+    assert proxy_store(spark, paths["proxies"]).read().count() == 1
     assert [r[0] for r in spark.read.parquet(paths["quarantine"]).select(F.col("line")).collect()] == ["{bad"]

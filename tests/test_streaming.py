@@ -7,6 +7,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from duskwatch.operators.rollup import session_summaries
+from duskwatch.sources.store import event_store
 from duskwatch.streaming import counters as S
 from duskwatch.streaming import stateful as K
 from duskwatch.streaming.correlate import correlate_streams
@@ -64,7 +66,7 @@ def test_ingest_takes_each_object_once_and_quarantines(spark, tmp_path, rows):
     run()
     land("b.json.gz", [EVENT | {"session": "c", "password": "123456"}, EVENT | {"session": "a", "password": "other"}, EVENT | {"session": "d"}])
     run()
-    store = spark.read.parquet(paths["store"])
+    store = event_store(spark, paths["store"]).read()
     assert rows(store, "session", "password", "password_raw", "country") == [
         ("a", "<filtered:len=5>", "other", "DE"), ("b", "<filtered:len=6>", "hidden", "DE"), ("c", "123456", None, "DE"),
     ]
@@ -102,7 +104,7 @@ def test_hourly_counts_take_late_rows_within_an_hour(spark, tmp_path, rows):
 
     def run():
         S.maintain_hourly_counts(stream_parquet(spark, f"{tmp_path}/in"), f"{tmp_path}/t", f"{tmp_path}/cp")
-        return rows(spark.read.parquet(f"{tmp_path}/t"), "bucket", "value", "count")
+        return rows(S.stored_counters(spark, f"{tmp_path}/t"), "bucket", "value", "count")
 
     add(("a", T), ("a", T + SEC), ("b", T))
     assert run() == [("2026-05-07T00", "a", 2), ("2026-05-07T00", "b", 1)]
@@ -230,7 +232,7 @@ def test_hourly_counts_take_rows_of_any_lateness(spark, tmp_path, rows):
         df = spark.createDataFrame([(u, None, None, None, None, t) for u, t in data], schema)
         df.withColumn("event_time", F.timestamp_micros("ts_us")).write.mode("append").parquet(f"{tmp_path}/in")
         S.maintain_hourly_counts(stream_parquet(spark, f"{tmp_path}/in"), f"{tmp_path}/t", f"{tmp_path}/cp")
-        return rows(spark.read.parquet(f"{tmp_path}/t"), "bucket", "value", "count")
+        return rows(S.stored_counters(spark, f"{tmp_path}/t"), "bucket", "value", "count")
 
     run(("a", T), ("a", T + 30 * hour))
     run(("a", T + 1), ("b", T + 40 * hour))
@@ -243,11 +245,13 @@ def test_hourly_counts_take_rows_of_any_lateness(spark, tmp_path, rows):
 
 
 def test_repeated_batch_adds_nothing(spark, tmp_path, rows):
+    table = S.counter_table(spark, f"{tmp_path}/t")
+
     def add(batch_id, n):
         fresh = spark.createDataFrame([("2026-05-07T00", "username", "a", n, "2026-05-07")], "bucket string, dimension string, value string, count bigint, day string")
-        return rows(S.add_counts(fresh, f"{tmp_path}/ledger", batch_id), "before", "count")
+        return table.append(fresh, batch_id), rows(table.read(), "count")
 
-    assert [add(0, 2), add(0, 2), add(1, 3), add(1, 3), add(2, 1)] == [[(0, 2)], [(0, 2)], [(2, 5)], [(2, 5)], [(5, 6)]]
+    assert [add(0, 2), add(0, 2), add(1, 3), add(1, 3), add(2, 1)] == [(True, [(2,)]), (False, [(2,)]), (True, [(5,)]), (False, [(5,)]), (True, [(6,)])]
 
 
 def test_session_summaries_are_whole_however_late(spark, tmp_path, rows):
@@ -255,13 +259,34 @@ def test_session_summaries_are_whole_however_late(spark, tmp_path, rows):
 
     def run(*data):
         spark.createDataFrame(data, schema).write.mode("append").parquet(f"{tmp_path}/in")
-        S.maintain_session_summaries(stream_parquet(spark, f"{tmp_path}/in"), f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/cp")
+        S.maintain_session_summaries(stream_parquet(spark, f"{tmp_path}/in"), f"{tmp_path}/t", f"{tmp_path}/cp", fold=2)
 
     run(("b", "2026-05-01T00", "cowrie.login.failed", "u", None), ("d", "2026-05-07T01", "cowrie.session.closed", None, 1.0))
     run(("c", "2026-05-07T00", "cowrie.session.closed", None, None))
     run(("b", "2026-05-07T02", "cowrie.session.closed", None, 1.5))
     run(("c", "2026-05-01T00", "cowrie.command.input", None, None), ("b", "2026-04-01T00", "cowrie.login.success", "v", None))
-    out = spark.read.schema(S.SESSIONS).parquet(f"{tmp_path}/t").drop("day")
-    assert rows(out) == [
+    assert rows(S.session_summary(spark, f"{tmp_path}/t", ["c"])) == [("c", "2026-05-07T00", 0.0, 0, 0, 0, 1)]
+    assert rows(S.session_summary(spark, f"{tmp_path}/t")) == [
         ("b", "2026-05-07T02", 1.5, 1, 1, 2, 0), ("c", "2026-05-07T00", 0.0, 0, 0, 0, 1), ("d", "2026-05-07T01", 1.0, 0, 0, 0, 0),
     ]
+
+
+def test_sessions_of_many_cut_batches_equal_the_batch_summaries(spark, tmp_path, rows):
+    """Events in any order over many batches, one of them seen twice, against the batch job on all of them."""
+    rng = random.Random(5)
+    kinds = ["cowrie.login.failed", "cowrie.login.success", "cowrie.command.input", "cowrie.session.closed", "cowrie.other"]
+    schema = "session string, ts string, eventid string, username string, duration double"
+    data = [
+        (rng.choice(["hot"] * 6 + ["a", "b", "c", "", None]), f"2026-05-{rng.randint(1, 20):02d}T00:{i % 60:02d}", rng.choice(kinds), rng.choice(["u", "v", "w", None]), rng.choice([None, 0.5, 3.0]))
+        for i in range(300)
+    ]
+    frame = spark.createDataFrame(data, schema)
+    whole = session_summaries(frame)
+    for i in range(6):
+        part = spark.createDataFrame(data[i::6], schema)
+        S.session_table(spark, f"{tmp_path}/t").append(S.session_parts(part), i)
+        S.session_table(spark, f"{tmp_path}/t").append(S.session_parts(part), i)
+        if i == 3:
+            S.session_table(spark, f"{tmp_path}/t").compact()
+    columns = [c.split()[0] for c in S.SESSIONS.split(", ")]
+    assert rows(S.session_summary(spark, f"{tmp_path}/t"), *columns) == rows(whole, *columns)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from duskwatch.operators import projections as P
 from duskwatch.operators import validate as V
 from duskwatch.schemas import PUBLIC_COLUMNS
+from duskwatch.sources.store import event_store
 from duskwatch.sources import dims, logs, sinks
 
 BASE = {
@@ -184,12 +185,12 @@ def test_event_sink_is_idempotent_and_last_write_wins(spark, tmp_path, rows):
     )
     sinks.sink_events(first, path)
     sinks.sink_events(first, path)
-    assert spark.read.parquet(path).count() == 2
+    assert event_store(spark, path).read().count() == 2
     again = spark.createDataFrame(
         [("s", "2026-05-08T00:00:00.0Z", "e", "old", 1), ("s", "2026-05-08T00:00:00.0Z", "e", "new", 2)], first.schema
     )
     sinks.sink_events(again, path, arrival="n")
-    assert rows(spark.read.parquet(path), "ts", "v") == [("2026-05-07T00:00:00.0Z", "a"), ("2026-05-08T00:00:00.0Z", "new")]
+    assert rows(event_store(spark, path).read(), "ts", "v") == [("2026-05-07T00:00:00.0Z", "a"), ("2026-05-08T00:00:00.0Z", "new")]
 
 
 def test_export_is_sorted_complete_and_checksummed(spark, tmp_path):
