@@ -12,6 +12,9 @@ level by level from their roots: equal pairs of nodes become one pair that count
 priced once, and two empty halves cost one step. The prices of blocks are summed by Spark. Sources of one language meet
 in cells of some ``SIDE`` sources a side, by hash, so a task holds a bounded number of trees however many there are.
 
+A first pass counts each term's documents, a second one the occurrences of the terms kept, which tasks know by a bit table of
+fixed size; both by 64-bit keys of language and term, so a term's text is sent once a task and only if it is kept.
+
 Cases: null text, language and source are empty; a group without kept terms has N = 0 and equal p for all terms, one in
 a language without kept terms has value 0 to all others; repeated rows are documents of their own; an empty table has
 no groups. Only text, language and source are read.
@@ -19,8 +22,10 @@ no groups. Only text, language and source are read.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,51 +38,114 @@ from duskwatch.session import stage
 UNIT = 1_000_000_000
 BLOCK = 1 << 12  # terms
 SIDE = 32  # sources on a side of a cell
-HELD = 1 << 17  # different terms that a task counts before it passes the counts on
+HELD = 1 << 20  # different keys that a task counts before it passes the counts on
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
-def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's (lang, source, term) with occurrences and documents; a document without terms gives its group only."""
-    counts: dict[tuple, list[int]] = {}
+def salts_of(names: list[str]) -> np.ndarray:
+    return np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest()) for x in names], np.uint64)
+
+
+class Terms(NamedTuple):
+    """Words of some texts with their language's key, and each word's document."""
+
+    ws: W.Words
+    keys: np.ndarray
+    doc: np.ndarray
+
+
+def read(batch: pa.RecordBatch) -> Terms:
+    ws = W.of_texts(batch.column("text"), LETTERS)
+    doc = np.repeat(np.arange(batch.num_rows), np.diff(ws.ptr))
+    langs = batch.column("lang").dictionary_encode()
+    salt = salts_of(langs.dictionary.to_pylist())[langs.indices.to_numpy()] if batch.num_rows else np.zeros(0, np.uint64)
+    return Terms(ws, W.mix(ws.hashes() ^ salt[doc]), doc)
 
-    def passed() -> pa.RecordBatch:
-        lang, source, term = zip(*counts) if counts else ((), (), ())
-        n, docs = zip(*counts.values()) if counts else ((), ())
-        return pa.RecordBatch.from_arrays([*[pa.array(x, pa.string()) for x in (lang, source, term)], pa.array(n, pa.int64()), pa.array(docs, pa.int64())], ["lang", "source", "term", "n", "docs"])
 
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins, in sorted columns."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Columns of which the last is summed for each value of the others."""
+    columns = [np.concatenate(c) for c in zip(*parts)]
+    order = np.lexsort(columns[:-1])
+    columns = [c[order] for c in columns]
+    first = changes(*columns[:-1])
+    return (*[c[first] for c in columns[:-1]], np.add.reduceat(columns[-1], first) if len(first) else columns[-1])
+
+
+def tallied(batches: Iterator[pa.RecordBatch], count) -> Iterator[tuple[np.ndarray, ...]]:
+    """The sums of ``count(batch)`` over batches, passed on whenever many different ones are held."""
+    parts, new = [], 0
     for batch in W.pieces(batches, "text"):
-        ws = W.of_texts(batch.column("text"), LETTERS)
-        doc = np.repeat(np.arange(batch.num_rows), np.diff(ws.ptr))
-        pairs = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
-        numbers = {pair: i for i, pair in enumerate(dict.fromkeys(pairs))}
-        group = np.array([numbers[pair] for pair in pairs], np.int64)
-        hashes = ws.hashes()
-        order = np.lexsort((doc, hashes, group[doc]))
-        g, h, d = group[doc][order], hashes[order], doc[order]
-        new_term = np.ones(len(order), bool)
-        new_term[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])
-        new_doc = new_term.copy()
-        new_doc[1:] |= d[1:] != d[:-1]
-        first = np.flatnonzero(new_term)
-        times = np.diff(np.append(first, len(order)))
-        docs = np.add.reduceat(new_doc.astype(np.int64), first) if len(first) else times
-        names = list(numbers)
-        for pair in names:
-            counts.setdefault((*pair, None), [0, 0])
-        for at, n, m in zip(first.tolist(), times.tolist(), docs.tolist()):
-            key = (*names[g[at]], ws.text(int(order[at])))
-            have = counts.get(key)
-            if have is None:
-                counts[key] = [n, m]
-            else:
-                have[0] += n
-                have[1] += m
-        if len(counts) > HELD:
-            yield passed()
-            counts.clear()
-    yield passed()
+        parts.append(count(batch))
+        new += len(parts[-1][0])
+        if new > HELD:
+            parts = [summed(parts)]
+            new = 0
+            if len(parts[0][0]) > HELD:
+                yield parts.pop()
+    if parts:
+        yield summed(parts)
+
+
+def doc_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's number of documents for each term's key."""
+
+    def count(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        terms = read(batch)
+        order = np.lexsort((terms.doc, terms.keys))
+        once = order[changes(terms.keys[order], terms.doc[order])]
+        return np.unique(terms.keys[once], return_counts=True)
+
+    for keys, docs in tallied(batches, count):
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(docs)], ["key", "docs"])
+
+
+def kept_counts(table):
+    """A task's occurrences of listed terms by group (lang, source, key, n), each of its groups, and the text of each term's key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple[str, str], int] = {}
+        texts: dict[int, tuple[str, str]] = {}
+
+        def count(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+            pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
+            group = np.array([groups.setdefault(pair, len(groups)) for pair in pairs], np.int64)
+            terms = read(batch)
+            at = np.flatnonzero(table.value.has(terms.keys))
+            keys, first = np.unique(terms.keys[at], return_index=True)
+            for key, i in zip(keys.tolist(), at[first].tolist()):
+                if key not in texts:
+                    texts[key] = (batch.column("lang")[int(terms.doc[i])].as_py(), terms.ws.text(i))
+            return summed([(group[terms.doc[at]], terms.keys[at], np.ones(len(at), np.int64))])
+
+        def out(lang, source, key, n, term) -> pa.RecordBatch:
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((lang, source, key, n, term), kinds)], ["lang", "source", "key", "n", "term"])
+
+        def of_texts() -> pa.RecordBatch:
+            none = [None] * len(texts)
+            return out([x for x, _ in texts.values()], none, np.array(list(texts), np.uint64).view(np.int64), none, [t for _, t in texts.values()])
+
+        for group, keys, n in tallied(batches, count):
+            names = list(groups)
+            for i in range(0, len(keys), 1 << 16):
+                some = [names[g] for g in group[i : i + (1 << 16)].tolist()]
+                yield out([x for x, _ in some], [x for _, x in some], keys[i : i + (1 << 16)].view(np.int64), n[i : i + (1 << 16)], [None] * len(some))
+            if len(texts) > HELD:
+                yield of_texts()
+                texts.clear()
+        yield of_texts()
+        none = [None] * len(groups)
+        yield out([x for x, _ in groups], [x for _, x in groups], none, none, none)
+
+    return run
 
 
 class Trees:
@@ -187,25 +255,28 @@ def divergences(docs: DataFrame, *, text: str = "text", lang: str = "lang", sour
     """lang, source, part, item, value and rank: of part ``pair`` each other source, of part ``term`` the ``top`` terms above the language's."""
     empty = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     rows = docs.select(empty(lang).alias("lang"), empty(source).alias("source"), F.col(f"`{text}`").alias("text"))
-    counts = rows.mapInArrow(term_counts, "lang string, source string, term string, n bigint, docs bigint").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    counts = stage(counts, "term-counts")
-    of_lang = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-    kept = stage(of_lang.where(F.col("docs") >= min_docs).select("lang", "term", "lang_n"), "kept-terms")
-    totals = stage(kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total")), "lang-totals")
-    own = stage(counts.where("term IS NOT NULL").select("lang", "source", "term", "n").join(kept, ["lang", "term"]), "kept-counts")
-    sums = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    all_groups = counts.where("term IS NULL").select("lang", "source").join(sums, ["lang", "source"], "left").join(totals, "lang", "left")
+    frequent = rows.mapInArrow(doc_counts, "key bigint, docs bigint").groupBy("key").agg(F.sum("docs").alias("docs"))
+    frequent = stage(frequent.where(F.col("docs") >= min_docs).select("key"), "kept-keys")
+    table = rows.sparkSession.sparkContext.broadcast(W.BitTable.of(frequent))
+    found = stage(rows.mapInArrow(kept_counts(table), "lang string, source string, key bigint, n bigint, term string"), "kept-found")
+    counts = stage(found.where("n IS NOT NULL").groupBy("lang", "source", "key").agg(F.sum("n").alias("n")).join(frequent, "key", "left_semi"), "kept-counts")
+    totals_of = counts.groupBy("lang", "key").agg(F.sum("n").alias("lang_n"))
+    sizes_of = totals_of.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
+    totals = stage(sizes_of, "lang-totals")
+    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    all_groups = found.where("key IS NULL").select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(totals, "lang", "left")
     groups = all_groups.select("lang", "source", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("total", "terms", "lang_total")])
     sources = groups.groupBy("lang").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("sides"))
     groups = stage(groups.join(sources, "lang").withColumn("side", F.pmod(F.xxhash64("source"), F.col("sides")).cast("int")), "groups")
 
     # pairs: a tree for each group and block, then cells of sources by block
     blocks = totals.select("lang", F.ceil(F.col("terms") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int")
-    place = F.row_number().over(Window.partitionBy("lang", "block").orderBy(F.desc("lang_n"), "term")) - 1
-    placed = stage(kept.join(blocks, "lang").withColumn("block", block).withColumn("place", place).select("lang", "term", "block", "place"), "places")
+    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    place = F.row_number().over(Window.partitionBy("lang", "block").orderBy(F.desc("lang_n"), "key")) - 1
+    placed = stage(totals_of.join(blocks, "lang").withColumn("block", block).withColumn("place", place).select("lang", "key", "lang_n", "block", "place"), "places")
     sizes = placed.groupBy("lang", "block").agg(F.count("*").cast("int").alias("size"))
-    leaves = own.select("lang", "source", "term", "n").join(placed, ["lang", "term"]).groupBy("lang", "source", "block").agg(F.collect_list(F.struct("place", "n")).alias("leaves"))
+    own = stage(counts.join(placed, ["lang", "key"]), "placed-counts")
+    leaves = own.groupBy("lang", "source", "block").agg(F.collect_list(F.struct("place", "n")).alias("leaves"))
     everywhere = groups.where("terms > 0").join(sizes, "lang").join(leaves, ["lang", "source", "block"], "left")
     met = everywhere.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
     low, high = F.least("side", "other"), F.greatest("side", "other")
@@ -222,9 +293,12 @@ def divergences(docs: DataFrame, *, text: str = "text", lang: str = "lang", sour
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = sums.unionByName(without).withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
 
-    # terms: the group's share above the language's
-    shares = own.join(groups.select("lang", "source", "total", "terms", "lang_total"), ["lang", "source"]).select("lang", "source", F.col("term").alias("item"), p_of("n", "total").alias("p"), p_of("lang_n", "lang_total").alias("q"))
-    above = shares.where("p > q").withColumn("value", F.expr("(p - q) * (p - q) div q"))
-    terms = above.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).withColumn("part", F.lit("term"))
+    # terms: the group's share above the language's; texts come to those that may rank
+    given = groups.select("lang", "source", "total", "terms", "lang_total")
+    shares = own.join(given, ["lang", "source"]).select("lang", "source", "key", p_of("n", "total").alias("p"), p_of("lang_n", "lang_total").alias("q"))
+    above = shares.where("p > q").select("lang", "source", "key", F.expr("(p - q) * (p - q) div q").alias("value"))
+    some = above.withColumn("rank", F.rank().over(Window.partitionBy("lang", "source").orderBy(F.desc("value")))).where(F.col("rank") <= top)
+    texts = found.where("term IS NOT NULL").groupBy("lang", "key").agg(F.min("term").alias("item"))
+    terms = some.drop("rank").join(texts, ["lang", "key"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).withColumn("part", F.lit("term"))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return pairs.select(*columns).unionByName(terms.select(*columns))
