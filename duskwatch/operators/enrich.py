@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.functions.text import redaction_marker
+from duskwatch.operators.addresses import address_range_join
 from duskwatch.operators.joins import BROADCAST_ROWS, ip_range_join, lookup_left
 
 
 def geo_enrich(events: DataFrame, geo_ranges: DataFrame) -> DataFrame:
-    """Add ``country, asn, asn_org``; a given non-null country wins and brings its own asn and org."""
+    """Add ``country, asn, asn_org``; a given non-null country wins and brings its own asn and org.
+
+    Ranges are IPv4 numbers (``lo, hi``) or texts of both families (``first, last``), see ``address_range_join``.
+    """
+    both = "first" in geo_ranges.columns
     ranges = geo_ranges.select(
-        "lo", "hi", F.col("country").alias("__country"), F.col("asn").alias("__asn"), F.col("asn_org").alias("__org")
+        *(("first", "last") if both else ("lo", "hi")),
+        F.col("country").alias("__country"), F.col("asn").alias("__asn"), F.col("asn_org").alias("__org"),
     )
-    joined = ip_range_join(events, "src_ip", ranges)
+    joined = (address_range_join if both else ip_range_join)(events, "src_ip", ranges)
     if "given_country" in events.columns:
         given = F.col("given_country").isNotNull()
         country = F.when(given, F.col("given_country")).otherwise(F.col("__country"))

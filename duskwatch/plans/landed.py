@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.operators import reports
+from duskwatch.operators.enrich import geo_enrich
 from duskwatch.plans import counts  # noqa: F401  the twins of the reports are registered there
 from duskwatch.plans.registry import SQL, query
 from duskwatch.plans.rows import _VALID, UNIFIED_SQL, unified
@@ -196,6 +197,28 @@ def load_geo_ranges(t: Telemetry) -> DataFrame:
     return dims.load_geo_ranges(t.spark, path, multi_line=False)
 
 
+@query(
+    "geo_enrich_v6",
+    """SELECT event_id, CASE WHEN geo.asn IS NOT NULL AND v6 AND net = 6 THEN 'ZZ' ELSE country END AS country, geo.asn, asn_org
+FROM (SELECT event_id, event_id % 3 <> 2 AS v6, CAST(split_part(src_ip, '.', 2) AS BIGINT) AS a, CAST(split_part(src_ip, '.', 3) AS BIGINT) AS net
+  FROM hp WHERE src_ip LIKE '45.%') e LEFT JOIN geo ON e.a = geo.asn""",
+)
+def geo_enrich_v6(t: Telemetry) -> DataFrame:
+    """Addresses as IPv6 in long upper-case and short form and as IPv4-mapped text; a /64 of another country lies in each /48."""
+    part = F.split("src_ip", r"\.")
+    a, b, c = (part[i].cast("int") for i in (1, 2, 3))
+    long, short = (F.format_string(f, a, b, c) for f in ("2001:0DB8:%04X:%04X:0000:0000:0000:%04X", "2001:db8:%x:%x::%x"))
+    kind = F.col("event_id") % 3
+    text = F.when(kind == 0, long).when(kind == 1, short).otherwise(F.concat(F.lit("::ffff:"), "src_ip"))
+    events = t.events.filter(F.col("src_ip").startswith("45.")).select("event_id", text.alias("src_ip"))
+    n = F.col("asn").cast("int")
+    wide = F.array(F.concat(F.lit("45."), n.cast("string"), F.lit(".0.0/16")), F.format_string("2001:db8:%x::/48", n), F.lit("2001:db8::/129"))
+    pool = lambda country, cidrs: F.struct("asn", "asn_org", country.alias("country"), F.lit(1).alias("weight"), cidrs.alias("cidrs"))
+    pools = F.array(pool(F.col("country"), wide), pool(F.lit("ZZ"), F.array(F.format_string("2001:db8:%x:6::/64", n))))
+    path = land(t, t.geo_ranges, F.to_json(F.struct(pools.alias("pools"))))
+    return geo_enrich(events, dims.load_address_ranges(t.spark, path, multi_line=False)).select("event_id", "country", "asn", "asn_org")
+
+
 @query("load_dictionary", "SELECT DISTINCT p_name AS word FROM part")
 def load_dictionary(t: Telemetry) -> DataFrame:
     parts = t.table("part")

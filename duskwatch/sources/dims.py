@@ -24,6 +24,14 @@ def load_geo_ranges(spark: SparkSession, path: str, *, multi_line: bool = True)
     return geo_ranges_from_pools(docs.select(F.inline("pools")))
 
 
+def load_address_ranges(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """The same documents as ranges of both address families: a network (``first``) a row; unreadable ones match nothing."""
+    docs = spark.read.schema(_POOLS).option("multiLine", multi_line).json(path)
+    return docs.select(F.inline("pools")).select(
+        F.explode("cidrs").alias("first"), F.lit(None).cast("string").alias("last"), "country", "asn", "asn_org"
+    )
+
+
 def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """One literal per line; blanks, ``#`` lines and repeats are dropped."""
     word = F.regexp_replace("value", r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")

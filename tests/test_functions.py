@@ -1,4 +1,5 @@
 import ipaddress
+from datetime import datetime, timedelta, timezone
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,21 +55,28 @@ def test_home_networks_and_direction(spark):
     assert got == ["outbound", "inbound", "internal"]
 
 
-def test_timestamps(spark):
-    texts = [
-        "2026-05-07T00:55:01.948594Z", "2026-05-07T00:55:01.948594+00:00", "2026-05-07T00:55:01.948594",
-        "2026-05-07T02:55:01.948594+02:00", "2026-05-07", "2026-13-07T00:00:00Z", "noon", None,
-    ]
-    us = 1778115301948594
-    day = us // timefns.DAY_US * timefns.DAY_US
-    assert column(spark, texts, timefns.iso_to_us) == [us, us, us, us, day, None, None, None]
-    assert column(spark, [us], lambda c: timefns.us_to_iso(c, "+00:00"), "bigint") == [texts[1]]
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.datetimes(datetime(1971, 1, 1), datetime(2200, 1, 1)), min_size=1, max_size=20), st.integers(-14 * 4, 14 * 4))
+def test_timestamps_agree_with_the_standard_library(spark, times, quarters):
+    zone = timezone(timedelta(minutes=15 * quarters))
+    us = [(t - datetime(1970, 1, 1)) // timedelta(microseconds=1) for t in times]
+    plain = [t.isoformat(timespec="microseconds") for t in times]
+    zoned = [t.replace(tzinfo=timezone.utc).astimezone(zone).isoformat(timespec="microseconds") for t in times]
+    assert column(spark, plain, timefns.iso_to_us) == us
+    assert column(spark, [p + "Z" for p in plain], timefns.iso_to_us) == us
+    assert column(spark, zoned, timefns.iso_to_us) == us
+    assert column(spark, us, lambda c: timefns.us_to_iso(c, "+00:00"), "bigint") == [p + "+00:00" for p in plain]
+
+
+def test_texts_that_are_dates_or_no_timestamps(spark):
+    leap = (datetime(2032, 2, 29) - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    assert column(spark, ["2032-02-29", "2031-02-29T08:00:00Z", "noon", None], timefns.iso_to_us) == [leap, None, None, None]
 
 
 def test_minute_buckets(spark):
-    us = 1778115300050000  # 00:55:00.050
-    got = column(spark, [us, us + 500_000], lambda c: timefns.minute_bucket_list(c, 200_000), "bigint")
-    assert got == [["2026-05-07T00:54", "2026-05-07T00:55"], ["2026-05-07T00:55"]]
+    us = (datetime(2031, 12, 31, 23, 59) - datetime(1970, 1, 1)) // timedelta(microseconds=1) + 30_000  # 30 ms into the year's last minute
+    got = column(spark, [us, us + 400_000], lambda c: timefns.minute_bucket_list(c, 150_000), "bigint")
+    assert got == [["2031-12-31T23:58", "2031-12-31T23:59"], ["2031-12-31T23:59"]]
 
 
 def test_redaction(spark):
