@@ -7,7 +7,7 @@ another is the sum of floor((p - q)^2 / q).
 
 Term ids are a block and a place in it: a block holds some ``BLOCK`` terms by hash, the frequent ones first, so that the
 rare ones, whose counts agree in most groups, are neighbours. A group's counts in a block make a segment tree of nodes
-(left, right), and equal subtrees are one node, in all groups and blocks of a task. Two trees are walked at the same time,
+(left, right), and equal subtrees are one node, in all groups of a block. Two trees are walked at the same time,
 level by level from their roots: equal pairs of nodes become one pair that counts as often as it occurs, so a pair is
 priced once, and two empty halves cost one step. The prices of blocks are summed by Spark. Sources of one language meet
 in cells of some ``SIDE`` sources a side, by hash, so a task holds a bounded number of trees however many there are.
@@ -23,7 +23,6 @@ no groups. Only text, language and source are read.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -36,6 +35,7 @@ from duskwatch.llm import words as W
 from duskwatch.session import stage
 
 UNIT = 1_000_000_000
+LOW = (1 << 32) - 1
 BLOCK = 1 << 12  # terms
 SIDE = 32  # sources on a side of a cell
 HELD = 1 << 20  # different keys that a task counts before it passes the counts on
@@ -63,19 +63,17 @@ def read(batch: pa.RecordBatch) -> Terms:
     return Terms(ws, W.mix(ws.hashes() ^ salt[doc]), doc)
 
 
-def changes(*columns: np.ndarray) -> np.ndarray:
-    """Where a run of equal rows begins, in sorted columns."""
-    new = np.ones(len(columns[0]), bool)
-    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    return np.flatnonzero(new)
-
-
 def summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Columns of which the last is summed for each value of the others."""
+    """Columns of numbers, of which the last is summed for each value of the others."""
     columns = [np.concatenate(c) for c in zip(*parts)]
-    order = np.lexsort(columns[:-1])
+    mark = columns[0].astype(np.uint64)
+    for c in columns[1:-1]:
+        mark = W.mix(mark * W.BASE + c.astype(np.uint64))
+    order = np.argsort(mark)
     columns = [c[order] for c in columns]
-    first = changes(*columns[:-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:-1]])
+    first = np.flatnonzero(new)
     return (*[c[first] for c in columns[:-1]], np.add.reduceat(columns[-1], first) if len(first) else columns[-1])
 
 
@@ -99,9 +97,9 @@ def doc_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def count(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         terms = read(batch)
-        order = np.lexsort((terms.doc, terms.keys))
-        once = order[changes(terms.keys[order], terms.doc[order])]
-        return np.unique(terms.keys[once], return_counts=True)
+        keys, at = np.unique(terms.keys, return_inverse=True)
+        pairs = np.unique(at * batch.num_rows + terms.doc)
+        return keys, np.bincount(pairs // max(batch.num_rows, 1), minlength=len(keys))
 
     for keys, docs in tallied(batches, count):
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(docs)], ["key", "docs"])
@@ -119,31 +117,31 @@ def kept_counts(table):
             group = np.array([groups.setdefault(pair, len(groups)) for pair in pairs], np.int64)
             terms = read(batch)
             at = np.flatnonzero(table.value.has(terms.keys))
-            keys, first = np.unique(terms.keys[at], return_index=True)
+            keys, first, of = np.unique(terms.keys[at], return_index=True, return_inverse=True)
             for key, i in zip(keys.tolist(), at[first].tolist()):
                 if key not in texts:
                     texts[key] = (batch.column("lang")[int(terms.doc[i])].as_py(), terms.ws.text(i))
-            return summed([(group[terms.doc[at]], terms.keys[at], np.ones(len(at), np.int64))])
+            pairs, n = np.unique(of * len(groups) + group[terms.doc[at]], return_counts=True)
+            return pairs % len(groups), keys[pairs // len(groups)], n
 
-        def out(lang, source, key, n, term) -> pa.RecordBatch:
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((lang, source, key, n, term), kinds)], ["lang", "source", "key", "n", "term"])
+        names, kinds = ("lang", "source", "key", "n", "term"), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
+
+        def out(size: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(size, k) for c, k in zip(names, kinds)], names)
 
         def of_texts() -> pa.RecordBatch:
-            none = [None] * len(texts)
-            return out([x for x, _ in texts.values()], none, np.array(list(texts), np.uint64).view(np.int64), none, [t for _, t in texts.values()])
+            return out(len(texts), lang=[x for x, _ in texts.values()], key=np.array(list(texts), np.uint64).view(np.int64), term=[t for _, t in texts.values()])
 
         for group, keys, n in tallied(batches, count):
-            names = list(groups)
+            langs, sources = (pa.array([pair[i] for pair in groups], pa.string()) for i in (0, 1))
             for i in range(0, len(keys), 1 << 16):
-                some = [names[g] for g in group[i : i + (1 << 16)].tolist()]
-                yield out([x for x, _ in some], [x for _, x in some], keys[i : i + (1 << 16)].view(np.int64), n[i : i + (1 << 16)], [None] * len(some))
+                some, held = pa.array(group[i : i + (1 << 16)]), keys[i : i + (1 << 16)].view(np.int64)
+                yield out(len(held), lang=langs.take(some), source=sources.take(some), key=held, n=n[i : i + (1 << 16)])
             if len(texts) > HELD:
                 yield of_texts()
                 texts.clear()
         yield of_texts()
-        none = [None] * len(groups)
-        yield out([x for x, _ in groups], [x for _, x in groups], none, none, none)
+        yield out(len(groups), lang=[x for x, _ in groups], source=[x for _, x in groups])
 
     return run
 
@@ -154,8 +152,9 @@ class Trees:
     def __init__(self):
         self.counts: dict[int, int] = {}
         self.values: list[int] = []
-        self.inner: list[dict[tuple[int, int], int]] = []
-        self.halves: list[list[tuple[int, int]]] = []
+        self.inner: list[dict[int, int]] = []
+        self.halves: list[list[int]] = []  # of each level's nodes: left << 32 | right
+        self.arrays: dict[int, np.ndarray] = {}
 
     def leaf(self, count: int) -> int:
         node = self.counts.setdefault(count, len(self.values))
@@ -173,9 +172,9 @@ class Trees:
                 self.inner.append({})
                 self.halves.append([])
             known, halves = self.inner[level], self.halves[level]
-            pairs, at = np.unique(nodes.reshape(-1, 2), axis=0, return_inverse=True)
+            pairs, at = np.unique(nodes[0::2] << 32 | nodes[1::2], return_inverse=True)
             own = []
-            for pair in map(tuple, pairs.tolist()):
+            for pair in pairs.tolist():
                 node = known.setdefault(pair, len(halves))
                 if node == len(halves):
                     halves.append(pair)
@@ -184,28 +183,32 @@ class Trees:
             level += 1
         return int(nodes[0])
 
-    def matches(self, a: int, b: int, depth: int) -> Counter:
-        """How often each pair of counts meets in two trees: equal pairs of nodes are walked once."""
-        pairs = Counter({(a, b): 1})
+    def matches(self, a: int, b: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which leaf nodes meet in two trees and how often: equal pairs of nodes are walked once."""
+        x, y, times = np.array([a]), np.array([b]), np.array([1])
         for level in range(depth - 1, -1, -1):
-            halves, below = self.halves[level], Counter()
-            for (x, y), times in pairs.items():
-                (x_left, x_right), (y_left, y_right) = halves[x], halves[y]
-                below[x_left, y_left] += times
-                below[x_right, y_right] += times
-            pairs = below
-        return Counter({(self.values[x], self.values[y]): times for (x, y), times in pairs.items()})
+            halves = self.halves_at(level)
+            left, right = halves[x], halves[y]
+            pairs = np.concatenate((left >> 32 << 32 | right >> 32, (left & LOW) << 32 | right & LOW))
+            pairs, at = np.unique(pairs, return_inverse=True)
+            times = np.bincount(at, np.concatenate((times, times)), len(pairs)).astype(np.int64)
+            x, y = pairs >> 32, pairs & LOW
+        return x, y, times
+
+    def halves_at(self, level: int) -> np.ndarray:
+        if len(self.arrays.get(level, ())) != len(self.halves[level]):
+            self.arrays[level] = np.array(self.halves[level], np.int64)
+        return self.arrays[level]
 
 
-def weight(count: int, total: int, terms: int) -> int:
-    return 1 + UNIT * (count + 1) // (total + terms)
+def weights(counts: list[int], total: int, terms: int) -> np.ndarray:
+    return np.array([1 + UNIT * (c + 1) // (total + terms) for c in counts], np.int64)
 
 
 def priced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Both divergences of all pairs of sources that meet in a cell, over the cell's block."""
-    trees = Trees()
     for cell in cells_of(batches):
-        size = cell[0]["size"]
+        trees, size = Trees(), cell[0]["size"]
         depth = max(size - 1, 0).bit_length()
         roots = []
         for row in cell:
@@ -213,24 +216,20 @@ def priced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts[:size] = 0
             counts[np.array(row["places"], np.int64)] = row["counts"]
             roots.append(trees.build(counts))
+        p_of_leaf = [weights(trees.values, row["total"], row["terms"]) for row in cell]
         out: list[tuple] = []
         for i, x in enumerate(cell):
             for j, y in enumerate(cell):
                 if (x["part"] == 0 and y["part"] == 0 and j <= i) or x["part"] == 2 or y["part"] == 1:
                     continue
-                here = there = 0
-                for (a, b), times in trees.matches(roots[i], roots[j], depth).items():
-                    if a < 0:
-                        continue
-                    p, q = weight(a, x["total"], x["terms"]), weight(b, y["total"], y["terms"])
-                    here += times * ((p - q) ** 2 // q)
-                    there += times * ((p - q) ** 2 // p)
+                a, b, times = trees.matches(roots[i], roots[j], depth)
+                p, q, times = p_of_leaf[i][a], p_of_leaf[j][b], np.where(a == trees.counts.get(-1), 0, times)
+                squares = (p - q) ** 2  # below 10^18 each, and the sums below (10^9 + V)^2
+                here, there = int((times * (squares // q)).sum()), int((times * (squares // p)).sum())
                 out += [(x["lang"], x["source"], y["source"], here), (x["lang"], y["source"], x["source"], there)]
         if out:
             lang, source, item, value = zip(*out)
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in (lang, source, item)], pa.array(value, pa.int64())], ["lang", "source", "item", "value"])
-        if sum(map(len, trees.halves)) > 1 << 18:
-            trees = Trees()
 
 
 def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
@@ -248,7 +247,8 @@ def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 
 
 def p_of(count: str, total: str) -> Column:
-    return F.expr(f"1 + CAST((CAST({count} AS DECIMAL(19,0)) + 1) * CAST({UNIT} AS DECIMAL(10,0)) div (CAST({total} AS DECIMAL(19,0)) + CAST(terms AS DECIMAL(19,0))) AS BIGINT)")
+    long = f"CAST((CAST({count} AS DECIMAL(19,0)) + 1) * CAST({UNIT} AS DECIMAL(10,0)) div (CAST({total} AS DECIMAL(19,0)) + CAST(terms AS DECIMAL(19,0))) AS BIGINT)"
+    return F.expr(f"1 + CASE WHEN {count} < 9000000000 THEN {UNIT} * ({count} + 1) div ({total} + terms) ELSE {long} END")
 
 
 def divergences(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = 3, top: int = 200) -> DataFrame:
