@@ -212,7 +212,7 @@ SCORE = "CAST(a AS DECIMAL(19,0)) * CAST(n AS DECIMAL(19,0)) * CAST(1000 AS DECI
 def collocations(docs: DataFrame, *, support: int = 100, cover: int = 100, top: int = 2000, **options) -> DataFrame:
     """Each language's ``top`` phrases: lang, rank, phrase, a, l, r, n and score.
 
-    The score is floor(1000 a n / (l r)) at the cut with the lowest one. A phrase inside a longer frequent one with
+    The score is floor(1000 a n / (l r)) at the cut with the lowest one, exact for products of 38 digits and an error beyond. A phrase inside a longer frequent one with
     ``cover`` percent of its occurrences or more is dropped.
     """
     words, phrases = count_phrases(docs, support=support, **options)

@@ -6,9 +6,12 @@ features most associated with each category are chosen by counts over the sample
 earlier one's out-of-fold logits, as the earlier model would be overconfident on its own training rows. The cut of each
 category is the one with the best F1 out of fold. Every document is then scored whole, in one pass without a shuffle.
 
-Cases: a null or empty text has no features and is never rejected; documents without label don't teach, of repeated
-labels or ids each joined row teaches; a category with one class only, or too few rows, gets a constant model and
-rejects nothing. Other columns are kept by ``without_toxic``; ``score_toxicity`` returns the id and the results.
+Bounds: ``sample`` labelled documents, and of them ``per_label`` features a category that occur in five or more; rarer
+words never count.
+
+Cases: a null or empty text has no features and is never rejected; documents without label don't teach, one that lacks
+some of the labels teaches the others; of repeated labels or ids each joined row teaches; a category with one class only,
+or too few rows, gets a constant model and rejects nothing. Other columns are kept by ``without_toxic``; ``score_toxicity`` returns the id and the results.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,7 @@ from duskwatch.session import stage
 
 HEAD = 5
 FOLDS = 5
+STEP = 1024  # rows of the sample worked on at once
 SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -51,16 +56,20 @@ def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in others], pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64)))], [*others, "features"])
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Newton steps for a ridge-penalised logistic model; the last weight is the intercept's."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+def fit_logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+    """Newton steps for a ridge-penalised logistic model on some rows of x, whose last column is the intercept's; some rows at a time."""
     w = np.zeros(x.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
     for _ in range(rounds):
-        p = sigmoid(x @ w)
-        curve = np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((x * curve[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        slope, curve = -penalty * w, np.diag(penalty)
+        for at in range(0, len(rows), STEP):
+            some = rows[at : at + STEP]
+            part = x[some].astype(np.float64)
+            p = sigmoid(part @ w)
+            slope = slope + part.T @ (y[some] - p)
+            curve = curve + (part * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ part
+        step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -109,50 +118,56 @@ class Chain:
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, int], *, doc_id: str = "doc_id", text: str = "text", sample: int = 10000, per_label: int = 256) -> Chain:
     """``categories`` maps label columns, in chain order, to the value that counts as positive."""
     names = tuple(categories)
-    known = labels.select(F.col(f"`{doc_id}`").alias("id"), *[(F.col(f"`{c}`") == v).cast("int").alias(f"y{k}") for k, (c, v) in enumerate(categories.items())]).dropna()
+    ys = [f"y{k}" for k in range(len(names))]
+    known = labels.select(F.col(f"`{doc_id}`").alias("id"), *[(F.col(f"`{c}`") == v).cast("int").alias(y) for y, (c, v) in zip(ys, categories.items())]).dropna(how="all", subset=ys)
     picked = known.orderBy(F.xxhash64(F.lit("chain"), "id"), "id").limit(sample)  # at most ``sample`` ids are broadcast
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(stage(picked, "chain-labels")), "id")
-    ys = [f"y{k}" for k in range(len(names))]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
     table = stage(rows.mapInArrow(feature_rows, f"{kinds}, features array<bigint>"), "chain-features")
-    totals = table.agg(F.count("*"), *[F.sum(y) for y in ys]).first()
-    n = totals[0]
-    counts = table.select(F.explode("features").alias("f"), *ys).groupBy("f").agg(F.count("*").alias("n"), *[F.sum(y).alias(y) for y in ys]).where("n >= 5")
+    counts = table.select(F.explode("features").alias("f"), *ys).groupBy("f").agg(*[F.count(y).alias(f"n{y}") for y in ys], *[F.sum(y).alias(y) for y in ys])
+    totals = table.agg(*[F.count(y) for y in ys], *[F.sum(y) for y in ys]).first()
     chosen: set[int] = set()
     for k, y in enumerate(ys):
-        positive = totals[k + 1] or 0
+        n, positive = totals[k], totals[len(ys) + k] or 0
         if positive < FOLDS or n - positive < FOLDS:
             continue
-        share = F.col("n") / n
-        score = F.abs(F.col(y) / positive - (F.col("n") - F.col(y)) / (n - positive)) / F.sqrt(share * (1 - share) + 1e-9)
-        chosen |= {r[0] for r in counts.orderBy(score.desc(), "f").limit(per_label).select("f").collect()}
+        share = F.col(f"n{y}") / n
+        score = F.abs(F.col(y) / positive - (F.col(f"n{y}") - F.col(y)) / (n - positive)) / F.sqrt(share * (1 - share) + 1e-9)
+        chosen |= {r[0] for r in counts.where(F.col(f"n{y}") >= 5).orderBy(score.desc(), "f").limit(per_label).select("f").collect()}
     features_ = np.sort(np.array(sorted(chosen), np.int64).view(np.uint64))
     asked = F.array(*[F.lit(int(f)) for f in features_.view(np.int64)]) if len(features_) else F.array().cast("array<bigint>")
-    sampled = table.select("id", F.array_intersect("features", asked).alias("f"), *ys).collect()  # at most ``sample`` rows of at most 2 * per_label numbers
-    sampled.sort(key=lambda r: (str(r["id"]), sorted(r["f"])))
-    x = np.zeros((len(sampled), len(features_)), np.float32)
-    for i, r in enumerate(sampled):
-        x[i, np.searchsorted(features_, np.array(r["f"], np.int64).view(np.uint64))] = 1
-    fold = np.arange(len(sampled)) % FOLDS
+    held = F.array_sort(F.array_intersect("features", asked))
+    found = table.select(F.xxhash64("id", held, *ys).alias("order"), held.alias("f"), *ys).toArrow()  # at most ``sample`` rows of at most 2 * per_label numbers
+    found = found.take(np.argsort(found.column("order").to_numpy(), kind="stable"))
+    size = np.diff(np.append(0, np.cumsum(pc.list_value_length(found.column("f")).to_numpy())))
+    x = np.zeros((found.num_rows, len(features_) + len(names) + 1), np.float32)  # features, earlier logits, intercept
+    x[:, -1] = 1
+    flat = np.concatenate([c.flatten().to_numpy() for c in found.column("f").chunks]) if found.num_rows else np.zeros(0, np.int64)
+    x[np.repeat(np.arange(found.num_rows), size), np.searchsorted(features_, flat.view(np.uint64))] = 1
+    fold = np.arange(found.num_rows) % FOLDS
     weights: list[np.ndarray | None] = []
     cuts: list[float] = []
-    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    out_of_fold: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for k, name in enumerate(names):
-        y = np.array([r[f"y{k}"] for r in sampled], float)
-        if y.sum() < FOLDS or len(y) - y.sum() < FOLDS:
+        column = found.column(ys[k])
+        own = np.flatnonzero(column.is_valid().to_numpy())  # a category is learned from the rows that have its label
+        y = pc.fill_null(column, 0).to_numpy().astype(float)
+        earlier = len(features_) + k
+        if y[own].sum() < FOLDS or len(own) - y[own].sum() < FOLDS:
             weights.append(None)
             cuts.append(2.0)
-            x = np.hstack([x, np.full((len(x), 1), -35.0, x.dtype)])
+            x[:, earlier] = -35
             continue
         logit = np.zeros(len(y))
+        used = np.delete(np.arange(x.shape[1]), np.arange(earlier, len(features_) + len(names)))
         for f in range(FOLDS):
-            w = fit_logistic(x[fold != f], y[fold != f])
-            logit[fold == f] = x[fold == f] @ w[:-1] + w[-1]
-        weights.append(fit_logistic(x, y))
-        held[name] = (sigmoid(logit), y)
-        cuts.append(best_cut(*held[name]))
-        x = np.hstack([x, np.clip(logit, -35, 35)[:, None].astype(x.dtype)])
-    return Chain(names, features_, weights, cuts, held)
+            w = fit_logistic(x[:, used], y, own[fold[own] != f])
+            logit[fold == f] = x[fold == f][:, used] @ w
+        weights.append(fit_logistic(x[:, used], y, own))
+        out_of_fold[name] = (sigmoid(logit[own]), y[own])
+        cuts.append(best_cut(*out_of_fold[name]))
+        x[:, earlier] = np.clip(logit, -35, 35)
+    return Chain(names, features_, weights, cuts, out_of_fold)
 
 
 def score_toxicity(docs: DataFrame, chain: Chain, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
