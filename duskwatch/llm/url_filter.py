@@ -35,10 +35,10 @@ def zone_of(host: Column) -> Column:
     return F.array_join(F.reverse(F.split(host, r"\.")), ".")
 
 
-def zones_of(host: Column) -> Column:
-    """The reversed host cut after each of its labels."""
+def zones_of(host: Column, most: int) -> Column:
+    """The reversed host cut after each of its first ``most`` labels."""
     return F.transform(
-        F.array(F.reverse(F.split(host, r"\."))),
+        F.array(F.slice(F.reverse(F.split(host, r"\.")), 1, max(most, 1))),
         lambda ls: F.transform(F.sequence(F.lit(1), F.size(ls)), lambda i: F.array_join(F.slice(ls, 1, i), ".")),
     )[0]
 
@@ -78,8 +78,9 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", default: str
     keep = [c for c in urls.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     parts = urls.select(*[F.col(f"`{c}`") for c in keep], host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
     keys = stage(parts.select("host", "path").distinct(), "url-keys")
-    spots = keys.select("host", "path", F.explode(zones_of(F.col("host"))).alias("zone"))
     borders = stage(rule_borders(rules), "url-rules")
+    most = borders.agg(F.max(F.size(F.split("zone", r"\.")))).first()[0] or 0  # no rule's zone has more labels
+    spots = keys.select("host", "path", F.explode(zones_of(F.col("host"), most)).alias("zone"))
     fans = stage(
         spots.groupBy("zone").count().join(borders.select("zone").distinct(), "zone").select("zone", F.ceil(F.sqrt("count")).cast("int").alias("fan")),
         "url-fans",

@@ -60,6 +60,58 @@ def filled(sizes, weights, epochs=3):
     return target
 
 
+def test_urls_of_very_many_labels(spark):
+    rules = spark.createDataFrame([("block", "com", "/"), ("allow", "b.com", "/x"), ("block", "a.b.com", "/x/y")], "verdict string, host string, path string")
+    deep, flat = "a." * 100_000, "z" * 300_000
+    urls = [f"http://{deep}com/x", f"http://{deep}b.com/x/y", f"http://{flat}.b.com/{flat}", f"http://{deep}org/", "http://" + "." * 100_000]
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge_urls(table, rules).select("page_id", "rule", "verdict").collect()}
+    assert got == {0: ("com/", "block"), 1: ("a.b.com/x/y", "block"), 2: ("com/", "block"), 3: (None, "allow"), 4: (None, "allow")}
+
+
+def taken_by_hand(rows, weights=(5, 2, 1), seed=mixing.SEED):
+    """(id, size) of each source's rows, put in order one by one, with the words taken."""
+    sizes = collections.defaultdict(int)
+    for _, source, n in rows:
+        sizes[source] += n
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    targets = dict(zip(names, filled([sizes[s] for s in names], [weights[i % len(weights)] for i in range(len(names))])))
+    out = []
+    for source in names:
+        target, size = targets[source], sizes[source]
+        whole = int(target // size) if size else 0
+        rest, passed = target - whole * size, 0
+        order = lambda r: (hashlib.md5(f"{seed}:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[2])
+        for i, _, n in sorted((r for r in rows if r[1] == source), key=order):
+            out.append((i, n, n * (whole + (rest > 0 and 2 * passed + n <= 2 * rest))))
+            passed += n
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("part", [7, 1 << 16])
+def test_mix_shares_out_equal_rows(spark, monkeypatch, part):
+    """Many rows of one id and size: as many of them are taken as fit, not all."""
+    monkeypatch.setattr(mixing, "PART", part)
+    rows = [(1, "a", 3)] * 1000 + [(None, "b", 2)] * 300 + [(i, "b", 5) for i in range(20)] + [(7, None, 0)] * 50 + [(8, None, 1)] * 11 + [(i, "c", 4) for i in range(400)]
+    table = spark.createDataFrame([(i, s, " ".join("w" * n), 1, "x") for i, s, n in rows], "doc_id bigint, source string, text string, size int, _order string").repartition(5)
+    weigh = mixing.cycle_weights((5, 2, 1))
+    got = [(r["doc_id"], r["size"], r["taken"]) for r in mixing.mix_ids(table, weigh).collect()]
+    assert sorted(got, key=str) == taken_by_hand(rows)
+    whole = mixing.mix_sources(table, weigh)
+    counts = collections.Counter(r["doc_id"] for r in whole.collect())
+    want = collections.Counter()
+    for i, n, taken in taken_by_hand(rows):
+        want[i] += taken // n if n else 0
+    assert {k: v for k, v in counts.items() if k != 7} == {k: v for k, v in want.items() if v and k != 7}  # 7 is of two sources, in one of them without words
+
+
+def test_mix_of_rows_that_differ_under_one_id(spark):
+    table = spark.createDataFrame([(1, "a", f"w w t{i % 3}", i % 2) for i in range(60)] + [(2, "b", "w " * 900, 0)], "doc_id bigint, source string, text string, more int")
+    weigh = mixing.cycle_weights((1, 20))
+    one, two = (sorted(map(str, mixing.mix_sources(t, weigh).collect())) for t in (table, table.repartition(6)))
+    assert one == two and 0 < sum("doc_id=1" in r for r in one) < 180
+
+
 def test_mix_reaches_targets(spark):
     rng = random.Random(5)
     docs = [(i, " ".join("w" * rng.randint(1, 5) for _ in range(rng.randint(0, 30))), rng.choice(["a", "b", "c", "d", None, "é"]), "clash") for i in range(600)]
