@@ -22,6 +22,7 @@ from duskwatch.sources.logs import read_lines
 from duskwatch.sources.store import event_store
 from duskwatch.sources.telemetry import Telemetry
 from duskwatch.streaming import counters as S
+from duskwatch.streaming import rolling as R
 from duskwatch.streaming import stateful as K
 from duskwatch.streaming.correlate import correlate_streams
 from duskwatch.streaming.ingest import ingest_events
@@ -243,9 +244,11 @@ def stream_inherit(t: Telemetry) -> DataFrame:
 
 @query("stream_alerts", "SELECT source_event, src_ip, ts_us, username, n_events, n_distinct FROM rolling WHERE n_events >= 3 OR n_distinct >= 3")
 def stream_alerts(t: Telemetry) -> DataFrame:
-    failed = landed_stream(t, t.failed)
-    counted = K.rolling_count_stream(failed, width_us=86_400_000_000)
-    return result(t, counted.filter((F.col("n_events") >= 3) | (F.col("n_distinct") >= 3)))
+    path = work_dir(t.spark, "rolling")
+    R.maintain_rolling_counts(
+        landed_stream(t, t.failed), path, work_dir(t.spark, "checkpoint"), width_us=86_400_000_000, keep="n_events >= 3 OR n_distinct >= 3"
+    )
+    return R.rolling_counts(t.spark, path).select("source_event", "src_ip", "ts_us", "username", "n_events", "n_distinct")
 
 
 @query("stream_threshold", "SELECT * FROM threshold")

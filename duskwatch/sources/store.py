@@ -126,8 +126,11 @@ class AppendTable:
             slotted.repartition("slot").sortWithinPartitions("slot", "field", "key").write.mode("overwrite").partitionBy("slot").parquet(f"{self.path}/index/batch={version}")
         return parts
 
-    def append(self, rows: DataFrame, batch: int, note: str | None = None) -> bool:
-        """Add a batch; False if it, or a later one, is in already. Batches come in rising numbers."""
+    def append(self, rows: DataFrame, batch: int, note: str | None = None, replace: Sequence[str] = ()) -> bool:
+        """Add a batch; False if it, or a later one, is in already. Batches come in rising numbers.
+
+        With ``replace``, what these parts held before is no longer live.
+        """
         now = self.manifest()
         if batch <= now.applied:
             return False
@@ -137,7 +140,7 @@ class AppendTable:
         for f in rows.schema:
             if f.name not in known.names:
                 known = known.add(f)
-        live = now.live + tuple((version, p) for p in parts)
+        live = tuple((v, p) for v, p in now.live if p not in replace) + tuple((version, p) for p in parts)
         self._commit(Manifest(version, batch, live, known.json(), now.note if note is None else note))
         return True
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from duskwatch.operators.rollup import session_summaries
 from duskwatch.sources.store import event_store
 from duskwatch.streaming import counters as S
+from duskwatch.streaming import rolling as R
 from duskwatch.streaming import stateful as K
 from duskwatch.streaming.correlate import correlate_streams
 from duskwatch.streaming.ingest import ingest_events
@@ -290,3 +291,34 @@ def test_sessions_of_many_cut_batches_equal_the_batch_summaries(spark, tmp_path,
             S.session_table(spark, f"{tmp_path}/t").compact()
     columns = [c.split()[0] for c in S.SESSIONS.split(", ")]
     assert rows(S.session_summary(spark, f"{tmp_path}/t"), *columns) == rows(whole, *columns)
+
+
+def trailing_by_hand(rows, width):
+    return {e: (len(v), len({u for u in v if u is not None})) for e, ip, t, _ in rows for v in [[u for _, j, x, u in rows if j == ip and t - width <= x <= t]]}
+
+
+@pytest.mark.parametrize("seed,per_batch", [(3, 1), (4, 2)])
+def test_rolling_counts_take_late_rows(spark, tmp_path, seed, per_batch):
+    """Rows in no order over several micro-batches, chunks swept early and again, against all rows at once."""
+    rng = random.Random(seed)
+    width = 100 * SEC
+    failed = [(f"e{i}", rng.choice("aab"), T + rng.randrange(1500) * SEC, rng.choice([None, "u", "v", "w"])) for i in range(90)]
+    for part in [[("early", "z", T + 900 * SEC, "x")], *[failed[i::4] for i in range(4)], [("far", "z", FAR, "x")]]:
+        spark.createDataFrame(part, "source_event string, src_ip string, ts_us bigint, username string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = stream_parquet(spark, f"{tmp_path}/in", files_per_batch=per_batch)
+        R.maintain_rolling_counts(stream, f"{tmp_path}/t", f"{tmp_path}/cp", width_us=width, delay_us=5 * SEC, fold=2)
+    got = {r["source_event"]: (r["n_events"], r["n_distinct"]) for r in R.rolling_counts(spark, f"{tmp_path}/t").collect()}
+    want = trailing_by_hand([*failed, ("early", "z", T + 900 * SEC, "x")], width)
+    assert got == want
+
+
+def test_a_late_row_changes_the_counts_after_it(spark, tmp_path):
+    def run(*data):
+        spark.createDataFrame(data, "source_event string, src_ip string, ts_us bigint, username string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        R.maintain_rolling_counts(stream_parquet(spark, f"{tmp_path}/in"), f"{tmp_path}/t", f"{tmp_path}/cp", width_us=60 * SEC, keep="n_events >= 2")
+        return {r["source_event"]: r["n_events"] for r in R.rolling_counts(spark, f"{tmp_path}/t").collect()}
+
+    base = T // (60 * SEC) * 60 * SEC
+    assert run(("a", "s", base + 59 * SEC, "u"), ("b", "s", base + 61 * SEC, "u"), ("far", "z", base + 3600 * SEC, "u")) == {"b": 2}
+    assert run(("late", "s", base + 50 * SEC, "u")) == {"a": 2, "b": 3}
+    assert run(("other", "q", base + 50 * SEC, "u")) == {"a": 2, "b": 3}
