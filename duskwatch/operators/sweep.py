@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duskwatch.functions.timefns import floor_div
+from duskwatch.functions.timefns import DAY_US, floor_div
 
 
 def trailing_counts(
@@ -206,7 +206,7 @@ def nearest_preceding(
     """Add ``point_us``, the newest point at or before ``t - floor_us`` (null when there is none).
 
     Each chunk of time is swept on its own; the newest point of earlier chunks is carried
-    over through a table of one row per chunk.
+    over within each day, and over days through a table of one row per day.
     """
     shifted = points.select((F.col(time) + F.lit(floor_us)).alias("__t")).distinct()
     marks = shifted.withColumn("__chunk", floor_div(F.col("__t"), chunk)).withColumn("__mark", F.col("__t"))
@@ -223,15 +223,17 @@ def nearest_preceding(
         .withColumn("__here", F.max("__mark").over(window))
         .filter("__probe")
     )
-    # One row per chunk of time: the number of minutes the data spans bounds this window.
+    # A day's newest point is carried over days, one row each; within its day a chunk looks at earlier chunks.
+    day = floor_div(F.col("__chunk"), max(DAY_US // chunk, 1))
     per_chunk = asked.select("__chunk").distinct().join(
         marks.groupBy("__chunk").agg(F.max("__mark").alias("__max")), "__chunk", "full"
-    )
-    carried = per_chunk.select(
-        F.col("__chunk").alias("__carry_chunk"),
-        F.max("__max")
-        .over(Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1))
-        .alias("__carried"),
+    ).withColumn("__day", day)
+    per_day = per_chunk.groupBy("__day").agg(F.max("__max").alias("__max"))
+    before = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    of_days = per_day.select("__day", F.max("__max").over(before).alias("__earlier"))
+    inside = Window.partitionBy("__day").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_chunk.withColumn("__same_day", F.max("__max").over(inside)).join(of_days, "__day").select(
+        F.col("__chunk").alias("__carry_chunk"), F.coalesce("__same_day", "__earlier").alias("__carried")
     )
     return swept.join(carried, swept["__chunk"] == carried["__carry_chunk"], "left").select(
         *probes.columns, (F.coalesce("__here", "__carried") - F.lit(floor_us)).alias("point_us")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duskwatch.operators.rules import admin_share
+from duskwatch.operators.quantiles import nearest_ranks
 
 # ATT&CK techniques tracked for coverage (fixed values): tactic, technique.
 TECHNIQUE_CATALOGUE = (
@@ -73,7 +74,7 @@ def evaluate_alarm(
     """State per series and period: in alarm when the last ``periods`` periods all breach.
 
     ``metric`` has ``series, ts_us, value``. The p95 is the nearest-rank value, taken from
-    value counts per period, so a busy period is not collected into one buffer.
+    value counts of one bin, so a busy period is not put in order in one task.
     """
     width = period_s * 1_000_000
     lo, hi = to_us(start), to_us(end)
@@ -85,17 +86,7 @@ def evaluate_alarm(
     elif statistic == "max":
         stats = inside.groupBy(*keys).agg(F.max("value").cast("double").alias("stat"))
     elif statistic == "p95":
-        by_period = Window.partitionBy(*keys)
-        upto = by_period.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        stats = (
-            inside.groupBy(*keys, "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("below", F.sum("n").over(upto))
-            .withColumn("total", F.sum("n").over(by_period))
-            .filter(F.col("below") * 100 >= F.col("total") * 95)
-            .groupBy(*keys)
-            .agg(F.min("value").cast("double").alias("stat"))
-        )
+        stats = nearest_ranks(inside, keys, "value", [95]).select(*keys, F.col("value").cast("double").alias("stat"))
     else:
         raise ValueError(f"unknown statistic {statistic!r}")
     if comparison not in (">", "<"):
@@ -209,27 +200,14 @@ def coverage_gaps(catalogue: DataFrame, rules: DataFrame) -> DataFrame:
 def latency_distribution(latencies: DataFrame, *, quantiles: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
     """Count, extremes and nearest-rank quantiles of ``delta_us`` at millisecond steps.
 
-    Quantiles come from counts per millisecond; that table is as long as the largest delta
-    in milliseconds, whatever the number of events.
+    Quantiles come from counts per bin and then per millisecond of one bin, so no task gets them all.
     """
-    per_ms = (
-        latencies.filter(F.col("delta_us").isNotNull())
-        .groupBy(F.floor(F.col("delta_us") / 1000).cast("bigint").alias("ms"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    everything = Window.partitionBy(F.lit(0))
-    upto = everything.orderBy("ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = per_ms.withColumn("below", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(everything))
-    cuts = [
-        F.min(F.when(F.col("below") >= F.ceil(F.col("total") * F.lit(q)), F.col("ms"))).alias(f"p{round(q * 100)}_ms")
-        for q in quantiles
-    ]
-    return ranked.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("measured"),
-        F.min("ms").alias("min_ms"),
-        *cuts,
-        F.max("ms").alias("max_ms"),
-    )
+    ms = latencies.filter(F.col("delta_us").isNotNull()).select(F.floor(F.col("delta_us") / 1000).cast("bigint").alias("ms"))
+    ends = ms.agg(F.count(F.lit(1)).alias("measured"), F.min("ms").alias("min_ms"), F.max("ms").alias("max_ms"))
+    names = {round(q * 100): f"p{round(q * 100)}_ms" for q in quantiles}
+    cuts = nearest_ranks(ms, [], "ms", list(names)).agg(*[F.max(F.when(F.col("percent") == p, F.col("value"))).alias(n) for p, n in names.items()])
+    one = F.lit(1).alias("__one")
+    return ends.select("*", one).join(cuts.select("*", one), "__one").select("measured", "min_ms", *names.values(), "max_ms")
 
 
 def window_sweep(latencies: DataFrame, widths_us: tuple[int, ...]) -> DataFrame:

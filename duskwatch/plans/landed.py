@@ -112,6 +112,13 @@ def route_sources(t: Telemetry) -> DataFrame:
     return routed.groupBy("kind", "date", "host").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query("scan_partitioned", "SELECT 'event' AS kind, substr(ts, 1, 10) AS date, sensor AS host, count(*) AS lines FROM hp WHERE substr(ts, 1, 10) = '2024-01-17' GROUP BY ALL")
+def scan_partitioned(t: Telemetry) -> DataFrame:
+    """One day of a landing folder: no other day's folder is opened."""
+    routed = logs.read_partitioned(t.spark, _land_both(t)[0]).filter(F.col("date") == "2024-01-17")
+    return routed.groupBy("kind", "date", "host").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query(
     "ingest_audit",
     f"""SELECT kind, count(*) AS lines, count(*) FILTER (ok) AS validated, count(*) FILTER (ok) AS written,

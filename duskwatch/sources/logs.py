@@ -24,6 +24,16 @@ def read_lines(spark: SparkSession, path: str | list[str], *, streaming: bool =
     )
 
 
+def read_partitioned(spark: SparkSession, base: str, *, streaming: bool = False) -> DataFrame:
+    """Lines of objects below ``date=<day>/host=<name>`` folders with these as partition columns: a filter on them opens only their folders."""
+    reader = spark.readStream if streaming else spark.read
+    lines = reader.schema("value STRING, date STRING, host STRING").option("basePath", base).format("text").load(base)
+    path = F.col("_metadata.file_path")
+    return lines.select(
+        F.col("value").alias("line"), path.alias("object_path"), source_kind(path).alias("kind"), "date", "host"
+    ).filter(F.trim("line") != "")
+
+
 def parse_events(lines: DataFrame, *, strict: bool = False) -> DataFrame:
     """Event lines as all-text wire fields with a ``malformed`` flag; ``strict`` fails on a bad line."""
     schema = all_strings((*EVENT_FIELDS, *TRANSPORT_FIELDS, *GIVEN_FIELDS), ("_bad",))

@@ -1,7 +1,8 @@
 """The sample tables read as telemetry.
 
 ``events`` rows stand for honeypot events; other views derive from it and from the other
-tables. Each view keeps all rows of its table. Views are plain lazy DataFrames.
+tables. A view keeps all rows of its table unless it stands for some kinds of events only
+(failed logins, alerts, sightings). Views are plain lazy DataFrames.
 """
 
 from __future__ import annotations
