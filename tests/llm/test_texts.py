@@ -139,6 +139,38 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert len(third) == 1 and sorted(kept, key=str) == sorted([(3, t1), (5, t2), (6, None), *third], key=str)
 
 
+def test_near_duplicates_among_clashing_columns_and_large_groups(spark, monkeypatch):
+    """Columns named as the operator's own; small blocks, so that a group is cut into several; ids kept by the query."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base)] * 9 + [" ".join(base + [f"t{i}"]) for i in range(9)] + [" ".join(base[:40] + [f"o{rng.randrange(9)}" for _ in range(12)]) for _ in range(9)]
+    texts += [" ".join(base[: 59 - i] + [f"v{i}"] * (i % 3)) for i in range(18)] + [" ".join(f"x{i}_{j}" for j in range(20)) for i in range(5)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(5, texts[12]), (None, texts[0]), (700, None)]
+    df = spark.createDataFrame([(*d, 1, 2, 3, 4, 5) for d in docs], "doc_id bigint, text string, _n int, _kept int, row int, n int, text_hash int").repartition(4)
+    links = collections.defaultdict(set)
+    sets = [set(zip(*[t.split()[k:] for k in range(3)])) if t else set() for _, t in docs]
+    root = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if docs[i][0] is not None and docs[j][0] is not None and sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                links[i].add(j)
+                links[j].add(i)
+    for i in range(len(docs)):
+        todo, seen = [i], {i}
+        while todo:
+            for j in links[todo.pop()] - seen:
+                seen.add(j)
+                todo.append(j)
+        root[i] = min((docs[j][0] for j in seen if docs[j][0] is not None), default=None)
+    got = collections.Counter((r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(df, size=3, percent=85).collect())
+    assert got == collections.Counter((d[0], root[i]) for i, d in enumerate(docs))
+    left = neardup.without_near_duplicates(df, size=3, percent=85)
+    assert left.columns == df.columns
+    groups = {root[i] for i, d in enumerate(docs) if d[0] is not None}
+    assert left.where("doc_id IS NOT NULL").count() == len(groups) and left.where("doc_id IS NULL").count() == 1
+
+
 def test_posterior_limits():
     for n, m in neardup.least_matches(0.85, 1e-6):
         grid = np.linspace(0, 1, 20001)[1:-1]
