@@ -206,8 +206,8 @@ def latency_distribution(latencies: DataFrame, *, quantiles: tuple[float, ...] =
     ends = ms.agg(F.count(F.lit(1)).alias("measured"), F.min("ms").alias("min_ms"), F.max("ms").alias("max_ms"))
     names = {round(q * 100): f"p{round(q * 100)}_ms" for q in quantiles}
     cuts = nearest_ranks(ms, [], "ms", list(names)).agg(*[F.max(F.when(F.col("percent") == p, F.col("value"))).alias(n) for p, n in names.items()])
-    one = F.lit(1).alias("__one")
-    return ends.select("*", one).join(cuts.select("*", one), "__one").select("measured", "min_ms", *names.values(), "max_ms")
+    columns = ["measured", "min_ms", *names.values(), "max_ms"]
+    return ends.unionByName(cuts, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in columns])
 
 
 def window_sweep(latencies: DataFrame, widths_us: tuple[int, ...]) -> DataFrame:

@@ -134,6 +134,5 @@ def summary_card(spark: SparkSession, path: str, now: datetime) -> DataFrame:
     seen = sightings(spark, path).read().agg(F.max("ts").alias("sensor_last_seen"))
     zero = F.lit(0).cast("bigint")
     counted = today.agg(F.coalesce(F.sum("total_events"), zero).alias("total"), F.coalesce(F.sum("unique_ips"), zero).alias("unique_ips_24h"))
-    one = F.lit(1).alias("__one")
-    both = counted.select("*", one).join(seen.select("*", one), "__one")
+    both = counted.unionByName(seen, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("total", "unique_ips_24h", "sensor_last_seen")])
     return both.select("total", F.col("total").alias("last_24h"), zero.alias("last_1h"), "unique_ips_24h", "sensor_last_seen")
