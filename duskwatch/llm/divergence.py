@@ -105,12 +105,27 @@ def doc_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(docs)], ["key", "docs"])
 
 
+def texts_at(ws: W.Words, at: np.ndarray) -> pa.Array:
+    """The texts of some words."""
+    size = ws.ends[at] - ws.starts[at]
+    ends = np.cumsum(size)
+    data = ws.data[np.repeat(ws.starts[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+    offsets = np.concatenate(([0], ends)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.string())
+
+
 def kept_counts(table):
     """A task's occurrences of listed terms by group (lang, source, key, n), each of its groups, and the text of each term's key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple[str, str], int] = {}
-        texts: dict[int, tuple[str, str]] = {}
+        known = [np.zeros(0, np.uint64)]  # keys whose texts have been sent, in order
+        texts: list[pa.RecordBatch] = []
+
+        names, kinds = ("lang", "source", "key", "n", "term"), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
+
+        def out(size: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(size, k) for c, k in zip(names, kinds)], names)
 
         def count(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
             pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
@@ -118,29 +133,26 @@ def kept_counts(table):
             terms = read(batch)
             at = np.flatnonzero(table.value.has(terms.keys))
             keys, first, of = np.unique(terms.keys[at], return_index=True, return_inverse=True)
-            for key, i in zip(keys.tolist(), at[first].tolist()):
-                if key not in texts:
-                    texts[key] = (batch.column("lang")[int(terms.doc[i])].as_py(), terms.ws.text(i))
+            spot = np.minimum(np.searchsorted(known[0], keys), max(len(known[0]) - 1, 0))
+            new = known[0][spot] != keys if len(known[0]) else np.ones(len(keys), bool)
+            if new.any():
+                found = at[first[new]]
+                langs = batch.column("lang").take(pa.array(terms.doc[found]))
+                texts.append(out(len(found), lang=langs, key=keys[new].view(np.int64), term=texts_at(terms.ws, found)))
+                known[0] = np.sort(np.concatenate((known[0], keys[new])))
             pairs, n = np.unique(of * len(groups) + group[terms.doc[at]], return_counts=True)
             return pairs % len(groups), keys[pairs // len(groups)], n
 
-        names, kinds = ("lang", "source", "key", "n", "term"), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
-
-        def out(size: int, **columns) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(size, k) for c, k in zip(names, kinds)], names)
-
-        def of_texts() -> pa.RecordBatch:
-            return out(len(texts), lang=[x for x, _ in texts.values()], key=np.array(list(texts), np.uint64).view(np.int64), term=[t for _, t in texts.values()])
-
         for group, keys, n in tallied(batches, count):
             langs, sources = (pa.array([pair[i] for pair in groups], pa.string()) for i in (0, 1))
             for i in range(0, len(keys), 1 << 16):
                 some, held = pa.array(group[i : i + (1 << 16)]), keys[i : i + (1 << 16)].view(np.int64)
                 yield out(len(held), lang=langs.take(some), source=sources.take(some), key=held, n=n[i : i + (1 << 16)])
-            if len(texts) > HELD:
-                yield of_texts()
-                texts.clear()
-        yield of_texts()
+            yield from texts
+            texts.clear()
+            if len(known[0]) > HELD:
+                known[0] = known[0][:0]
+        yield from texts
         yield out(len(groups), lang=[x for x, _ in groups], source=[x for _, x in groups])
 
     return run
