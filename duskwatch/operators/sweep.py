@@ -26,17 +26,18 @@ def trailing_counts(
     lo: int = 0,
     hi: int,
     carry: str | None = None,
+    weight: str | None = None,
     chunk: int | None = None,
     count_as: str = "n_points",
 ) -> DataFrame:
     """Add to each probe the number of points in ``[t - hi, t - lo]`` with equal keys.
 
     With ``carry`` the probe also gets ``last_<carry>``, the value of the newest such point
-    (the lowest value among points of one instant).
+    (the lowest value among points of one instant). With ``weight`` a point counts as many times.
     """
     size = chunk or 2 * (hi - lo + 1)
-    base = points.select(*keys, F.col(time), *([carry] if carry else []))
-    aggs = [F.count(F.lit(1)).alias("__n")] + ([F.min(carry).alias("__carry")] if carry else [])
+    base = points.select(*keys, F.col(time), *([carry] if carry else []), *([weight] if weight else []))
+    aggs = [(F.sum(weight) if weight else F.count(F.lit(1))).alias("__n")] + ([F.min(carry).alias("__carry")] if carry else [])
     merged = base.groupBy(*keys, time).agg(*aggs)
     opening, closing = F.col(time) + F.lit(lo), F.col(time) + F.lit(hi + 1)
     deltas = (

@@ -24,7 +24,7 @@ from duskwatch.sources.telemetry import Telemetry
 from duskwatch.streaming import counters as S
 from duskwatch.streaming import rolling as R
 from duskwatch.streaming import stateful as K
-from duskwatch.streaming.correlate import correlate_streams
+from duskwatch.streaming.correlate import correlated, maintain_correlation
 from duskwatch.streaming.ingest import ingest_events
 from duskwatch.streaming.resolve import ingest_resolved
 from duskwatch.streaming.run import drain_to_files, stream_parquet, use_rocksdb
@@ -183,7 +183,9 @@ def stream_corr(t: Telemetry) -> DataFrame:
     """Over the span of the batch queries, where all three outcomes occur."""
     events = landed_stream(t, t.tunnelled.select("event_id", "ts_us", "src_ip"))
     proxies = landed_stream(t, t.proxies.select("ts_us", "client_ip"))
-    return result(t, correlate_streams(events, proxies, delay="15 minutes", **SPAN))
+    path = work_dir(t.spark, "correlated")
+    maintain_correlation(events, proxies, path, work_dir(t.spark, "checkpoint"), delay_us=900_000_000, **SPAN)
+    return correlated(t.spark, path).select("event_id", "ts_us", "candidates", "status", "src_ip")
 
 
 @query(

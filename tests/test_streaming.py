@@ -12,7 +12,7 @@ from duskwatch.sources.store import event_store
 from duskwatch.streaming import counters as S
 from duskwatch.streaming import rolling as R
 from duskwatch.streaming import stateful as K
-from duskwatch.streaming.correlate import correlate_streams
+from duskwatch.streaming.correlate import correlated, instant_table, maintain_correlation, tunnelled_table
 from duskwatch.streaming.ingest import ingest_events
 from duskwatch.streaming.run import drain_to_files, stream_parquet, use_rocksdb
 
@@ -114,32 +114,75 @@ def test_hourly_counts_take_late_rows_within_an_hour(spark, tmp_path, rows):
     assert run() == [("2026-05-07T00", "a", 3), ("2026-05-07T00", "b", 1), ("2026-05-07T01", "a", 1)]
 
 
-@pytest.mark.parametrize("proxy_first", [True, False])
-def test_stream_correlation_in_either_order(spark, tmp_path, proxy_first, rows):
-    ev, px = f"{tmp_path}/ev", f"{tmp_path}/px"
-    loop = "127.0.0.1"
+EV, PX = "event_id bigint, ts_us bigint, src_ip string", "ts_us bigint, client_ip string"
+LOOP = "127.0.0.1"
+
+
+class TwoLogs:
+    """An event and a proxy log that grow, correlated after each step."""
+
+    def __init__(self, spark, base):
+        self.spark, self.base = spark, base
+        self.land([], [])
+
+    def land(self, events, clients):
+        for name, data, schema in (("ev", events, EV), ("px", clients, PX)):
+            df = self.spark.createDataFrame(data, schema)
+            df.withColumn("event_time", F.timestamp_micros("ts_us")).write.mode("append").parquet(f"{self.base}/{name}")
 
-    def land(path, data, schema):
-        spark.createDataFrame(data, schema).withColumn("event_time", F.timestamp_micros("ts_us")).write.mode("append").parquet(path)
+    def run(self, **options):
+        sides = [stream_parquet(self.spark, f"{self.base}/{name}") for name in ("ev", "px")]
+        maintain_correlation(*sides, f"{self.base}/out", f"{self.base}/cp", **options)
+        return {r["event_id"]: (r["candidates"], r["status"], r["src_ip"]) for r in correlated(self.spark, f"{self.base}/out").collect()}
 
-    es, ps = "event_id bigint, ts_us bigint, src_ip string", "ts_us bigint, client_ip string"
-    events = [(1, T, loop), (2, T + 10 * SEC, loop), (3, T + 20 * SEC, loop), (4, T, "192.0.2.1")]
+
+def outcome(t, clients, window_us=500_000, floor_us=1_000):
+    near = [ip for p, ip in clients if p is not None and ip is not None and t - window_us <= p <= t - floor_us]
+    return (len(near), ["missed", "matched", "ambiguous"][min(len(near), 2)], near[0] if len(near) == 1 else LOOP)
+
+
+@pytest.mark.parametrize("proxy_first", [True, False])
+def test_stream_correlation_in_either_order(spark, tmp_path, proxy_first):
+    logs = TwoLogs(spark, tmp_path)
+    events = [(1, T, LOOP), (2, T + 10 * SEC, LOOP), (3, T + 20 * SEC, LOOP), (4, T, "192.0.2.1")]
     clients = [(T - 500_000, "198.51.100.1"), (T + 20 * SEC - 1_000, "198.51.100.2"), (T + 20 * SEC - 2_000, "198.51.100.3"), (T - 999, "198.51.100.4")]
-    land(ev, [], es)
-    land(px, [], ps)
-    steps = [(px, clients, ps), (ev, events, es)]
+    steps = [([], clients), (events, [])]
     for step in steps if proxy_first else reversed(steps):
-        land(*step)
-        stream = correlate_streams(stream_parquet(spark, ev), stream_parquet(spark, px))
-        drain_to_files(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
-    land(ev, [(-1, FAR, loop)], es)
-    land(px, [(FAR, "0.0.0.0")], ps)
-    stream = correlate_streams(stream_parquet(spark, ev), stream_parquet(spark, px))
-    drain_to_files(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
-    out = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out")
-    assert rows(out, "event_id", "candidates", "status", "src_ip") == [
-        (1, 1, "matched", "198.51.100.1"), (2, 0, "missed", loop), (3, 2, "ambiguous", loop),
-    ]
+        logs.land(*step)
+        assert logs.run() == {}
+    logs.land([(-1, FAR, LOOP)], [])
+    assert logs.run() == {}  # the proxy log is silent
+    logs.land([], [(FAR, None)])
+    want = {1: (1, "matched", "198.51.100.1"), 2: (0, "missed", LOOP), 3: (2, "ambiguous", LOOP)}
+    assert logs.run() == want
+    assert logs.run() == want
+
+
+def test_stream_correlation_corrected_by_late_rows(spark, tmp_path):
+    """Rows of both logs in four shuffled micro-batches, the later ones for chunks swept already, give what all rows at once give."""
+    rng = random.Random(3)
+    span = 40 * SEC
+    events = [(i, T + rng.randrange(span), LOOP) for i in range(120)] + [(500, None, LOOP), (501, T, "192.0.2.9")]
+    clients = [(T + rng.randrange(span), f"198.51.100.{rng.randrange(9)}") for _ in range(90)] + [(None, "198.51.100.1"), (T, None)]
+    logs = TwoLogs(spark, tmp_path)
+    options = {"chunk_us": 5 * SEC, "delay_us": SEC, "fold": 2}
+    for part in range(4):
+        logs.land(events[part::4] + [(900 + part, T + span + (part + 20) * SEC, LOOP)], clients[part::4] + [(T + span + (part + 20) * SEC, None)])
+        got = logs.run(**options)
+        come = [c for p in range(part + 1) for c in clients[p::4]]
+        assert {k: v for k, v in got.items() if k < 900} == {
+            i: outcome(t, come) for p in range(part + 1) for i, t, ip in events[p::4] if t is not None and ip == LOOP
+        }
+
+
+def test_stream_correlation_stores_a_burst_as_instants(spark, tmp_path):
+    """10,000 connections in one window are three stored instants and no pairs, for any number of events."""
+    logs = TwoLogs(spark, tmp_path)
+    burst = [(T + i % 3, f"198.51.100.{i % 200}") for i in range(10_000)]
+    logs.land([(i, T + 100_000, LOOP) for i in range(50)] + [(-1, FAR, LOOP)], burst + [(FAR, None)])
+    assert logs.run() == {i: (10_000, "ambiguous", LOOP) for i in range(50)}
+    assert instant_table(spark, f"{tmp_path}/out").read().count() == 3
+    assert tunnelled_table(spark, f"{tmp_path}/out").read().count() == 51
 
 
 SESSION = "session string, ts string, ts_us bigint, eventid string, username string, duration double"
