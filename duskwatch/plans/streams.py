@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duskwatch.functions.net import LOOPBACK
+from duskwatch.functions.timefns import DAY_US
 from duskwatch.operators import correlate as C
 from duskwatch.operators.rules import ssh_to_home
 from duskwatch.plans.counts import NOW, SPAN
@@ -184,7 +185,7 @@ def stream_corr(t: Telemetry) -> DataFrame:
     events = landed_stream(t, t.tunnelled.select("event_id", "ts_us", "src_ip"))
     proxies = landed_stream(t, t.proxies.select("ts_us", "client_ip"))
     path = work_dir(t.spark, "correlated")
-    maintain_correlation(events, proxies, path, work_dir(t.spark, "checkpoint"), delay_us=900_000_000, **SPAN)
+    maintain_correlation(events, proxies, path, work_dir(t.spark, "checkpoint"), delay_us=900_000_000, chunk_us=DAY_US, **SPAN)
     return correlated(t.spark, path).select("event_id", "ts_us", "candidates", "status", "src_ip")
 
 
