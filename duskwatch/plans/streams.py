@@ -27,11 +27,11 @@ from duskwatch.streaming import rolling as R
 from duskwatch.streaming import stateful as K
 from duskwatch.streaming.correlate import correlated, maintain_correlation
 from duskwatch.streaming.ingest import ingest_events
+from duskwatch.streaming.inherit import inherited, maintain_inheritance
 from duskwatch.streaming.resolve import ingest_resolved
 from duskwatch.streaming.run import drain_to_files, stream_parquet, use_rocksdb
 
 MARKER_US = 4_000_000_000_000_000  # in the year 2096
-YEAR_MS = 366 * 86_400_000
 
 
 def landed_stream(t: Telemetry, df: DataFrame, *, marker: bool = True) -> DataFrame:
@@ -241,8 +241,9 @@ def stream_inherit(t: Telemetry) -> DataFrame:
     forward = C.correlate_forward(t.tunnelled, t.proxies, list_candidates=False, **SPAN).select(
         "event_id", "session", "ts_us", "eventid", "src_ip", F.col("correlation_status").alias("status")
     )
-    out = result(t, K.inherit_stream(landed_stream(t, forward), keep_ms=YEAR_MS))
-    return out.withColumn("status", F.coalesce("status", F.lit("direct")))
+    path = work_dir(t.spark, "inherited")
+    maintain_inheritance(landed_stream(t, forward, marker=False), path, work_dir(t.spark, "checkpoint"))
+    return inherited(t.spark, path).select("event_id", "session", "src_ip", F.coalesce("status", F.lit("direct")).alias("status"))
 
 
 @query("stream_alerts", "SELECT source_event, src_ip, ts_us, username, n_events, n_distinct FROM rolling WHERE n_events >= 3 OR n_distinct >= 3")

@@ -14,6 +14,7 @@ from duskwatch.streaming import rolling as R
 from duskwatch.streaming import stateful as K
 from duskwatch.streaming.correlate import correlated, instant_table, maintain_correlation, tunnelled_table
 from duskwatch.streaming.ingest import ingest_events
+from duskwatch.streaming.inherit import first_table, inherited, inherited_of, maintain_inheritance, take_first
 from duskwatch.streaming.run import drain_to_files, stream_parquet, use_rocksdb
 
 SEC = 1_000_000
@@ -216,6 +217,48 @@ def test_inheritance_across_batches(spark, tmp_path, rows):
     ]
 
 
+def test_stored_inheritance_with_late_rows(spark, tmp_path):
+    """Three micro-batches, a session over 40 days, earlier matches that come late, ties, rows without session or time."""
+    rng = random.Random(11)
+    schema = "event_id bigint, session string, ts_us bigint, eventid string, src_ip string, status string"
+    names = ["hot"] * 6 + ["a", "b", "c", None]
+    data = [
+        (i, rng.choice(names), T + rng.randrange(40) * 86_400 * SEC, rng.choice(["e", "f", None]), rng.choice([f"198.51.100.{i}", None]),
+         rng.choice(["matched", "missed", "ambiguous", None]))
+        for i in range(150)
+    ] + [(900, "a", None, "e", "198.51.100.1", "matched"), (901, "only", T, "e", "x", "missed")]
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/in")
+
+    def run():
+        maintain_inheritance(stream_parquet(spark, f"{tmp_path}/in"), f"{tmp_path}/t", f"{tmp_path}/cp", fold=2)
+
+    def shown(df):
+        return {r["event_id"]: (r["src_ip"], r["status"]) for r in df.collect()}
+
+    def plain(rows):
+        first, out = {}, {}
+        for i, s, t, e, ip, status in sorted((r for r in rows if r[2] is not None), key=lambda r: (r[2], r[3] or "", r[0])):
+            out[i] = (first[s], "matched_inherited") if s in first and status else (ip, status)
+            if s is not None and status == "matched":
+                first.setdefault(s, ip)
+        return out
+
+    for part in range(3):
+        spark.createDataFrame(data[part::3], schema).write.mode("append").parquet(f"{tmp_path}/in")
+        run()
+        come = [r for p in range(part + 1) for r in data[p::3]]
+        assert shown(inherited(spark, f"{tmp_path}/t")) == plain(come)
+    run()
+    want = plain(data)
+    assert shown(inherited(spark, f"{tmp_path}/t")) == want
+    assert shown(inherited_of(spark, f"{tmp_path}/t", ["a", "none"])) == {r[0]: want[r[0]] for r in data if r[1] == "a" and r[0] in want}
+    day = F.timestamp_micros(F.lit(T)).cast("date").cast("string")
+    today = spark.range(1).select(day).first()[0]
+    assert shown(inherited(spark, f"{tmp_path}/t", between=(today, today))) == {r[0]: want[r[0]] for r in data if r[2] == T}
+    rows = spark.createDataFrame(data, schema).filter("ts_us IS NOT NULL")
+    assert shown(take_first(rows, first_table(spark, f"{tmp_path}/t").read(), hot_rows=20)) == want  # the hot session by broadcast
+
+
 def test_rolling_counts_across_batches(spark, tmp_path):
     schema = "source_event string, src_ip string, ts_us bigint, username string"
     feed = Feed(spark, tmp_path, schema, lambda s: K.rolling_count_stream(s, width_us=300 * SEC))
