@@ -302,3 +302,74 @@ def test_chain_catches_and_spares(spark):
     assert toxicity.without_toxic(d, idle).count() == len(docs)
     empty = toxicity.fit_chain(d.limit(0), lab.limit(0), {"toxic": 1})
     assert toxicity.without_toxic(d, empty).count() == len(docs)
+
+
+def test_fitted_roles_are_plain_counts(spark):
+    """Turn numbers with gaps, late starts, unknown roles and turns of many lines against counting by hand."""
+    rng = random.Random(8)
+    turns = []
+    for c in range(15):
+        numbers = sorted(rng.sample(range(12), rng.randint(1, 8)))
+        turns += [(c, k, rng.choice([*transcripts.ROLES, "tool", None]), "\n".join(rng.choice(["User: hi?", "AI: yes.", "plain", ""]) for _ in range(rng.randint(1, 4)))) for k in numbers]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    lines = transcripts.lines_of(df, "conv_id", "turn", "text", "role")
+    model = transcripts.fit(lines)
+    moves = [[1] * transcripts.STATES for _ in range(transcripts.STATES + 1)]
+    show = [[[1] * n for _ in range(transcripts.STATES)] for n in transcripts.SIZES]
+    states = {}
+    for r in sorted(lines.collect(), key=lambda r: (r["conv"], r["turn"], r["line"])):
+        if r["role"] in transcripts.ROLES:
+            state = 2 * transcripts.ROLES.index(r["role"]) + (r["line"] > 0)
+            states.setdefault((r["conv"], r["turn"]), []).append(state)
+            for k, name in enumerate(transcripts.FEATURES):
+                show[k][state][r[name]] += 1
+    for (c, k), own in states.items():
+        before = [transcripts.START] if k == 0 else states.get((c, k - 1), [])[-1:]
+        way = before + own
+        for a, b in zip(way, way[1:]):
+            moves[a][b] += 1
+    want = [[math.log(n / sum(row)) for n in row] for row in moves]
+    assert np.allclose(model.move, want[:-1]) and np.allclose(model.start, want[-1])
+    for k, table in enumerate(show):
+        assert np.allclose(model.show[k], [[math.log(n / sum(row)) for n in row] for row in table])
+
+
+def test_chain_is_plain_logistic(spark):
+    """All features kept: the first model is a dense ridge logistic model of words and their beginnings, the second adds the first's logit."""
+    rng = random.Random(9)
+    vocabulary = ["fine", "calm", "quiet", "awful", "stupid", "stupids", "idiot", "weather", "river"]
+    docs, labels = [], []
+    for i in range(240):
+        words = rng.sample(vocabulary, rng.randint(1, 6))
+        docs.append((i, " ".join(words)))
+        low = int(rng.random() < (0.8 if "awful" in words else 0.2))
+        toxic = int(rng.random() < (0.9 if low and "idiot" in words else 0.1))
+        labels.append((i, None if i % 11 == 0 else 1 - low, toxic))
+    docs.append((999, "river of very " + "x" * 50_000 + " Stupid"))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    chain = toxicity.fit_chain(d, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), {"quality": 0, "toxic": 1}, per_label=1000)
+    got = {r["doc_id"]: (r["p_quality"], r["p_toxic"]) for r in toxicity.score_toxicity(d, chain).collect()}
+
+    def found(text):
+        return {("word", w) for w in text.lower().split()} | {("head", w[:5]) for w in text.lower().split()}
+
+    seen = collections.Counter(f for i, t in docs[:240] for f in found(t))
+    names = sorted(f for f, n in seen.items() if n >= 5)
+    assert len(names) == len(chain.chosen)
+    x = np.array([[float(f in found(t)) for f in names] + [1.0] for _, t in docs])
+    taught = [i for i, q, _ in labels if q is not None]
+    y = np.array([1.0 - labels[i][1] for i in taught])
+    penalty = np.array([1.0] * len(names) + [1e-6])
+    w = np.zeros(len(penalty))
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x[taught] @ w))
+        w = w + np.linalg.solve((x[taught] * (p * (1 - p))[:, None]).T @ x[taught] + np.diag(penalty), x[taught].T @ (y - p) - penalty * w)
+    first = x @ w
+    assert np.allclose([got[i][0] for i, _ in docs], 1 / (1 + np.exp(-first)), atol=1e-4)
+    # the second model is linear in the same features and the first's logit (whose sign is open, as it is nearly linear in them itself)
+    second = np.array([math.log(got[i][1] / (1 - got[i][1])) for i, _ in docs])
+    weight = chain.weights[1][len(chain.chosen)]
+    rest = second - weight * first
+    fitted, *_ = np.linalg.lstsq(x, rest, rcond=None)
+    assert abs(weight) > 1e-3 and np.allclose(x @ fitted, rest, atol=1e-3)
+    assert len(chain.out_of_fold["quality"][1]) == len(taught) and len(chain.out_of_fold["toxic"][1]) == 240
