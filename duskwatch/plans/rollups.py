@@ -1,4 +1,4 @@
-"""Queries on maintained rollups. They are built once per session and folder, from all stored events in four batches."""
+"""Queries on maintained rollups. They are built once per session and folder, from all stored events in four batches of many files."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from duskwatch.plans.registry import SQL, query
 from duskwatch.session import work_dir
 from duskwatch.sources.telemetry import Telemetry
 from duskwatch.streaming import rollups
-from duskwatch.streaming.run import stream_parquet
+from duskwatch.streaming.run import landing_files, stream_parquet
 
 BUILT: dict[tuple[str, str], str] = {}
 CARD_NOW = datetime(2024, 1, 30, 20)
@@ -22,8 +22,10 @@ CARD_NOW = datetime(2024, 1, 30, 20)
 def build(t: Telemetry) -> str:
     landed, path = work_dir(t.spark, "rollup-in"), work_dir(t.spark, "rollups")
     timed = t.stored.withColumn("event_time", F.timestamp_micros("ts_us")).select(*rollups.NEEDED)
-    timed.repartition(4, F.xxhash64("ts", "eventid")).write.parquet(landed)
-    rollups.maintain_rollups(stream_parquet(t.spark, landed, files_per_batch=1), path, work_dir(t.spark, "checkpoint"), fold=2)
+    timed.repartition(4 * landing_files(t.spark), F.xxhash64("ts", "eventid")).write.parquet(landed)
+    written = len(t.spark.read.parquet(landed).inputFiles())  # empty ones are not written
+    stream = stream_parquet(t.spark, landed, files_per_batch=-(-written // 4))
+    rollups.maintain_rollups(stream, path, work_dir(t.spark, "checkpoint"), fold=2)
     return path
 
 

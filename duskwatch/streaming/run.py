@@ -37,6 +37,11 @@ def drain_batches(stream: DataFrame, on_batch, checkpoint: str, *, mode: str = "
     query.awaitTermination()
 
 
+def landing_files(spark: SparkSession) -> int:
+    """Into how many files a landed batch is cut: a quarter of the shuffle partitions, which grow with the data."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+
+
 def stream_parquet(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:

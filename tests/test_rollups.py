@@ -2,11 +2,13 @@
 
 import random
 from datetime import datetime
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
 from duskwatch.operators import reports, rollup
 from duskwatch.operators.rank import top_ranks
+from duskwatch.plans import rollups as plans
 from duskwatch.streaming import rollups
 from duskwatch.streaming.run import stream_parquet
 
@@ -68,3 +70,13 @@ def test_reports_open_their_days_only(spark, tmp_path):
     for df in (rollups.timeline_hourly(spark, path, NOW, "24h"), rollups.breakdown(spark, path, NOW, {"24h": 24}), rollups.daily_summaries(spark, path, ("2026-05-08", "2026-05-09"))):
         files = df.inputFiles()
         assert files and all(f"{path}/" in f and ("day=2026-05-08" in f or "day=2026-05-09" in f) for f in files)
+
+
+def test_a_build_reads_batches_of_many_files(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(plans, "stream_parquet", lambda s, path, files_per_batch: seen.append((len(s.read.parquet(path).inputFiles()), files_per_batch)))
+    monkeypatch.setattr(plans.rollups, "maintain_rollups", lambda *args, **kw: None)
+    monkeypatch.setattr(plans, "landing_files", lambda s: 5)
+    stored = spark.createDataFrame(events(9, 400), SCHEMA).withColumn("ts_us", F.unix_micros(F.to_timestamp("ts")))
+    plans.build(SimpleNamespace(spark=spark, stored=stored))
+    assert seen == [(20, 5)]
