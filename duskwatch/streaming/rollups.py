@@ -42,20 +42,28 @@ def sightings(spark: SparkSession, path: str) -> AppendTable:
     return AppendTable(spark, f"{path}/seen", "day", lambda rows: rows.groupBy("day").agg(F.max("ts").alias("ts")))
 
 
-def labelled_closings(parts: DataFrame) -> DataFrame:
-    """Technique counts per hour of the sessions whose merged state is given."""
-    totals = parts.groupBy("session").agg(*[F.sum(c).alias(c) for c in ("failed", "succeeded")], F.count_distinct("username").alias("names"))
-    short = F.when(F.col("duration_seconds") < 2.0, 0.0).otherwise(2.0)
-    closed = parts.filter("closings > 0").groupBy("session", hour_key(F.col("ts")).alias("bucket"), short.alias("seconds")).agg(F.sum("closings").alias("n"))
-    label = technique_label(F.col("seconds"), F.col("failed"), F.col("succeeded"), F.col("names"))
-    found = closed.join(totals, "session").groupBy("bucket", F.lit("technique").alias("dimension"), label.alias("value")).agg(F.sum("n").alias("count"))
-    return found.withColumn("day", F.substring("bucket", 1, 10))
+def label_changes(before: DataFrame, parts: DataFrame) -> DataFrame:
+    """What the technique counts per hour change by, when ``parts`` come on top of the state ``before`` of their sessions.
 
+    Old and new totals and closings come from one pass each: a row of the state before is marked and counts for both.
+    """
 
-def label_changes(before: DataFrame, parts: DataFrame) -> DataFrame:
-    after = summed(SESSION_KEY, SESSION_SUMS)(before.select(*SESSION_KEY, *SESSION_SUMS).unionByName(parts))
-    both = labelled_closings(after).unionByName(labelled_closings(before).withColumn("count", -F.col("count")))
-    return both.groupBy(*COUNTER).agg(F.sum("count").alias("count")).filter(F.col("count") != 0)
+    def sums(*names: str) -> list:
+        return [F.sum(c).alias(c) for c in names] + [F.sum(F.when(F.col("held"), F.col(c)).otherwise(0)).alias(f"{c}_before") for c in names]
+
+    rows = before.select(*SESSION_KEY, *SESSION_SUMS, F.lit(True).alias("held")).unionByName(parts.select(*SESSION_KEY, *SESSION_SUMS, F.lit(False).alias("held")))
+    names = rows.groupBy("session", "username").agg(*sums("failed", "succeeded"), F.max("held").alias("held"))
+    logins = ("failed", "succeeded", "failed_before", "succeeded_before")
+    known = [F.count("username").alias("names"), F.count(F.when(F.col("held"), F.col("username"))).alias("names_before")]
+    totals = names.groupBy("session").agg(*[F.sum(c).alias(c) for c in logins], *known)
+    short = F.when(F.col("duration_seconds") < 2.0, 0.0).otherwise(2.0)
+    closed = rows.filter("closings > 0").groupBy("session", hour_key(F.col("ts")).alias("bucket"), short.alias("seconds")).agg(*sums("closings"))
+    after = technique_label(F.col("seconds"), F.col("failed"), F.col("succeeded"), F.col("names"))
+    was = technique_label(F.col("seconds"), F.col("failed_before"), F.col("succeeded_before"), F.col("names_before"))
+    steps = F.array(F.struct(after.alias("value"), F.col("closings").alias("n")), F.struct(was.alias("value"), (-F.col("closings_before")).alias("n")))
+    changes = closed.join(totals, "session").select("bucket", F.explode(steps).alias("s"))
+    counted = changes.groupBy("bucket", F.lit("technique").alias("dimension"), F.col("s.value").alias("value")).agg(F.sum("s.n").alias("count"))
+    return counted.filter(F.col("count") != 0).withColumn("day", F.substring("bucket", 1, 10)).select(*COUNTER, "count")
 
 
 def maintain_rollups(stream: DataFrame, path: str, checkpoint: str, fold: int = 8) -> None:
@@ -67,7 +75,7 @@ def maintain_rollups(stream: DataFrame, path: str, checkpoint: str, fold: int =
         sessions = session_table(spark, f"{path}/sessions")
         if batch_id > sessions.manifest().applied:
             parts = stage(session_parts(events), "rollup-sessions")
-            before = sessions.rows_of("session", parts) if sessions.exists() else parts.limit(0)
+            before = stage(sessions.rows_of("session", parts), "rollup-before") if sessions.exists() else parts.limit(0)
             techniques(spark, path).append(label_changes(before, parts), batch_id)  # before the state moves on
             sessions.append(parts, batch_id)
         hours(spark, path).append(counts_of(events), batch_id)

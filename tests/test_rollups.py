@@ -10,6 +10,7 @@ from duskwatch.operators import reports, rollup
 from duskwatch.operators.rank import top_ranks
 from duskwatch.plans import rollups as plans
 from duskwatch.streaming import rollups
+from duskwatch.streaming.counters import SESSION_SUMS, session_parts
 from duskwatch.streaming.run import stream_parquet
 
 NOW = datetime(2026, 5, 9, 13, 20)
@@ -72,6 +73,21 @@ def test_reports_open_their_days_only(spark, tmp_path):
         assert files and all(f"{path}/" in f and ("day=2026-05-08" in f or "day=2026-05-09" in f) for f in files)
 
 
+def test_label_changes_scan_the_state_once_per_aggregate(spark, rows):
+    new = spark.createDataFrame(events(7, 60), SCHEMA).withColumn("event_time", F.to_timestamp("ts"))
+    old = spark.createDataFrame(events(8, 60), SCHEMA).withColumn("event_time", F.to_timestamp("ts"))
+    both = old.unionByName(new)
+    before, parts = session_parts(old), session_parts(new)
+    found = rollups.label_changes(before, parts).select("bucket", "value", "count")
+    was, now = [rollup.technique_hourly(x).select("bucket", "value", "count") for x in (old, both)]
+    change = now.unionByName(was.withColumn("count", -F.col("count"))).groupBy("bucket", "value").agg(F.sum("count").alias("count")).filter("count <> 0")
+    assert rows(found) == rows(change)
+    assert rows(rollups.label_changes(before.limit(0), parts).select("bucket", "value", "count")) == rows(rollup.technique_hourly(new).select("bucket", "value", "count"))
+    scans = spark.range(1).select(F.lit("x").alias("session"), F.lit(None).cast("string").alias("username"), F.lit("2026-05-09T01:00:00Z").alias("ts"), F.lit(1.0).alias("duration_seconds"), F.lit("1").alias("slot"), *[F.lit(1).cast("bigint").alias(c) for c in SESSION_SUMS])
+    plan = rollups.label_changes(scans, parts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 1") == 2  # once for the logins, once for the closings
+
+
 def test_a_build_reads_batches_of_many_files(spark, tmp_path, monkeypatch):
     seen = []
     monkeypatch.setattr(plans, "stream_parquet", lambda s, path, files_per_batch: seen.append((len(s.read.parquet(path).inputFiles()), files_per_batch)))
