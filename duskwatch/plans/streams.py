@@ -29,7 +29,7 @@ from duskwatch.streaming.correlate import correlated, maintain_correlation
 from duskwatch.streaming.ingest import ingest_events
 from duskwatch.streaming.inherit import inherited, maintain_inheritance
 from duskwatch.streaming.resolve import ingest_resolved
-from duskwatch.streaming.run import drain_to_files, stream_parquet, use_rocksdb
+from duskwatch.streaming.run import drain_to_files, landing_files, stream_parquet, use_rocksdb
 
 MARKER_US = 4_000_000_000_000_000  # in the year 2096
 
@@ -213,7 +213,9 @@ def stream_resolve(t: Telemetry) -> DataFrame:
     paths = {name: f"{base}/{name}" for name in ("store", "proxies", "quarantine", "checkpoint")}
 
     def landed(df: DataFrame, line, below: str) -> None:
-        df.select(line.alias("value")).write.option("compression", "gzip").text(f"{base}/raw/{below}")
+        # gzip text is not split, so as many tasks read the lines as there are files
+        spread = df.repartition(landing_files(t.spark), F.xxhash64("event_id", "ts"))
+        spread.select(line.alias("value")).write.option("compression", "gzip").text(f"{base}/raw/{below}")
         if below != "cowrie":
             ingest_resolved(t.spark, f"{base}/raw", geo_ranges=t.geo_ranges, dictionary=t.dictionary, **paths, **SPAN)
 

@@ -64,7 +64,8 @@ def resolve_batch(
         proxies_.append(once.withColumn("day", day_key(F.col("ts"))), batch_id)
         if events_.exists():
             # a matched session's open events take the address wherever they are in the store
-            before = open_sessions(events_, _days(arrived, 0, window_us)).withColumn("__was", F.col("correlation_status"))
+            # read by each step of the backward pass, so the lookup and its merge are done once
+            before = stage(open_sessions(events_, _days(arrived, 0, window_us)).withColumn("__was", F.col("correlation_status")), "open-events")
             after = correlate_backward(before, arrived, geo_ranges=geo_ranges, **span)
             open_before = F.col("__was").isNull() | F.col("__was").isin("missed", "ambiguous")
             changed = stage(after.filter(open_before & (F.col("correlation_status") == "matched")).drop("__was"), "back-matched")

@@ -5,7 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from duskwatch.plans import streams
 from duskwatch.sources.store import event_store
+from duskwatch.sources.telemetry import Telemetry
 from duskwatch.streaming.resolve import ingest_resolved, proxy_store
 
 LOOP, CLIENT = "127.0.0.1", "198.51.100.7"
@@ -50,3 +52,24 @@ def test_one_state_whatever_comes_first(spark, tmp_path, order):
     assert run() == state
     assert proxy_store(spark, paths["proxies"]).read().count() == 1
     assert [r[0] for r in spark.read.parquet(paths["quarantine"]).select(F.col("line")).collect()] == ["{bad"]
+
+
+def test_landed_lines_are_cut_into_files(spark, tmp_path, monkeypatch):
+    ts = F.expr("timestamp_ntz'2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)")
+    kind = F.element_at(F.array(*map(F.lit, ("view", "error"))), (F.col("id") % 2 + 1).cast("int"))
+    events = spark.range(400).select(F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 7).alias("user_id"), kind.alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 4}').alias("props"))
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(3).select(F.col("id").cast("int").alias("n_nationkey"), F.lit("x").alias("n_name")).write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(3).select(F.lit("Brand#11").alias("p_brand")).write.parquet(f"{tmp_path}/part.parquet")
+    seen = []
+
+    def ingest(session, raw, **options):
+        lines = session.read.option("recursiveFileLookup", True).text(raw)
+        seen.append((len(lines.inputFiles()), lines.count()))
+
+    monkeypatch.setattr(streams, "ingest_resolved", ingest)
+    monkeypatch.setattr(streams, "landing_files", lambda s: 3)
+    with pytest.raises(FileNotFoundError):  # nothing is stored here
+        streams.stream_resolve(Telemetry(spark, str(tmp_path)))
+    early = events.filter("event_type = 'view' AND user_id % 2 = 0").count()
+    assert seen == [(6, 400 + early), (9, 600)]
