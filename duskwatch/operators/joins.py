@@ -112,7 +112,12 @@ def either_endpoint_join(flows: DataFrame, indicators: DataFrame) -> DataFrame:
     Each flow is unfolded into its endpoints and joined once, so flows are read once and the
     join is an equi join; an OR condition would be a nested loop. A flow between two equal
     listed hosts is kept once per indicator row, with ``src`` as the matched side.
+
+    A flow yields a row per indicator of its ends, so flows are first spread over all shuffle partitions: a scan's
+    few tasks would each make the pairs of a large part of the table.
     """
+    tasks = int(flows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flows = flows.repartition(tasks, F.xxhash64(*flows.columns))
     src, dest = F.col("src_ip"), F.col("dest_ip")
     ends = F.array_compact(
         F.array(

@@ -149,9 +149,17 @@ def apply_rule(df: DataFrame, key: str) -> DataFrame:
     return df.filter(rule.when()).select(*_COMMON, _alert(rule, df).alias("a")).select(*_COMMON, "a.*")
 
 
-def apply_rules(df: DataFrame, source: str) -> DataFrame:
-    """Alerts of all single-event rules of a source in one pass over it."""
-    matches = F.array_compact(F.array(*[F.when(r.when(), _alert(r, df)) for r in RULES if r.source == source]))
+def apply_rules(df: DataFrame, source: str, *, best: bool = False) -> DataFrame:
+    """Alerts of all single-event rules of a source in one pass over it; of a row only the ``best`` where that is asked.
+
+    The best one is what ``final_alerts`` would keep of the row, so its result is the same with fewer rows to shuffle.
+    """
+    rules = [r for r in RULES if r.source == source]
+    if best:
+        rules = sorted(rules, key=lambda r: (-r.depth, -r.level, r.rule_id))
+    matches = F.array_compact(F.array(*[F.when(r.when(), _alert(r, df)) for r in rules]))
+    if best:
+        matches = F.slice(matches, 1, 1)
     return df.select(*_COMMON, F.explode(matches).alias("a")).select(*_COMMON, "a.*")
 
 
@@ -239,6 +247,10 @@ def multi_event_alerts(
 
 
 def final_alerts(alerts: DataFrame) -> DataFrame:
-    """One alert per source event: child rules over parents, then the highest level."""
+    """One alert per source event: child rules over parents, then the highest level.
+
+    Alerts are shuffled before they are sorted: else each task would first sort all it has made, of which there may be
+    very many where a flow meets many indicators.
+    """
     order = Window.partitionBy("source_event").orderBy(F.desc("depth"), F.desc("level"), F.asc("rule_id"))
-    return alerts.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
+    return alerts.repartition("source_event").withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")

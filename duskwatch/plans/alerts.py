@@ -104,11 +104,11 @@ def cross_source_ever(t: Telemetry) -> DataFrame:
     )
 
 
-def all_alerts(t: Telemetry) -> DataFrame:
-    """Alerts of every rule, each source read once for its single-event rules."""
+def all_alerts(t: Telemetry, *, best: bool = False) -> DataFrame:
+    """Alerts of every rule, each source read once for its single-event rules (``best``: see ``apply_rules``)."""
     out = D.multi_event_alerts(brute(t), stuffing(t), crossed(t), threshold(t), ioc_events(t))
     for name in ("honeypot", "ids", "ioc", "flows", "dns"):
-        out = out.unionByName(D.apply_rules(_source(t, name), name))
+        out = out.unionByName(D.apply_rules(_source(t, name), name, best=best))
     return out
 
 
@@ -123,7 +123,7 @@ def alerts_all(t: Telemetry) -> DataFrame:
   ORDER BY depth DESC, level DESC, rule_id) AS rn FROM alerts) WHERE rn = 1""",
 )
 def alerts_final(t: Telemetry) -> DataFrame:
-    return D.final_alerts(all_alerts(t))
+    return D.final_alerts(all_alerts(t, best=True))
 
 
 @query(

@@ -167,6 +167,28 @@ def test_final_alert_prefers_children_then_level(spark):
     assert D.final_alerts(spark.createDataFrame(data, cols)).first()["rule_id"] == "high"
 
 
+def test_final_alerts_sort_after_the_shuffle(spark, rows):
+    e = honeypot(spark, [(FAILED, "a", T, "u", None, None), ("cowrie.login.success", "b", T, "u", None, None), ("other", "c", T, "u", None, None)])
+    f = spark.createDataFrame([flow(i, d, *ends, p, 20_000_000, "\\C$", 23) for i, (d, ends, p) in enumerate([("outbound", (HOME, OUT), 4444), ("inbound", (OUT, HOME), 23), ("inbound", (OUT, HOME), 22)])], FLOW)
+    for df, source in ((e, "honeypot"), (f, "flows")):
+        every, best = D.apply_rules(df, source), D.apply_rules(df, source, best=True)
+        assert rows(D.final_alerts(best)) == rows(D.final_alerts(every))
+        assert best.count() == best.select("source_event").distinct().count() <= every.count()
+        plan = D.final_alerts(every)._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan.partition("Exchange")[2] and "WindowGroupLimit" not in plan.partition("Exchange")[2]
+
+
+def test_flows_are_spread_before_they_meet_indicators(spark):
+    f = spark.createDataFrame([flow(i, "outbound", HOME, OUT, 22) for i in range(40)], FLOW).coalesce(1)
+    ind = spark.createDataFrame([(OUT, "m1"), (OUT, "m2")], "value string, indicator_event_id string")
+    pairs = either_endpoint_join(f, ind)
+    assert pairs.count() == 80
+    assert pairs.filter("matched_on = 'dest'").groupBy("flow_id").count().filter("count = 2").count() == 40
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert f", {tasks}), REPARTITION_BY_NUM" in plan
+
+
 def test_triage(spark):
     e = honeypot(spark, [(FAILED, "a", T, "u", None, None), ("cowrie.login.success", "b", T, "u", None, None), (FAILED, "c", T, "u", None, None)])
     ips = spark.createDataFrame([("c",)], "src_ip string")
